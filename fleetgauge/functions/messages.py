@@ -21,9 +21,11 @@ def to_messages(df: DataFrame, columns: Sequence[str] = READING_COLUMNS, keep: S
 
 
 def _parsed(text: Column, schema: T.StructType) -> Column:
+    """Blank text is read as broken text: the parser would take it for an empty row."""
     with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+    shown = F.coalesce(F.nullif(F.trim(text), F.lit("")), F.lit("{"))
     return F.from_json(
-        text, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+        shown, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
 
 
@@ -38,16 +40,19 @@ def parse_messages(
     A field of the wrong type is NULL and the rest of the row survives. Text that is
     not a JSON object leaves every field NULL and is marked ``malformed``.
     ``envelope`` is ``value`` on one bus and ``data`` on the other.
+
+    The fields come out of a generator rather than a projection: a filter on a parsed
+    field then stays above it, where a projection would be merged into the filter and
+    the text parsed again for every field the filter mentions.
     """
     text = F.col(envelope).cast("string")
     nothing = F.lit(True)
     for name in schema.fieldNames():
         nothing = nothing & F.col(name).isNull()
-    blank = F.col("text").isNull() | (F.trim("text") == "")
     return (
-        df.select(*keep, text.alias("text"), _parsed(text, schema).alias("parsed"))
-        .select(*keep, "text", "parsed.*")
-        .withColumn("malformed", blank | (F.col(CORRUPT).isNotNull() & nothing))
+        df.select(*keep, text.alias("text"))
+        .select(*keep, "text", F.inline(F.array(_parsed(F.col("text"), schema))))
+        .withColumn("malformed", F.col(CORRUPT).isNotNull() & nothing)
         .drop(CORRUPT)
     )
 

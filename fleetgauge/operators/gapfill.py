@@ -7,7 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetgauge.operators.ordered import HALO, POSITION, SPLIT, in_order, split_window, with_halo
+from fleetgauge.operators.ordered import (
+    HALO,
+    POSITION,
+    SPLIT,
+    SPLIT_BITS,
+    in_order,
+    split_window,
+    with_halo,
+)
 from fleetgauge.schema import KEY, METRICS
 
 
@@ -51,7 +59,7 @@ def fill_previous(
     order: Sequence[str] = ("event_ts", "collected_ts"),
     key: str = KEY,
     max_gap: int | None = None,
-    splits: int | None = None,
+    split_bits: int = SPLIT_BITS,
 ) -> DataFrame:
     """NULL metrics take the device's last known value; known values never change.
 
@@ -62,7 +70,7 @@ def fill_previous(
     if max_gap is not None and max_gap < 1:
         raise ValueError("max_gap must be at least 1")
     placed = F.col(key).isNotNull() & F.col(order[0]).isNotNull()
-    ordered = in_order(df.filter(placed), order, key, splits)
+    ordered = in_order(df.filter(placed), order, key, split_bits)
     if max_gap is None:
         filled = _fill_any_gap(ordered, columns, key)
     else:

@@ -17,33 +17,30 @@ from fleetgauge.schema import KEY
 from fleetgauge.session import materialise
 
 POSITION, SPLIT, HALO = "_position", "_split", "_halo"
-_ROW_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
+SPLIT_BITS = 16  # rows per split, as a power of two
 
 
 def in_order(
-    df: DataFrame, order: Sequence[str], key: str = KEY, splits: int | None = None
+    df: DataFrame, order: Sequence[str], key: str = KEY, split_bits: int = SPLIT_BITS
 ) -> DataFrame:
     """Rows in ``(key, *order)`` order with their global position and split.
 
-    Sampling picks the cuts, so they are fixed by writing the sorted rows to the
-    shared folder; every later pass then agrees on them. Rows that tie on the whole
-    order are told apart by content and, if exact copies, by arrival, so even a
-    group of copies is spread over splits.
+    Positions grow by one inside a sorted partition and jump to the next one, so their
+    high bits name a run of at most 65,536 consecutive rows: the split. No group of a
+    later pass is larger than that, whatever a device or partition holds.
+
+    Sampling picks the cuts between partitions, so they are fixed by writing the sorted
+    rows to the shared folder; every later pass then agrees on them. Rows that tie on
+    the whole order are told apart by content and, if exact copies, by arrival, so even
+    a group of copies is spread out.
     """
     ranked = df.withColumns(
         {"_content": F.xxhash64(*df.columns), "_arrival": F.monotonically_increasing_id()}
     )
     keys = [F.col(c).asc_nulls_first() for c in (key, *order, "_content", "_arrival")]
-    if splits is None:
-        ranked = ranked.orderBy(*keys)
-    else:
-        ranked = ranked.repartitionByRange(splits, *keys).sortWithinPartitions(*keys)
-    ranked = ranked.drop("_content", "_arrival").withColumn(
-        POSITION, F.monotonically_increasing_id()
-    )
-    return materialise(
-        ranked.withColumn(SPLIT, F.shiftright(POSITION, _ROW_BITS).cast("int")), "ordered"
-    )
+    ranked = ranked.orderBy(*keys).drop("_content", "_arrival")
+    placed = ranked.withColumn(POSITION, F.monotonically_increasing_id())
+    return materialise(placed.withColumn(SPLIT, F.shiftright(POSITION, split_bits)), "ordered")
 
 
 def split_window(key: str = KEY):

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetgauge.operators.ordered import HALO, in_order, split_window, with_halo
+from fleetgauge.operators.ordered import HALO, SPLIT_BITS, in_order, split_window, with_halo
 from fleetgauge.operators.quantiles import exact_quantiles, known
 from fleetgauge.rules import IQR_THRESHOLD, ROLLING_ROWS, Z_LIMITS
 from fleetgauge.schema import KEY, METRICS
@@ -103,6 +103,15 @@ def flag_zscore(df: DataFrame, limits: Mapping[str, float] = Z_LIMITS) -> DataFr
     return scored.withColumns(flags).drop("_moments")
 
 
+def _of_sorted(values: Column, probability: float) -> Column:
+    """Linearly interpolated quantile of a sorted array; NULL for an empty one."""
+    place = (F.size(values) - 1) * probability
+    rank = F.floor(place).cast("int")
+    low = F.get(values, rank)
+    high = F.coalesce(F.get(values, rank + 1), low)
+    return low + (high - low) * (place - rank)
+
+
 def flag_rolling(
     df: DataFrame,
     columns: Sequence[str] = METRICS,
@@ -110,26 +119,33 @@ def flag_rolling(
     threshold: float = IQR_THRESHOLD,
     order: Sequence[str] = ("event_ts", "collected_ts"),
     key: str = KEY,
-    splits: int | None = None,
+    split_bits: int = SPLIT_BITS,
 ) -> DataFrame:
     """Interquartile flags against the device's last ``rows`` readings.
 
+    Each frame is at most ``rows`` values, sorted in place; a percentile aggregate
+    would rebuild a hash table for every row.
+
     Rows without a key or event time are in no such window and are ``NORMAL``.
     """
     placed = F.col(key).isNotNull() & F.col(order[0]).isNotNull()
-    ordered = with_halo(in_order(df.filter(placed), order, key, splits), rows - 1, key)
+    ordered = with_halo(in_order(df.filter(placed), order, key, split_bits), rows - 1, key)
     frame = split_window(key).rowsBetween(-(rows - 1), 0)
     names = [f"{c}_outlier" for c in columns]
     windows = ordered.withColumns(
-        {f"_q_{c}": F.percentile(known(c), F.array(*map(F.lit, QUARTILES))).over(frame) for c in columns}
+        {f"_v_{c}": F.collect_list(known(c)).over(frame) for c in columns}
     ).filter(~F.col(HALO))
-    flagged = windows.withColumns(
-        {
-            f"{c}_outlier": _flag(
-                _outside(F.col(c), F.col(f"_q_{c}")[0], F.col(f"_q_{c}")[1], threshold)
-            )
-            for c in columns
-        }
-    ).select(*df.columns, *names)
+    flagged = (
+        windows.withColumns({f"_v_{c}": F.sort_array(f"_v_{c}") for c in columns})
+        .withColumns(
+            {
+                f"{c}_outlier": _flag(
+                    _outside(F.col(c), *(_of_sorted(F.col(f"_v_{c}"), p) for p in QUARTILES), threshold)
+                )
+                for c in columns
+            }
+        )
+        .select(*df.columns, *names)
+    )
     unplaced = df.filter(~placed).withColumns({n: F.lit("NORMAL") for n in names})
     return flagged.unionByName(unplaced)

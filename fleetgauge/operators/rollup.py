@@ -34,9 +34,13 @@ def hourly_device_mean(df: DataFrame) -> DataFrame:
 
 
 def round_half_even(column: Column, digits: int = 2) -> Column:
-    """Scale, round to the nearest even whole number, scale back."""
+    """Scale, round ties to the even whole number, scale back.
+
+    A sum's last bits depend on the order of its rows; they are cleared first, so that
+    a tie is a tie in every run.
+    """
     scale = 10.0**digits
-    return F.rint(column * scale) / scale
+    return F.rint(F.round(column * scale, 6)) / scale
 
 
 def hourly_device_report(means: DataFrame) -> DataFrame:

@@ -133,7 +133,7 @@ STATS = (
     + ", round(avg(CAST(isFail AS INT)) * 100, 4) AS fail_rate"
 )
 _REPORT = " || chr(10) || ".join(
-    f"'{m}_avg : ' || CAST(round_even({m}_avg * 100, 0) / 100 AS VARCHAR)"
+    f"'{m}_avg : ' || CAST(round_even(round({m}_avg * 100, 6), 0) / 100 AS VARCHAR)"
     for m in ("motor1", "motor2", "motor3", "sensor1", "sensor2", "sensor3")
 )
 _JSON_PARTS = []
