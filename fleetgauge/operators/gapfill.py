@@ -42,10 +42,10 @@ def _fill_any_gap(ordered: DataFrame, columns: Sequence[str], key: str) -> DataF
 
 
 def _fill_short_gap(
-    ordered: DataFrame, columns: Sequence[str], key: str, max_gap: int
+    ordered: DataFrame, columns: Sequence[str], key: str, max_gap: int, split_bits: int
 ) -> DataFrame:
     frame = split_window(key).rowsBetween(-max_gap, -1)
-    filled = with_halo(ordered, max_gap, key).withColumns(
+    filled = with_halo(ordered, max_gap, columns, key, split_bits).withColumns(
         {f"_local_{c}": F.last(c, ignorenulls=True).over(frame) for c in columns}
     )
     return filled.filter(~F.col(HALO)).withColumns(
@@ -74,5 +74,5 @@ def fill_previous(
     if max_gap is None:
         filled = _fill_any_gap(ordered, columns, key)
     else:
-        filled = _fill_short_gap(ordered, columns, key, max_gap)
+        filled = _fill_short_gap(ordered, columns, key, max_gap, split_bits)
     return filled.select(*df.columns).unionByName(df.filter(~placed))

@@ -18,6 +18,7 @@ from fleetgauge.session import materialise
 
 POSITION, SPLIT, HALO = "_position", "_split", "_halo"
 SPLIT_BITS = 16  # rows per split, as a power of two
+_ROW_BITS = 33  # a row's number within its partition, in monotonically_increasing_id
 
 
 def in_order(
@@ -47,42 +48,45 @@ def split_window(key: str = KEY):
     return Window.partitionBy(SPLIT, key).orderBy(POSITION)
 
 
-def with_halo(ordered: DataFrame, rows: int, key: str = KEY) -> DataFrame:
+def with_halo(
+    ordered: DataFrame,
+    rows: int,
+    columns: Sequence[str],
+    key: str = KEY,
+    split_bits: int = SPLIT_BITS,
+) -> DataFrame:
     """Give every (split, key) group the ``rows`` rows that precede it elsewhere.
 
     The borrowed rows are marked, so that a frame of up to ``rows`` preceding rows is
-    complete inside each group and the marked rows are dropped afterwards. At most
-    ``rows`` rows per split and key are copied.
+    complete inside each group and the marked rows are dropped afterwards. They carry
+    ``columns`` only; the rest is NULL. Borrowing looks at the last rows of each split,
+    found by position alone, so neither a sort nor a shuffle of the table is needed.
     """
-    group = [SPLIT, key]
+    position, last = F.col(POSITION), (1 << split_bits) - 1
+    partition = F.shiftright(POSITION, _ROW_BITS)
     earlier = Window.partitionBy(key).orderBy(SPLIT).rowsBetween(Window.unboundedPreceding, -1)
     groups = (
-        ordered.groupBy(*group)
+        ordered.groupBy(SPLIT, key)
         .agg(F.count("*").alias("_n"), F.min(POSITION).alias("_first"))
         .withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     )
-    wanted = (
-        groups.filter(F.col("_start") > 0)
-        .select(
-            F.col(key),
-            F.col(SPLIT).alias("_target"),
-            F.explode(
-                F.sequence(F.greatest(F.lit(0), F.col("_start") - rows), F.col("_start") - 1)
-            ).alias("_index"),
-        )
+    wanted = groups.filter("_start > 0").select(
+        key,
+        F.col(SPLIT).alias("_target"),
+        F.explode(
+            F.sequence(F.greatest(F.lit(0), F.col("_start") - rows), F.col("_start") - 1)
+        ).alias("_index"),
     )
-    from_end = Window.partitionBy(*group).orderBy(F.col(POSITION).desc())
+    # One row per sorted partition: never more than the shuffle has partitions.
+    ends = ordered.groupBy(partition.alias("_partition")).agg(F.max(POSITION).alias("_end"))
     tails = (
-        ordered.withColumn("_rank", F.row_number().over(from_end))
-        .filter(F.col("_rank") <= rows)
-        .drop("_rank")
-        .join(groups, group)
-        .withColumn("_index", F.col("_start") + F.col(POSITION) - F.col("_first"))
+        ordered.select(key, SPLIT, POSITION, *columns, partition.alias("_partition"))
+        .join(F.broadcast(ends), "_partition")
+        .filter((position.bitwiseAND(last) > last - rows) | (position > F.col("_end") - rows))
+        .join(groups, [SPLIT, key])
+        .withColumn("_index", F.col("_start") + position - F.col("_first"))
     )
-    halo = (
-        tails.join(wanted, [key, "_index"])
-        .withColumn(SPLIT, F.col("_target"))
-        .withColumn(HALO, F.lit(True))
-        .select(*ordered.columns, HALO)
+    halo = tails.join(wanted, [key, "_index"]).select(
+        key, F.col("_target").alias(SPLIT), POSITION, *columns, F.lit(True).alias(HALO)
     )
-    return ordered.withColumn(HALO, F.lit(False)).unionByName(halo)
+    return ordered.withColumn(HALO, F.lit(False)).unionByName(halo, allowMissingColumns=True)

@@ -129,12 +129,15 @@ def flag_rolling(
     Rows without a key or event time are in no such window and are ``NORMAL``.
     """
     placed = F.col(key).isNotNull() & F.col(order[0]).isNotNull()
-    ordered = with_halo(in_order(df.filter(placed), order, key, split_bits), rows - 1, key)
+    ordered = in_order(df.filter(placed), order, key, split_bits)
+    complete = with_halo(ordered, rows - 1, columns, key, split_bits)
     frame = split_window(key).rowsBetween(-(rows - 1), 0)
     names = [f"{c}_outlier" for c in columns]
-    windows = ordered.withColumns(
-        {f"_v_{c}": F.collect_list(known(c)).over(frame) for c in columns}
-    ).filter(~F.col(HALO))
+    windows = (
+        complete.withColumns({f"_k_{c}": known(c) for c in columns})
+        .withColumns({f"_v_{c}": F.collect_list(f"_k_{c}").over(frame) for c in columns})
+        .filter(~F.col(HALO))
+    )
     flagged = (
         windows.withColumns({f"_v_{c}": F.sort_array(f"_v_{c}") for c in columns})
         .withColumns(

@@ -1,9 +1,10 @@
 """Exact quantiles without sorting or collecting a column.
 
-Each wanted rank is enclosed in an open interval. Approximate quantiles of the rows
-inside propose a tighter interval, one counting pass proves it, and after a few
-passes so few rows are left that they can be read off directly. Heavy values settle
-at an interval's edge, so a value held by a third of all rows costs nothing extra.
+One sketch pass encloses each wanted rank between two values of the column. One
+counting pass finds how many rows lie below, on and between those edges. What lies
+between is a thousandth of the rows at most: few enough to be read off in the same
+pass, or else written out and searched again. A value that many rows share settles on
+an edge and is never gathered.
 """
 
 from __future__ import annotations
@@ -14,8 +15,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetgauge.session import materialise
+
 ACCURACY = 10_000
 LEAF_ROWS = 50_000
+# The sketch is off by at most 1/ACCURACY of the rows, so edges this far to either
+# side of a rank are certain to enclose it, with at most INSIDE of the rows between.
+MARGIN = 4 / ACCURACY
+INSIDE = 10 / ACCURACY
 
 
 def known(column: str) -> Column:
@@ -23,130 +30,168 @@ def known(column: str) -> Column:
     return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
 
 
-@dataclass
-class _Search:
-    """``low < answer < high``; ``below`` rows are at most ``low``, ``inside`` lie between."""
+@dataclass(frozen=True)
+class _Target:
+    """Find the values at ``ranks``, counted from 0, among ``size`` values."""
 
-    column: str
-    rank: int
-    low: float | None
-    high: float | None
-    below: int
-    inside: int
-    value: float | None = None
+    values: Column
+    size: int
+    ranks: tuple[int, ...]
 
-    def interval(self) -> Column:
-        return _between(self.column, self.low, self.high)
 
+@dataclass(frozen=True)
+class _Edges:
+    """An open interval; None is an open end."""
 
-def _between(column: str, low: float | None, high: float | None) -> Column:
-    value = known(column)
-    inside = value.isNotNull()
-    if low is not None:
-        inside = inside & (value > low)
-    if high is not None:
-        inside = inside & (value < high)
-    return F.when(inside, value)
+    low: float | None = None
+    high: float | None = None
 
+    def inside(self, values: Column) -> Column:
+        within = values.isNotNull()
+        if self.low is not None:
+            within = within & (values > self.low)
+        if self.high is not None:
+            within = within & (values < self.high)
+        return F.when(within, values)
 
-def _propose(df: DataFrame, searches: Sequence[_Search]) -> list[list[float | None]]:
-    margin = 4.0 / ACCURACY
-    wanted = []
-    for s in searches:
-        share = (s.rank - s.below) / s.inside
-        # A range cannot be split at its very ends; None keeps the old edge.
-        wanted.append([share - margin, share + margin])
+
+def _enclosing(shares: Sequence[float]) -> list[float]:
+    return [min(max(p, 0.0), 1.0) for p in (min(shares) - MARGIN, max(shares) + MARGIN)]
+
+
+def _edges(cut: Sequence[float], wanted: Sequence[float]) -> _Edges:
+    """Keep an end open where the wanted share reaches the end of the column."""
+    return _Edges(cut[0] if wanted[0] > 0 else None, cut[1] if wanted[1] < 1 else None)
+
+
+def _propose(df: DataFrame, targets: Sequence[_Target], leaf_rows: int) -> list[_Edges]:
+    wanted = [_enclosing([r / t.size for r in t.ranks]) for t in targets]
     row = df.agg(
         *[
-            F.percentile_approx(
-                s.interval(), [min(max(p, 0.0), 1.0) for p in cut], ACCURACY
-            ).alias(f"q{i}")
-            for i, (s, cut) in enumerate(zip(searches, wanted))
+            F.percentile_approx(t.values, w, ACCURACY).alias(f"q{i}")
+            for i, (t, w) in enumerate(zip(targets, wanted))
         ]
     ).first()
     return [
-        [edge if 0.0 < p < 1.0 else None for edge, p in zip(row[i], cut)]
-        for i, cut in enumerate(wanted)
+        _edges(row[i], w) if t.size > leaf_rows else _Edges()
+        for i, (t, w) in enumerate(zip(targets, wanted))
     ]
 
 
-def _narrow(df: DataFrame, searches: Sequence[_Search]) -> None:
-    cuts = _propose(df, searches)
-    counts = []
-    for i, (s, cut) in enumerate(zip(searches, cuts)):
-        for name, edge in zip("ab", cut):
-            if edge is not None:
-                value = s.interval()
-                counts += [
-                    F.count_if(value < edge).alias(f"{name}{i}_lt"),
-                    F.count_if(value == edge).alias(f"{name}{i}_eq"),
-                ]
-    row = df.agg(*counts).first().asDict()
-    for i, (s, cut) in enumerate(zip(searches, cuts)):
-        base, size = s.below, s.inside
-        for name, edge in zip("ab", cut):
-            if edge is None or s.value is not None:
-                continue
-            less = base + row[f"{name}{i}_lt"]
-            upto = less + row[f"{name}{i}_eq"]
-            if less <= s.rank < upto:
-                s.value = edge
-            elif s.rank >= upto and upto > s.below:
-                s.low, s.inside, s.below = edge, s.below + s.inside - upto, upto
-            elif s.rank < less and less < s.below + s.inside:
-                s.high, s.inside = edge, less - s.below
-        if s.value is None and s.inside >= size:
-            raise RuntimeError(f"quantile search on {s.column} made no progress")
-
-
-def _read_off(df: DataFrame, searches: Sequence[_Search]) -> None:
-    """At most ``LEAF_ROWS`` values per distinct interval are gathered and sorted."""
-    intervals = {(s.column, s.low, s.high): None for s in searches}
-    if not intervals:
-        return
-    columns = [
-        F.sort_array(F.collect_list(_between(*key))).alias(f"v{i}")
-        for i, key in enumerate(intervals)
+def _resolve(
+    df: DataFrame, targets: Sequence[_Target], edges: Sequence[_Edges], leaf_rows: int
+) -> list[dict[int, float]]:
+    """Values by rank, for each target."""
+    few = all(
+        (t.size if e == _Edges() else t.size * INSIDE) <= leaf_rows for t, e in zip(targets, edges)
+    )
+    wanted = []
+    for i, (t, e) in enumerate(zip(targets, edges)):
+        inside = e.inside(t.values)
+        wanted += [
+            F.count_if(t.values < e.low).alias(f"under{i}"),
+            F.count_if(t.values == e.low).alias(f"low{i}"),
+            F.count(inside).alias(f"inside{i}"),
+            F.count_if(t.values == e.high).alias(f"high{i}"),
+        ]
+        if few:
+            wanted.append(F.sort_array(F.collect_list(inside)).alias(f"values{i}"))
+    counted = df.agg(*wanted)
+    starts = [F.col(f"under{i}") + F.col(f"low{i}") for i in range(len(targets))]
+    shown = [c for c in counted.columns if not c.startswith("values")]
+    if few:
+        # The arrays stay in the plan; only the values at the wanted ranks come back.
+        for i, t in enumerate(targets):
+            shown += [
+                F.get(f"values{i}", (F.lit(r) - starts[i]).cast("int")).alias(f"value{i}_{r}")
+                for r in t.ranks
+            ]
+    row = counted.select(*shown).first().asDict()
+
+    found: list[dict[int, float]] = []
+    rest: list[tuple[int, _Target]] = []
+    for i, (t, e) in enumerate(zip(targets, edges)):
+        start = row[f"under{i}"] + row[f"low{i}"]
+        stop = start + row[f"inside{i}"]
+        if min(t.ranks) < row[f"under{i}"] or max(t.ranks) >= stop + row[f"high{i}"]:
+            raise RuntimeError("the sketch did not enclose the wanted ranks")
+        values, open_ranks = {}, []
+        for r in t.ranks:
+            if r < start:
+                values[r] = e.low
+            elif r >= stop:
+                values[r] = e.high
+            elif few:
+                values[r] = row[f"value{i}_{r}"]
+            else:
+                open_ranks.append(r - start)
+        found.append(values)
+        if open_ranks:
+            rest.append((i, _Target(e.inside(t.values), stop - start, tuple(open_ranks))))
+    if rest:
+        starts_at = {i: row[f"under{i}"] + row[f"low{i}"] for i, _ in rest}
+        for (i, t), values in zip(rest, _search_inside(df, [t for _, t in rest], leaf_rows)):
+            found[i].update({starts_at[i] + r: v for r, v in values.items()})
+    return found
+
+
+def _search_inside(
+    df: DataFrame, targets: Sequence[_Target], leaf_rows: int
+) -> list[dict[int, float]]:
+    """Write out the few values still in question and search among those."""
+    tagged = F.array(
+        *[F.struct(F.lit(i).alias("target"), t.values.alias("value")) for i, t in enumerate(targets)]
+    )
+    pairs = df.select(F.inline(tagged)).filter(F.col("value").isNotNull())
+    small = materialise(pairs, "quantiles")
+    narrowed = [
+        _Target(F.when(F.col("target") == i, F.col("value")), t.size, t.ranks)
+        for i, t in enumerate(targets)
     ]
-    arrays = df.agg(*columns)
-    picks = []
-    names = {key: f"v{i}" for i, key in enumerate(intervals)}
-    for i, s in enumerate(searches):
-        picks.append(F.get(names[(s.column, s.low, s.high)], F.lit(s.rank - s.below)).alias(f"p{i}"))
-    row = arrays.select(*picks).first()
-    for i, s in enumerate(searches):
-        s.value = row[i]
+    return _resolve(small, narrowed, _propose(small, narrowed, leaf_rows), leaf_rows)
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], leaf_rows: int = LEAF_ROWS
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    leaf_rows: int = LEAF_ROWS,
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles per column; NULL and NaN are skipped.
 
-    The driver only ever sees a few numbers per column and pass.
+    Two passes over ``df``, or three where a thousandth of it is more than
+    ``leaf_rows``. The driver only sees a few numbers per column.
     """
-    sizes = df.agg(*[F.count(known(c)).alias(c) for c in columns]).first()
-    searches, places = {}, {}
-    for c in columns:
-        for p in probabilities:
-            if sizes[c]:
-                place = (sizes[c] - 1) * p
-                places[c, p] = place
-                for rank in {int(place), min(int(place) + 1, sizes[c] - 1)}:
-                    searches.setdefault((c, rank), _Search(c, rank, None, None, 0, sizes[c]))
-    while True:
-        wide = [s for s in searches.values() if s.value is None and s.inside > leaf_rows]
-        if not wide:
-            break
-        _narrow(df, wide)
-    _read_off(df, [s for s in searches.values() if s.value is None])
+    wanted = [_enclosing([p]) for p in probabilities]
+    shares = [share for cut in wanted for share in cut]
+    first = []
+    for i, c in enumerate(columns):
+        first += [
+            F.count(known(c)).alias(f"size{i}"),
+            F.percentile_approx(known(c), shares, ACCURACY).alias(f"cuts{i}"),
+        ]
+    row = df.agg(*first).first()
+    targets, edges, places = [], [], {}
+    for i, c in enumerate(columns):
+        size, cuts = row[f"size{i}"], row[f"cuts{i}"]
+        if not size:
+            continue
+        for j, p in enumerate(probabilities):
+            place = (size - 1) * p
+            ranks = (int(place), min(int(place) + 1, size - 1))
+            places[c, p] = (len(targets), place, ranks)
+            targets.append(_Target(known(c), size, tuple(sorted(set(ranks)))))
+            wide = size > leaf_rows
+            edges.append(_edges(cuts[2 * j : 2 * j + 2], wanted[j]) if wide else _Edges())
+    if not targets:
+        return {c: [None] * len(probabilities) for c in columns}
+    found = _resolve(df, targets, edges, leaf_rows)
 
     def at(c: str, p: float) -> float | None:
-        if not sizes[c]:
+        if (c, p) not in places:
             return None
-        rank = int(places[c, p])
-        low = searches[c, rank].value
-        high = searches[c, min(rank + 1, sizes[c] - 1)].value
-        return low + (high - low) * (places[c, p] - rank)
+        index, place, (low, high) = places[c, p]
+        a, b = found[index][low], found[index][high]
+        return a + (b - a) * (place - low)
 
     return {c: [at(c, p) for p in probabilities] for c in columns}
