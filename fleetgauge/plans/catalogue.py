@@ -24,6 +24,7 @@ from fleetgauge.operators import (
     routing,
 )
 from fleetgauge.plans.readings import UNIQUE, messages, readings, timed_readings
+from fleetgauge.plans.streams import STREAMS
 from fleetgauge.rules import ROUTES
 from fleetgauge.schema import KEY, METRICS, READING_COLUMNS
 from fleetgauge.sources import files
@@ -351,4 +352,4 @@ def device_labels(spark, sf_dir):
 
 
 def registered() -> dict[str, Query]:
-    return dict(_REGISTRY)
+    return {**_REGISTRY, **{stream.__name__: stream for stream in STREAMS}}

@@ -346,6 +346,23 @@ def _build() -> dict[str, str]:
         "device_labels": f"WITH {BASE} SELECT DISTINCT CAST(DeviceId AS VARCHAR) AS device_id "
         "FROM readings ORDER BY device_id",
     }
+    routed = (
+        f"WITH {BASE} SELECT event_id, CASE WHEN event_ts IS NULL THEN 'reject' ELSE {ROUTE} END "
+        f"AS route, DeviceId, time, {LIST}, isFail FROM (SELECT *, CASE WHEN event_ts IS NULL "
+        "THEN 1 ELSE row_number() OVER (PARTITION BY event_ts, DeviceId ORDER BY collected_ts) "
+        "END AS rn FROM readings) WHERE rn = 1"
+    )
+    sql["stream_routes"] = sql["stream_route_batches"] = routed
+    sql["stream_latest"] = sql["latest_raw"]
+    sql["stream_hourly_mean"] = (
+        f"WITH {BASE} SELECT DeviceId, ymdh, "
+        + ", ".join(f"round(avg({m}), 4) AS {m}_avg" for m in METRICS)
+        + " FROM readings GROUP BY DeviceId, ymdh, date_trunc('hour', collected_ts) "
+        "HAVING date_trunc('hour', collected_ts) + INTERVAL 1 HOUR "
+        f"<= {NOW} - INTERVAL 10 MINUTE"
+    )
+    sql["stream_rules"] = sql["cleansed_batch_gauges"]
+    sql["stream_landing"] = f"WITH {BASE} SELECT {', '.join(READING_COLUMNS)} FROM readings"
     for route in ROUTES:
         sql[f"route_{route}"] = _row(ROUTE_FILTER[route])
         sql[f"latest_{route}"] = _latest(ROUTE_FILTER[route])

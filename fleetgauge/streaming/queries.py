@@ -133,13 +133,15 @@ def route_in_batches(
     return for_batches(routed, replace_batch(path, layout), checkpoint, every=every)
 
 
-def rules_batch(base: str) -> Callable[[DataFrame, int], None]:
+def rules_batch(
+    base: str, raw_layout: Sequence[str] = RAW_LAYOUT
+) -> Callable[[DataFrame, int], None]:
     """The cleansing stream's outputs for one micro-batch of parsed readings.
 
     Raw archive, alerts, cleansed rows and gauges all come from one read of the batch,
     and each goes to its own folder per batch.
     """
-    raw = replace_batch(f"{base}/raw", RAW_LAYOUT, compression="gzip")
+    raw = replace_batch(f"{base}/raw", raw_layout, compression="gzip")
     lost = replace_batch(f"{base}/alerts", fmt="json")
     clean = replace_batch(f"{base}/cleansed", (KEY,))
     gauges = replace_batch(f"{base}/gauges")
@@ -166,9 +168,13 @@ def current_gauges(batches: DataFrame) -> DataFrame:
 
 
 def run_rules(
-    readings: DataFrame, base: str, checkpoint: str, every: str | None = TRIGGERS["raw"]
+    readings: DataFrame,
+    base: str,
+    checkpoint: str,
+    raw_layout: Sequence[str] = RAW_LAYOUT,
+    every: str | None = TRIGGERS["raw"],
 ) -> StreamingQuery:
-    return for_batches(readings, rules_batch(base), checkpoint, every=every)
+    return for_batches(readings, rules_batch(base, raw_layout), checkpoint, every=every)
 
 
 def await_any(spark: SparkSession) -> None:

@@ -17,10 +17,15 @@ DELAY = "10 minutes"
 def dedup_stream(readings: DataFrame, delay: str = DELAY) -> DataFrame:
     """One row per event time and device; state older than ``delay`` is dropped.
 
-    Rows without an event time are never duplicates of one another and pass through.
+    Rows without an event time would all share one key. They are told apart by their
+    whole content instead, so that none is taken for a copy of another.
     """
-    return readings.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(
-        ["event_ts", KEY]
+    alone = F.when(F.col("event_ts").isNull(), F.to_json(F.struct(*readings.columns)))
+    return (
+        readings.withColumn("_alone", alone)
+        .withWatermark("event_ts", delay)
+        .dropDuplicatesWithinWatermark(["event_ts", KEY, "_alone"])
+        .drop("_alone")
     )
 
 
