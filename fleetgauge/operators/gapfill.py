@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetgauge.operators.ordered import (
+    CHAIN,
     HALO,
     POSITION,
     SPLIT,
     SPLIT_BITS,
+    chain_window,
     in_order,
     split_window,
     with_halo,
@@ -19,38 +21,38 @@ from fleetgauge.operators.ordered import (
 from fleetgauge.schema import KEY, METRICS
 
 
-def _fill_any_gap(ordered: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
+def _any_gap(ordered: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Last value before the row, from its own split or else carried from earlier ones.
 
-    The carried values are one row per (split, key). The rows are already hashed on
+    The carried values are one row per split and chain. The rows are already hashed on
     that pair for the window, so the join adds no shuffle of the big side.
     """
-    ends = ordered.groupBy(SPLIT, key).agg(
+    ends = ordered.groupBy(SPLIT, CHAIN).agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(POSITION))).alias(c) for c in columns]
     )
-    earlier = Window.partitionBy(key).orderBy(SPLIT).rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select(
-        SPLIT, key, *[F.last(c, ignorenulls=True).over(earlier).alias(f"_carry_{c}") for c in columns]
+        SPLIT,
+        CHAIN,
+        *[F.last(c, ignorenulls=True).over(chain_window()).alias(f"_carry_{c}") for c in columns],
     )
-    before = split_window(key).rowsBetween(Window.unboundedPreceding, -1)
+    before = split_window().rowsBetween(Window.unboundedPreceding, -1)
     local = ordered.withColumns(
         {f"_local_{c}": F.last(c, ignorenulls=True).over(before) for c in columns}
     )
-    return local.join(carried, [SPLIT, key], "left").withColumns(
-        {c: F.coalesce(c, f"_local_{c}", f"_carry_{c}") for c in columns}
+    joined = local.join(carried, [SPLIT, CHAIN], "left")
+    return joined.withColumns(
+        {f"_before_{c}": F.coalesce(f"_local_{c}", f"_carry_{c}") for c in columns}
     )
 
 
-def _fill_short_gap(
-    ordered: DataFrame, columns: Sequence[str], key: str, max_gap: int, split_bits: int
+def _short_gap(
+    ordered: DataFrame, columns: Sequence[str], max_gap: int, split_bits: int
 ) -> DataFrame:
-    frame = split_window(key).rowsBetween(-max_gap, -1)
-    filled = with_halo(ordered, max_gap, columns, key, split_bits).withColumns(
-        {f"_local_{c}": F.last(c, ignorenulls=True).over(frame) for c in columns}
-    )
-    return filled.filter(~F.col(HALO)).withColumns(
-        {c: F.coalesce(c, f"_local_{c}") for c in columns}
-    )
+    frame = split_window().rowsBetween(-max_gap, -1)
+    complete = with_halo(ordered, max_gap, columns, split_bits)
+    return complete.withColumns(
+        {f"_before_{c}": F.last(c, ignorenulls=True).over(frame) for c in columns}
+    ).filter(~F.col(HALO))
 
 
 def fill_previous(
@@ -69,10 +71,12 @@ def fill_previous(
     """
     if max_gap is not None and max_gap < 1:
         raise ValueError("max_gap must be at least 1")
-    placed = F.col(key).isNotNull() & F.col(order[0]).isNotNull()
-    ordered = in_order(df.filter(placed), order, key, split_bits)
+    ordered = in_order(df, order, key, split_bits)
     if max_gap is None:
-        filled = _fill_any_gap(ordered, columns, key)
+        looked_back = _any_gap(ordered, columns)
     else:
-        filled = _fill_short_gap(ordered, columns, key, max_gap, split_bits)
-    return filled.select(*df.columns).unionByName(df.filter(~placed))
+        looked_back = _short_gap(ordered, columns, max_gap, split_bits)
+    placed = F.col(CHAIN).isNotNull()
+    return looked_back.withColumns(
+        {c: F.coalesce(F.col(c), F.when(placed, F.col(f"_before_{c}"))) for c in columns}
+    ).select(*df.columns)

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetgauge.operators.latest import first_per_group, is_recent, latest_per_route, newest
+from fleetgauge.operators.latest import is_recent, latest_per_route, newest
 from fleetgauge.rules import (
     BATCH_METRIC_NAMES,
     FAMILY_OF_ROUTE,
@@ -30,17 +30,19 @@ def to_long(df: DataFrame, ids: Sequence[str], metrics: Sequence[str] = METRICS)
 def families(per_route: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Winners per route to winners per gauge family.
 
-    The raw family is the newest over all routes and ages, so it is read off those
-    winners, a few rows per device, instead of a second pass over the readings.
+    A winner stands for its route's family while it is recent, and the newest winner of
+    a device also for the raw family, which spans all routes and ages. Both are read
+    off the winners, a few rows per device, so the readings are scanned once.
     """
-    raw = first_per_group(per_route, [KEY], newest(tiebreak)).withColumn(
-        "family", F.lit(RAW_FAMILY)
-    )
+    place = F.row_number().over(Window.partitionBy(KEY).orderBy(*newest(tiebreak)))
     named = F.create_map(*[F.lit(x) for pair in FAMILY_OF_ROUTE.items() for x in pair])
-    routed = per_route.filter(F.col("route").isin(*FAMILY_OF_ROUTE) & F.col("recent")).withColumn(
-        "family", F.element_at(named, F.col("route"))
+    own = F.when(F.col("recent"), F.try_element_at(named, F.col("route")))
+    raw = F.when(F.col("_place") == 1, F.lit(RAW_FAMILY))
+    return (
+        per_route.withColumn("_place", place)
+        .withColumn("family", F.explode(F.array_compact(F.array(own, raw))))
+        .drop("_place")
     )
-    return routed.unionByName(raw)
 
 
 def metric_snapshot(

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from fleetgauge.schema import KEY
 from fleetgauge.session import materialise
 
-POSITION, SPLIT, HALO = "_position", "_split", "_halo"
+POSITION, SPLIT, HALO, CHAIN = "_position", "_split", "_halo", "_chain"
 SPLIT_BITS = 16  # rows per split, as a power of two
 _ROW_BITS = 33  # a row's number within its partition, in monotonically_increasing_id
 
@@ -24,7 +24,10 @@ _ROW_BITS = 33  # a row's number within its partition, in monotonically_increasi
 def in_order(
     df: DataFrame, order: Sequence[str], key: str = KEY, split_bits: int = SPLIT_BITS
 ) -> DataFrame:
-    """Rows in ``(key, *order)`` order with their global position and split.
+    """Rows in ``(key, *order)`` order with their chain, global position and split.
+
+    The chain is the key, or NULL for a row without a key or time: such a row has no
+    place in any order, is in no other row's frame, and is kept all the same.
 
     Positions grow by one inside a sorted partition and jump to the next one, so their
     high bits name a run of at most 65,536 consecutive rows: the split. No group of a
@@ -36,26 +39,31 @@ def in_order(
     a group of copies is spread out.
     """
     ranked = df.withColumns(
-        {"_content": F.xxhash64(*df.columns), "_arrival": F.monotonically_increasing_id()}
+        {
+            CHAIN: F.when(F.col(order[0]).isNotNull(), F.col(key)),
+            "_content": F.xxhash64(*df.columns),
+            "_arrival": F.monotonically_increasing_id(),
+        }
     )
-    keys = [F.col(c).asc_nulls_first() for c in (key, *order, "_content", "_arrival")]
+    keys = [F.col(c).asc_nulls_first() for c in (CHAIN, *order, "_content", "_arrival")]
     ranked = ranked.orderBy(*keys).drop("_content", "_arrival")
     placed = ranked.withColumn(POSITION, F.monotonically_increasing_id())
     return materialise(placed.withColumn(SPLIT, F.shiftright(POSITION, split_bits)), "ordered")
 
 
-def split_window(key: str = KEY):
-    return Window.partitionBy(SPLIT, key).orderBy(POSITION)
+def split_window():
+    return Window.partitionBy(SPLIT, CHAIN).orderBy(POSITION)
+
+
+def chain_window():
+    """Over summaries of the splits: one row per split and chain."""
+    return Window.partitionBy(CHAIN).orderBy(SPLIT).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def with_halo(
-    ordered: DataFrame,
-    rows: int,
-    columns: Sequence[str],
-    key: str = KEY,
-    split_bits: int = SPLIT_BITS,
+    ordered: DataFrame, rows: int, columns: Sequence[str], split_bits: int = SPLIT_BITS
 ) -> DataFrame:
-    """Give every (split, key) group the ``rows`` rows that precede it elsewhere.
+    """Give every (split, chain) group the ``rows`` rows that precede it elsewhere.
 
     The borrowed rows are marked, so that a frame of up to ``rows`` preceding rows is
     complete inside each group and the marked rows are dropped afterwards. They carry
@@ -64,14 +72,14 @@ def with_halo(
     """
     position, last = F.col(POSITION), (1 << split_bits) - 1
     partition = F.shiftright(POSITION, _ROW_BITS)
-    earlier = Window.partitionBy(key).orderBy(SPLIT).rowsBetween(Window.unboundedPreceding, -1)
     groups = (
-        ordered.groupBy(SPLIT, key)
+        ordered.filter(F.col(CHAIN).isNotNull())
+        .groupBy(SPLIT, CHAIN)
         .agg(F.count("*").alias("_n"), F.min(POSITION).alias("_first"))
-        .withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        .withColumn("_start", F.coalesce(F.sum("_n").over(chain_window()), F.lit(0)))
     )
     wanted = groups.filter("_start > 0").select(
-        key,
+        CHAIN,
         F.col(SPLIT).alias("_target"),
         F.explode(
             F.sequence(F.greatest(F.lit(0), F.col("_start") - rows), F.col("_start") - 1)
@@ -80,13 +88,13 @@ def with_halo(
     # One row per sorted partition: never more than the shuffle has partitions.
     ends = ordered.groupBy(partition.alias("_partition")).agg(F.max(POSITION).alias("_end"))
     tails = (
-        ordered.select(key, SPLIT, POSITION, *columns, partition.alias("_partition"))
+        ordered.select(CHAIN, SPLIT, POSITION, *columns, partition.alias("_partition"))
         .join(F.broadcast(ends), "_partition")
         .filter((position.bitwiseAND(last) > last - rows) | (position > F.col("_end") - rows))
-        .join(groups, [SPLIT, key])
+        .join(groups, [SPLIT, CHAIN])
         .withColumn("_index", F.col("_start") + position - F.col("_first"))
     )
-    halo = tails.join(wanted, [key, "_index"]).select(
-        key, F.col("_target").alias(SPLIT), POSITION, *columns, F.lit(True).alias(HALO)
+    halo = tails.join(wanted, [CHAIN, "_index"]).select(
+        CHAIN, F.col("_target").alias(SPLIT), POSITION, *columns, F.lit(True).alias(HALO)
     )
     return ordered.withColumn(HALO, F.lit(False)).unionByName(halo, allowMissingColumns=True)

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetgauge.operators.ordered import HALO, SPLIT_BITS, in_order, split_window, with_halo
+from fleetgauge.operators.ordered import CHAIN, HALO, SPLIT_BITS, in_order, split_window, with_halo
 from fleetgauge.operators.quantiles import exact_quantiles, known
 from fleetgauge.rules import IQR_THRESHOLD, ROLLING_ROWS, Z_LIMITS
 from fleetgauge.schema import KEY, METRICS
@@ -128,27 +128,18 @@ def flag_rolling(
 
     Rows without a key or event time are in no such window and are ``NORMAL``.
     """
-    placed = F.col(key).isNotNull() & F.col(order[0]).isNotNull()
-    ordered = in_order(df.filter(placed), order, key, split_bits)
-    complete = with_halo(ordered, rows - 1, columns, key, split_bits)
-    frame = split_window(key).rowsBetween(-(rows - 1), 0)
-    names = [f"{c}_outlier" for c in columns]
+    ordered = in_order(df, order, key, split_bits)
+    complete = with_halo(ordered, rows - 1, columns, split_bits)
+    frame = split_window().rowsBetween(-(rows - 1), 0)
     windows = (
         complete.withColumns({f"_k_{c}": known(c) for c in columns})
         .withColumns({f"_v_{c}": F.collect_list(f"_k_{c}").over(frame) for c in columns})
         .filter(~F.col(HALO))
+        .withColumns({f"_v_{c}": F.sort_array(f"_v_{c}") for c in columns})
     )
-    flagged = (
-        windows.withColumns({f"_v_{c}": F.sort_array(f"_v_{c}") for c in columns})
-        .withColumns(
-            {
-                f"{c}_outlier": _flag(
-                    _outside(F.col(c), *(_of_sorted(F.col(f"_v_{c}"), p) for p in QUARTILES), threshold)
-                )
-                for c in columns
-            }
-        )
-        .select(*df.columns, *names)
-    )
-    unplaced = df.filter(~placed).withColumns({n: F.lit("NORMAL") for n in names})
-    return flagged.unionByName(unplaced)
+    placed = F.col(CHAIN).isNotNull()
+    flags = {}
+    for c in columns:
+        q1, q3 = (_of_sorted(F.col(f"_v_{c}"), p) for p in QUARTILES)
+        flags[f"{c}_outlier"] = _flag(placed & _outside(F.col(c), q1, q3, threshold))
+    return windows.withColumns(flags).select(*df.columns, *flags)

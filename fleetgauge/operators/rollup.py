@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetgauge.functions.predicates import valid_range
+from fleetgauge.functions.timeparts import parse_time
 from fleetgauge.rules import REPORT_HEADER, REPORT_METRICS
 from fleetgauge.schema import KEY, METRICS
 
@@ -22,7 +23,7 @@ def mean_known(column: str) -> Column:
 def device_batch_stats(df: DataFrame) -> DataFrame:
     """Averages per device over a batch, its newest time, and its fault rate in percent."""
     return df.groupBy(KEY).agg(
-        F.max("time").alias("latest_time"),
+        F.max(parse_time("time")).alias("latest_time"),
         *[F.avg(c).alias(c) for c in METRICS],
         (F.avg(F.col("isFail").cast("int")) * 100).alias("fail_rate"),
     )

@@ -217,9 +217,8 @@ def hourly_device_report(spark, sf_dir):
 
 @query
 def device_batch_stats(spark, sf_dir):
-    df = timed_readings(spark, sf_dir).filter("event_ts is not null")
-    stats = rollup.device_batch_stats(df)
-    return stats.select(KEY, "latest_time", *rounded(*METRICS, "fail_rate"))
+    stats = rollup.device_batch_stats(readings(spark, sf_dir))
+    return stats.select(KEY, shown("latest_time"), *rounded(*METRICS, "fail_rate"))
 
 
 @query

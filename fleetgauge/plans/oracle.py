@@ -128,7 +128,7 @@ MEANS = (
     + f" FROM readings WHERE {ROUTE_FILTER['data']} GROUP BY DeviceId, ymdh)"
 )
 STATS = (
-    "max(time) AS latest_time, "
+    "max(TRY_CAST(time AS TIMESTAMP)) AS latest_time, "
     + ", ".join(f"round(avg({m}), 4) AS {m}" for m in METRICS)
     + ", round(avg(CAST(isFail AS INT)) * 100, 4) AS fail_rate"
 )
@@ -280,8 +280,9 @@ def _build() -> dict[str, str]:
         "substr(ymdh, 9, 2) AS hh, printf('%02d', DeviceId) AS device, "
         "'[집계 데이터 : ' || substr(ymdh, 1, 8) || ' - ' || substr(ymdh, 9, 2) || ']' || chr(10) "
         f"|| {_REPORT} AS report FROM means",
-        "device_batch_stats": f"WITH {BASE} SELECT DeviceId, {STATS} FROM readings "
-        "WHERE event_ts IS NOT NULL GROUP BY DeviceId",
+        "device_batch_stats": f"WITH {BASE}, stats AS (SELECT DeviceId, {STATS} FROM readings "
+        f"GROUP BY DeviceId) SELECT * REPLACE (strftime(latest_time, '{MICROS}') AS latest_time) "
+        "FROM stats",
         "cleansed_batch_gauges": f"WITH {BASE}, {CLEAN}, stats AS (SELECT DeviceId, {STATS}, "
         "1.0 AS online FROM cleansed GROUP BY DeviceId) "
         + " UNION ALL ".join(
