@@ -363,6 +363,7 @@ def _build() -> dict[str, str]:
         f"<= {NOW} - INTERVAL 10 MINUTE"
     )
     sql["stream_rules"] = sql["cleansed_batch_gauges"]
+    sql["stream_fill_previous"] = sql["fill_previous"]
     sql["stream_landing"] = f"WITH {BASE} SELECT {', '.join(READING_COLUMNS)} FROM readings"
     for route in ROUTES:
         sql[f"route_{route}"] = _row(ROUTE_FILTER[route])

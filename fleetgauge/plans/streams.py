@@ -79,6 +79,15 @@ def stream_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gauges.select("metric", "device_id", F.round("value", 4).alias("value"))
 
 
+def stream_fill_previous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gaps filled batch by batch from what each device last knew."""
+    base = scratch_path(spark, "stream-fill")
+    timed = with_times(readings_stream(spark, sf_dir))
+    store = run.fill_batch(base, order=("event_ts", "collected_ts", *UNIQUE))
+    run.for_batches(timed, store, f"{base}/checkpoint", every=None).awaitTermination()
+    return spark.read.parquet(f"{base}/filled").select(*UNIQUE, *READING_COLUMNS)
+
+
 def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages landed as lines by one stream, picked up and parsed by a second."""
     base = scratch_path(spark, "stream-landing")
@@ -96,5 +105,6 @@ STREAMS = (
     stream_latest,
     stream_hourly_mean,
     stream_rules,
+    stream_fill_previous,
     stream_landing,
 )

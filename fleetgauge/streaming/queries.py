@@ -11,13 +11,16 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from fleetgauge.functions.timeparts import parse_time, with_calendar
 from fleetgauge.operators.cleansing import alerts, cast_motors, cleanse, require_keys
+from fleetgauge.operators.gapfill import fill_previous
 from fleetgauge.operators.metrics import batch_gauges
 from fleetgauge.operators.rollup import device_batch_stats
-from fleetgauge.schema import KEY
+from fleetgauge.schema import KEY, METRICS
+from fleetgauge.session import materialise
 from fleetgauge.sinks.tables import LAYOUT, RAW_LAYOUT, packed
 
 # Trigger intervals per sink.
@@ -177,6 +180,40 @@ def run_rules(
     return for_batches(readings, rules_batch(base, raw_layout), checkpoint, every=every)
 
 
+def fill_batch(
+    base: str, columns: Sequence[str] = METRICS, order: Sequence[str] = ("event_ts", "collected_ts")
+) -> Callable[[DataFrame, int], None]:
+    """Previous-value fill on a stream.
+
+    Inside a batch, readings are filled in event-time order. What each device last
+    knew is stored per batch, one row per device, and leads the next batch, so a gap at
+    the start of a batch is filled from the one before it. A replayed batch starts from
+    the same stored values.
+    """
+    rows, values = replace_batch(f"{base}/filled"), replace_batch(f"{base}/known")
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        schema = T.StructType([f for f in batch.schema if f.name in (KEY, *columns)])
+        seeds = spark.createDataFrame([], schema)
+        if batch_id > 0:
+            seeds = spark.read.schema(schema).parquet(f"{base}/known/batch_id={batch_id - 1}")
+        first = F.lit("0001-01-01").cast("timestamp")
+        lead = seeds.withColumns({order[0]: first, "_lead": F.lit(True)})
+        both = batch.withColumn("_lead", F.lit(False)).unionByName(lead, allowMissingColumns=True)
+        filled = materialise(fill_previous(both, columns, order), "filled-batch")
+        rows(filled.filter(~F.col("_lead")).select(*batch.columns), batch_id)
+        newest = F.struct(*order)
+        values(
+            filled.filter(F.col(KEY).isNotNull() & F.col(order[0]).isNotNull())
+            .groupBy(KEY)
+            .agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), newest)).alias(c) for c in columns]),
+            batch_id,
+        )
+
+    return store
+
+
 def await_any(spark: SparkSession) -> None:
     """Return, or raise, as soon as any query ends; waiting in turn hides failures."""
     spark.streams.awaitAnyTermination()

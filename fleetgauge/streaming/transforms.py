@@ -12,21 +12,27 @@ from fleetgauge.operators.rollup import mean_known
 from fleetgauge.schema import KEY, METRICS
 
 DELAY = "10 minutes"
+SPREAD = 8
 
 
-def dedup_stream(readings: DataFrame, delay: str = DELAY) -> DataFrame:
+def dedup_stream(readings: DataFrame, delay: str = DELAY, spread: int = SPREAD) -> DataFrame:
     """One row per event time and device; state older than ``delay`` is dropped.
 
     Rows without an event time would all share one key. They are told apart by their
     whole content instead, so that none is taken for a copy of another.
+
+    A reading sent over and over would put all of its copies into one task. They are
+    first thinned out in ``spread`` groups by where they were read, so at most that
+    many copies of a reading per batch meet in one place. ``spread=1`` skips that step.
     """
     alone = F.when(F.col("event_ts").isNull(), F.to_json(F.struct(*readings.columns)))
-    return (
-        readings.withColumn("_alone", alone)
-        .withWatermark("event_ts", delay)
-        .dropDuplicatesWithinWatermark(["event_ts", KEY, "_alone"])
-        .drop("_alone")
-    )
+    keys = ["event_ts", KEY, "_alone"]
+    marked = readings.withColumn("_alone", alone).withWatermark("event_ts", delay)
+    if spread > 1:
+        marked = marked.withColumn(
+            "_spread", F.pmod(F.spark_partition_id(), F.lit(spread))
+        ).dropDuplicatesWithinWatermark([*keys, "_spread"])
+    return marked.dropDuplicatesWithinWatermark(keys).select(*readings.columns)
 
 
 def route_stream(

@@ -143,6 +143,47 @@ def test_rules_stream(spark, landed):
     assert values["fms_sensor1_value", "1"] == 1.0
 
 
+def test_fill_carries_over_batches_and_replays(spark, folder):
+    land(folder, "1", at(0, sensor1=1.0), at(1, sensor1=None), at(0, DeviceId=2, sensor1=None))
+    land(folder, "2", at(2, sensor1=None, sensor2=7.0), at(3, DeviceId=3, sensor1=3.0))
+    land(folder, "3", at(4, sensor1=None, sensor2=None), at(5, DeviceId=2, sensor1=2.0))
+    land(folder, "4", at(6, DeviceId=3, sensor1=None), at(6, time=None, sensor1=None))
+    store = run.fill_batch(folder)
+    timed = with_times(source(spark, folder))
+    finish(run.for_batches(timed, store, f"{folder}/c", every=None))
+
+    def filled():
+        return spark.read.parquet(f"{folder}/filled").drop("batch_id", "event_ts", "collected_ts")
+
+    got = {(r.time, r.DeviceId): (r.sensor1, r.sensor2) for r in filled().collect()}
+    assert got == {
+        (at(0)["time"], 1): (1.0, 1.0),
+        (at(1)["time"], 1): (1.0, 1.0),
+        (at(0)["time"], 2): (None, 1.0),
+        (at(2)["time"], 1): (1.0, 7.0),
+        (at(3)["time"], 3): (3.0, 1.0),
+        (at(4)["time"], 1): (1.0, 7.0),
+        (at(5)["time"], 2): (2.0, 1.0),
+        (at(6)["time"], 3): (3.0, 1.0),
+        (None, 1): (None, 1.0),
+    }
+    batch = with_times(frame(spark, at(6, DeviceId=3, sensor1=None), at(6, time=None, sensor1=None)))
+    before = rows_of(filled())
+    store(batch, 3)
+    assert rows_of(filled()) == before
+
+
+@pytest.mark.parametrize("spread", [1, 4])
+def test_many_copies_of_one_reading(spark, folder, spread):
+    for name in "123":
+        land(folder, name, *[at(0)] * 40, at(int(name)))
+    stream = dedup_stream(
+        with_times(json_stream(spark, f"{folder}/{HOURLY_GLOB}", files_per_trigger=2)), spread=spread
+    )
+    finish(run.to_files(stream, f"{folder}/out", f"{folder}/c", every=None))
+    assert spark.read.parquet(f"{folder}/out").count() == 4
+
+
 def test_payloads_are_archived_unparsed(spark, landed):
     sent = to_messages(source(spark, landed))
     finish(run.land_messages(sent, f"{landed}/raw", f"{landed}/c", every=None))
