@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,8 +51,25 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_scope: ContextVar[str | None] = ContextVar("scratch folder", default=None)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return os.path.join(shared_folder(spark), "fleetgauge", f"{label}-{uuid.uuid4().hex}")
+    parent = _scope.get() or os.path.join(shared_folder(spark), "fleetgauge")
+    return os.path.join(parent, f"{label}-{uuid.uuid4().hex}")
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch tables made inside once their results are written."""
+    folder = scratch_path(spark, "scope")
+    token = _scope.set(folder)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

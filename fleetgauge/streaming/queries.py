@@ -20,7 +20,7 @@ from fleetgauge.operators.gapfill import fill_previous
 from fleetgauge.operators.metrics import batch_gauges
 from fleetgauge.operators.rollup import device_batch_stats
 from fleetgauge.schema import KEY, METRICS
-from fleetgauge.session import materialise
+from fleetgauge.session import scratch_scope
 from fleetgauge.sinks.tables import LAYOUT, RAW_LAYOUT, packed
 
 # Trigger intervals per sink.
@@ -191,6 +191,7 @@ def fill_batch(
     the same stored values.
     """
     rows, values = replace_batch(f"{base}/filled"), replace_batch(f"{base}/known")
+    newest = F.struct(*order)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -201,11 +202,14 @@ def fill_batch(
         first = F.lit("0001-01-01").cast("timestamp")
         lead = seeds.withColumns({order[0]: first, "_lead": F.lit(True)})
         both = batch.withColumn("_lead", F.lit(False)).unionByName(lead, allowMissingColumns=True)
-        filled = materialise(fill_previous(both, columns, order), "filled-batch")
-        rows(filled.filter(~F.col("_lead")).select(*batch.columns), batch_id)
-        newest = F.struct(*order)
+        with scratch_scope(spark):
+            filled = fill_previous(both, columns, order)
+            rows(filled.filter(~F.col("_lead")).select(*batch.columns), batch_id)
+        written = spark.read.schema(batch.schema).parquet(f"{base}/filled/batch_id={batch_id}")
+        placed = F.col(KEY).isNotNull() & F.col(order[0]).isNotNull()
         values(
-            filled.filter(F.col(KEY).isNotNull() & F.col(order[0]).isNotNull())
+            written.filter(placed)
+            .unionByName(lead.drop("_lead"), allowMissingColumns=True)
             .groupBy(KEY)
             .agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), newest)).alias(c) for c in columns]),
             batch_id,
