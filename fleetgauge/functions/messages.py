@@ -66,6 +66,11 @@ def malformed(parsed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return parsed.filter("malformed").select(*keep, "text")
 
 
+def with_reject_text(parsed: DataFrame) -> DataFrame:
+    """All rows; the text is kept only where nothing else of the message was readable."""
+    return parsed.withColumn("text", F.when(F.col("malformed"), F.col("text"))).drop("malformed")
+
+
 def stamp_collected(df: DataFrame, clock: Column | None = None) -> DataFrame:
     """Stamp arrival time; ``clock`` replaces the wall clock in tests."""
     now = clock if clock is not None else F.current_timestamp()

@@ -10,7 +10,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetgauge.functions.messages import malformed, parse_messages, well_formed
+from fleetgauge.functions.messages import malformed, parse_messages, with_reject_text
 from fleetgauge.functions.timeparts import check_hour, default_report_hour, hours_touched
 from fleetgauge.operators.metrics import metric_snapshot
 from fleetgauge.operators.rollup import hourly_device_mean, hourly_device_report
@@ -18,16 +18,18 @@ from fleetgauge.rules import RETENTION_MINUTES
 from fleetgauge.session import build_session
 from fleetgauge.sinks import tables
 from fleetgauge.sources.bus import bus_stream
-from fleetgauge.sources.files import hour_slice, json_stream, routed_table
+from fleetgauge.sources.files import hour_slice, routed_table, text_stream
 from fleetgauge.streaming import queries
 from fleetgauge.streaming.transforms import route_stream
 
 
 def _source(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    """Parsed readings from the bus, or from landed JSON lines."""
+    """Parsed readings from the bus, or from landed JSON lines, unreadable ones included."""
     if args.brokers:
-        return well_formed(parse_messages(bus_stream(spark, args.brokers, args.topic)))
-    return json_stream(spark, args.input, files_per_trigger=args.files_per_trigger)
+        lines = bus_stream(spark, args.brokers, args.topic)
+    else:
+        lines = text_stream(spark, args.input, args.files_per_trigger)
+    return with_reject_text(parse_messages(lines))
 
 
 def _every(args: argparse.Namespace, usual: str) -> str | None:

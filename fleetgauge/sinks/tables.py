@@ -88,7 +88,8 @@ def compact_hours(
 ) -> None:
     """Rewrite closed hours of a staging table as few large files.
 
-    Replaces whole partitions of the target, so running it again changes nothing.
+    Replaces whole partitions of the target, so running it again changes nothing. Rows
+    without an hour stay in the staging table.
     """
     chosen = staged.filter(F.col("ymdh").isin(*hours)).drop("batch_id")
     write_partitioned(chosen, path, layout, replace_partitions=True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,13 +16,14 @@ from fleetgauge.schema import KEY, READING
 # A landing folder of the form year/month/day/hour.
 HOURLY_GLOB = "*/*/*/*/*.json"
 
-# The routed table, partition columns last. Hour keys stay text: left to inference
+# The routed table, partition columns last; `text` holds payloads that could not be read. Hour keys stay text: left to inference
 # they would come back as numbers.
 ROUTED = T.StructType(
     [f for f in READING.fields if f.name != KEY]
     + [
         T.StructField("event_ts", T.TimestampType()),
         T.StructField("collected_ts", T.TimestampType()),
+        T.StructField("text", T.StringType()),
         T.StructField("route", T.StringType()),
         T.StructField("ymdh", T.StringType()),
         T.StructField(KEY, T.IntegerType()),
@@ -67,6 +69,15 @@ def landed_json(spark: SparkSession, path: str, schema: T.StructType = READING)
     return _or_empty(spark, schema, lambda: spark.read.schema(schema).json(path))
 
 
+def landed_hours(
+    spark: SparkSession, base: str, hours: Sequence[str], schema: T.StructType = READING
+) -> DataFrame:
+    """Hour folders ``base/YYYY/MM/DD/HH``; one that has not landed yet adds no rows."""
+    folders = [f"{h[:4]}/{h[4:6]}/{h[6:8]}/{h[8:]}" for h in map(check_hour, hours)]
+    slices = [landed_json(spark, f"{base}/{folder}", schema) for folder in folders]
+    return reduce(DataFrame.unionByName, slices)
+
+
 def routed_table(spark: SparkSession, path: str, schema: T.StructType = ROUTED) -> DataFrame:
     return _or_empty(spark, schema, lambda: spark.read.schema(schema).parquet(path))
 

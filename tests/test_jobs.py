@@ -3,17 +3,24 @@
 import glob
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from fleetgauge import jobs
 from fleetgauge.session import scratch_path, scratch_scope
-from fleetgauge.sources.files import HOURLY_GLOB, routed_table
+from fleetgauge.sources.bus import bus_stream
+from fleetgauge.sources.files import HOURLY_GLOB, landed_hours, routed_table
 from tests.test_streaming import at, land
 
 
 def test_file_jobs_end_to_end(spark, folder):
     land(folder, "1", at(0, sensor1=2.0), at(0, sensor1=2.0), at(5, DeviceId=2, sensor1=500.0))
     land(folder, "2", at(61, sensor1=4.0), at(62, isFail=True), at(63, time=None))
-    run = lambda *argv: jobs.main(list(argv), spark)
+    with open(f"{folder}/2024/01/01/00/2.json", "a") as out:
+        out.write('{"time":"2024-01-01T00:\n')
+
+    def run(*argv):
+        jobs.main(list(argv), spark)
+
     stream = ["--input", f"{folder}/{HOURLY_GLOB}", "--once"]
     run("route", *stream, "--out", f"{folder}/staging", "--checkpoint", f"{folder}/c1")
     hours = ["2024010100", "2024010101"]
@@ -22,6 +29,8 @@ def test_file_jobs_end_to_end(spark, folder):
     assert {r.route: r["count"] for r in table.groupBy("route").count().collect()} == {
         "data": 2, "dataerr": 1, "fail": 1, "reject": 1,
     }
+    rejects = routed_table(spark, f"{folder}/staging").filter("route = 'reject'")
+    assert {r.text for r in rejects.collect()} == {None, '{"time":"2024-01-01T00:'}
     run("snapshot", "--input", f"{folder}/table", "--out", f"{folder}/gauges",
         "--as-of", "2024-01-01T01:30:00")
     gauges = {(r.metric, r.device_id): r.value for r in spark.read.parquet(f"{folder}/gauges").collect()}
@@ -46,3 +55,13 @@ def test_scope_removes_its_scratch_tables(spark):
         spark.range(3).write.parquet(path)
         assert glob.glob(f"{path}/*.parquet")
     assert not glob.glob(path)
+
+
+def test_landed_hours(spark, folder):
+    land(folder, "1", at(0), at(1))
+    assert landed_hours(spark, folder, ["2024010100", "2024010101"]).count() == 2
+
+
+def test_bus_needs_its_connector(spark):
+    with pytest.raises(AnalysisException, match="kafka"):
+        bus_stream(spark, "localhost:1", "readings", "latest", 1000)
