@@ -48,6 +48,15 @@ def shown(column: str, pattern: str = MICROS) -> Column:
     return F.date_format(column, pattern).alias(column)
 
 
+def text(*columns: str) -> list[Column]:
+    """Whole numbers and booleans that may be NULL leave as text: clients differ on them."""
+    return [F.col(c).cast("string").alias(c) for c in columns]
+
+
+def rows(df: DataFrame) -> DataFrame:
+    return df.select(*[c for c in ROW if c != "isFail"], *text("isFail"))
+
+
 def rounded(*columns: str) -> list[Column]:
     return [F.round(c, 4).alias(c) for c in columns]
 
@@ -68,7 +77,7 @@ def to_message(spark, sf_dir):
 @query
 def parse_json(spark, sf_dir):
     parsed = msg.parse_messages(messages(spark, sf_dir), keep=UNIQUE)
-    return msg.well_formed(parsed).select(*ROW)
+    return rows(msg.well_formed(parsed))
 
 
 @query
@@ -80,7 +89,11 @@ def malformed_json(spark, sf_dir):
 def derive_time(spark, sf_dir):
     df = with_calendar(with_hour_key(timed_readings(spark, sf_dir)))
     return df.select(
-        *SHORT, shown("event_ts"), shown("collected_ts"), "ymdh", "year", "month", "day", "hour"
+        *SHORT,
+        shown("event_ts"),
+        shown("collected_ts"),
+        "ymdh",
+        *text("year", "month", "day", "hour"),
     )
 
 
@@ -100,12 +113,12 @@ def cast_motors(spark, sf_dir):
 
 @query
 def valid_range_flag(spark, sf_dir):
-    return routing.flag_valid(readings(spark, sf_dir)).select(*SHORT, "valid")
+    return routing.flag_valid(readings(spark, sf_dir)).select(*SHORT, *text("valid"))
 
 
 def _route(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return routing.take_route(readings(spark, sf_dir), name).select(*ROW)
+        return rows(routing.take_route(readings(spark, sf_dir), name))
 
     return run
 
@@ -123,27 +136,28 @@ def route_counts(spark, sf_dir):
 
 @query
 def reject_null_keys(spark, sf_dir):
-    return cleansing.require_keys(readings(spark, sf_dir)).select(*ROW)
+    return rows(cleansing.require_keys(readings(spark, sf_dir)))
 
 
 @query
 def alerts(spark, sf_dir):
-    return cleansing.alerts(readings(spark, sf_dir)).select(*ROW)
+    return rows(cleansing.alerts(readings(spark, sf_dir)))
 
 
 @query
 def ingest_gate(spark, sf_dir):
-    return cleansing.ingest_gate(readings(spark, sf_dir)).select(*ROW)
+    return rows(cleansing.ingest_gate(readings(spark, sf_dir)))
 
 
 @query
 def validate_types(spark, sf_dir):
-    return cleansing.validate_types(readings(spark, sf_dir)).select(*ROW)
+    valid = cleansing.validate_types(readings(spark, sf_dir))
+    return rows(valid).withColumn(KEY, F.col(KEY).cast("string"))
 
 
 @query
 def handle_nulls(spark, sf_dir):
-    return cleansing.handle_nulls(readings(spark, sf_dir)).select(*ROW)
+    return rows(cleansing.handle_nulls(readings(spark, sf_dir)))
 
 
 def _cleansed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,7 +167,7 @@ def _cleansed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def cleanse(spark, sf_dir):
-    return _cleansed(spark, sf_dir).select(*ROW)
+    return rows(_cleansed(spark, sf_dir))
 
 
 # Latest, recency, deduplication
@@ -187,7 +201,7 @@ def recent_readings(spark, sf_dir):
 
 @query
 def dedup_readings(spark, sf_dir):
-    return latest.dedup_readings(timed_readings(spark, sf_dir), tiebreak=UNIQUE).select(*ROW)
+    return rows(latest.dedup_readings(timed_readings(spark, sf_dir), tiebreak=UNIQUE))
 
 
 @query
@@ -254,7 +268,8 @@ def device_online(spark, sf_dir):
 
 @query
 def distinct_partitions(spark, sf_dir):
-    return partitions.distinct_partitions(with_calendar(timed_readings(spark, sf_dir)))
+    timed = timed_readings(spark, sf_dir).filter("event_ts is not null")
+    return partitions.distinct_partitions(with_calendar(timed))
 
 
 @query
@@ -297,13 +312,13 @@ def outlier_rolling(spark, sf_dir):
 
 @query
 def fill_previous(spark, sf_dir):
-    return gapfill.fill_previous(timed_readings(spark, sf_dir), order=ORDER).select(*ROW)
+    return rows(gapfill.fill_previous(timed_readings(spark, sf_dir), order=ORDER))
 
 
 @query
 def fill_previous_one_step(spark, sf_dir):
     filled = gapfill.fill_previous(timed_readings(spark, sf_dir), order=ORDER, max_gap=1)
-    return filled.select(*ROW)
+    return rows(filled)
 
 
 # Gauges and panels

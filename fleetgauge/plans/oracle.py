@@ -314,7 +314,7 @@ def _build() -> dict[str, str]:
         "FROM fleet f LEFT JOIN seen USING (DeviceId)",
         "distinct_partitions": f"WITH {BASE} SELECT DISTINCT CAST(year(event_ts) AS INT) AS year, "
         "CAST(month(event_ts) AS INT) AS month, CAST(day(event_ts) AS INT) AS day, "
-        "CAST(hour(event_ts) AS INT) AS hour, DeviceId FROM readings",
+        "CAST(hour(event_ts) AS INT) AS hour, DeviceId FROM readings WHERE event_ts IS NOT NULL",
         "partition_inventory": f"WITH {BASE} SELECT DISTINCT DeviceId, ymdh FROM readings "
         "ORDER BY DeviceId, ymdh",
         "outlier_bounds": f"WITH {BASE}, {_bounds()} {_BOUND_ROWS}",
@@ -371,5 +371,27 @@ def _build() -> dict[str, str]:
     return sql
 
 
+# Columns that leave as text because they may be NULL.
+_TEXT = {
+    "valid_range_flag": ("valid",),
+    "validate_types": ("isFail", "DeviceId"),
+    "derive_time": ("year", "month", "day", "hour"),
+    "stream_landing": ("isFail",),
+    "stream_fill_previous": ("isFail",),
+    "stream_routes": ("isFail",),
+    "stream_route_batches": ("isFail",),
+    **dict.fromkeys(
+        ("parse_json", "reject_null_keys", "alerts", "ingest_gate", "handle_nulls", "cleanse",
+         "dedup_readings", "fill_previous", "fill_previous_one_step", "route_data",
+         "route_dataerr", "route_fail"),
+        ("isFail",),
+    ),
+}
+
+
 def statements() -> dict[str, str]:
-    return _build()
+    sql = _build()
+    for name, columns in _TEXT.items():
+        shown = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in columns)
+        sql[name] = f"SELECT * REPLACE ({shown}) FROM ({sql[name]})"
+    return sql

@@ -5,7 +5,7 @@ Each run has a folder of its own in the shared folder the cluster names.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetgauge.functions.messages import parse_messages, to_messages, well_formed
@@ -18,7 +18,12 @@ from fleetgauge.sources.files import text_stream
 from fleetgauge.streaming import queries as run
 from fleetgauge.streaming.transforms import hourly_mean_stream, latest_stream, route_stream
 
-ROUTED = ("event_id", "route", KEY, "time", *METRICS, "isFail")
+ROUTED = ("event_id", "route", KEY, "time", *METRICS)
+SENT = [c for c in READING_COLUMNS if c != "isFail"]
+
+
+def _fault() -> Column:
+    return F.col("isFail").cast("string").alias("isFail")
 
 
 def readings_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +40,7 @@ def stream_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     run.route_to_files(
         routed, f"{base}/table", f"{base}/checkpoint", layout=("route",), every=None
     ).awaitTermination()
-    return spark.read.parquet(f"{base}/table").select(*ROUTED)
+    return spark.read.parquet(f"{base}/table").select(*ROUTED, _fault())
 
 
 def stream_route_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +50,7 @@ def stream_route_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     run.route_in_batches(
         routed, f"{base}/staging", f"{base}/checkpoint", layout=("route",), every=None
     ).awaitTermination()
-    return spark.read.parquet(f"{base}/staging").select(*ROUTED)
+    return spark.read.parquet(f"{base}/staging").select(*ROUTED, _fault())
 
 
 def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +90,7 @@ def stream_fill_previous(spark: SparkSession, sf_dir: str) -> DataFrame:
     timed = with_times(readings_stream(spark, sf_dir))
     store = run.fill_batch(base, order=("event_ts", "collected_ts", *UNIQUE))
     run.for_batches(timed, store, f"{base}/checkpoint", every=None).awaitTermination()
-    return spark.read.parquet(f"{base}/filled").select(*UNIQUE, *READING_COLUMNS)
+    return spark.read.parquet(f"{base}/filled").select(*UNIQUE, *SENT, _fault())
 
 
 def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,7 +101,7 @@ def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = text_stream(spark, f"{base}/landed")
     parsed = well_formed(parse_messages(lines))
     run.to_files(parsed, f"{base}/parsed", f"{base}/parsing", every=None).awaitTermination()
-    return spark.read.parquet(f"{base}/parsed").select(*READING_COLUMNS)
+    return spark.read.parquet(f"{base}/parsed").select(*SENT, _fault())
 
 
 STREAMS = (
