@@ -24,17 +24,16 @@ from fleetgauge.operators import (
     routing,
 )
 from fleetgauge.plans.readings import UNIQUE, messages, readings, timed_readings
+from fleetgauge.plans.shape import SECONDS, rounded, rows, shown, text
 from fleetgauge.plans.streams import STREAMS
 from fleetgauge.rules import ROUTES
-from fleetgauge.schema import KEY, METRICS, READING_COLUMNS
+from fleetgauge.schema import KEY, METRICS
 from fleetgauge.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-ROW = ("event_id", *READING_COLUMNS)
 SHORT = ("event_id", KEY, "collected_at")
 SLICE_AS_OF = datetime(2024, 1, 15, 12, 30)
-SECONDS, MICROS = "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSSSSS"
 _REGISTRY: dict[str, Query] = {}
 
 
@@ -43,24 +42,6 @@ def query(function: Query) -> Query:
     return function
 
 
-def shown(column: str, pattern: str = MICROS) -> Column:
-    """Timestamps leave a query as text, whatever the reader's zone."""
-    return F.date_format(column, pattern).alias(column)
-
-
-def text(*columns: str) -> list[Column]:
-    """Whole numbers and booleans that may be NULL leave as text: clients differ on them."""
-    return [F.col(c).cast("string").alias(c) for c in columns]
-
-
-def rows(df: DataFrame) -> DataFrame:
-    return df.select(*[c for c in ROW if c != "isFail"], *text("isFail"))
-
-
-def rounded(*columns: str) -> list[Column]:
-    return [F.round(c, 4).alias(c) for c in columns]
-
-
 def newest_collection(df: DataFrame) -> Column:
     """The table's own "now": its newest collection time."""
     return df.agg(F.max("collected_ts")).scalar()

@@ -43,6 +43,12 @@ base AS (
   FROM base
 )"""
 
+
+
+def _r4(value: str) -> str:
+    return f"floor(({value}) * 10000 + 0.500001) / 10000"
+
+
 VALID = " AND ".join(f"{r.column} BETWEEN {r.low} AND {r.high}" for r in FLEET_RANGES)
 VALID = f"({VALID} AND isFail IN (TRUE, FALSE))"
 ROUTE_FILTER = {
@@ -129,8 +135,8 @@ MEANS = (
 )
 STATS = (
     "max(TRY_CAST(time AS TIMESTAMP)) AS latest_time, "
-    + ", ".join(f"round(avg({m}), 4) AS {m}" for m in METRICS)
-    + ", round(avg(CAST(isFail AS INT)) * 100, 4) AS fail_rate"
+    + ", ".join(f"{_r4(f'avg({m})')} AS {m}" for m in METRICS)
+    + f", {_r4('avg(CAST(isFail AS INT)) * 100')} AS fail_rate"
 )
 _REPORT = " || chr(10) || ".join(
     f"'{m}_avg : ' || CAST(round_even(round({m}_avg * 100, 6), 0) / 100 AS VARCHAR)"
@@ -274,7 +280,7 @@ def _build() -> dict[str, str]:
         "hour_slice": f"WITH {BASE} SELECT {SHORT}, {ROUTE} AS route, ymdh FROM readings "
         f"WHERE {SLICE}",
         "hourly_device_mean": f"WITH {BASE}, {MEANS} SELECT DeviceId, ymdh, "
-        + ", ".join(f"round({m}_avg, 4) AS {m}_avg" for m in METRICS)
+        + ", ".join(f"{_r4(m + '_avg')} AS {m}_avg" for m in METRICS)
         + " FROM means",
         "hourly_device_report": f"WITH {BASE}, {MEANS} SELECT substr(ymdh, 1, 8) AS ymd, "
         "substr(ymdh, 9, 2) AS hh, printf('%02d', DeviceId) AS device, "
@@ -300,7 +306,7 @@ def _build() -> dict[str, str]:
             )
         ),
         "data_quality_score": f"WITH {BASE} SELECT DeviceId, count(*) AS readings, "
-        f"round(100.0 * CAST(count(*) FILTER ({VALID}) AS DOUBLE) / count(*), 4) AS quality_score "
+        f"{_r4(f'100.0 * CAST(count(*) FILTER ({VALID}) AS DOUBLE) / count(*)')} AS quality_score "
         "FROM readings GROUP BY DeviceId",
         "device_coverage": f"WITH {BASE}, {FLEET} SELECT f.DeviceId, count(r.event_id) AS readings, "
         "count(r.event_id) > 0 AS covered FROM fleet f LEFT JOIN readings r USING (DeviceId) "
@@ -357,7 +363,7 @@ def _build() -> dict[str, str]:
     sql["stream_latest"] = sql["latest_raw"]
     sql["stream_hourly_mean"] = (
         f"WITH {BASE} SELECT DeviceId, ymdh, "
-        + ", ".join(f"round(avg({m}), 4) AS {m}_avg" for m in METRICS)
+        + ", ".join(f"{_r4(f'avg({m})')} AS {m}_avg" for m in METRICS)
         + " FROM readings GROUP BY DeviceId, ymdh, date_trunc('hour', collected_ts) "
         "HAVING date_trunc('hour', collected_ts) + INTERVAL 1 HOUR "
         f"<= {NOW} - INTERVAL 10 MINUTE"

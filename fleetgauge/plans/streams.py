@@ -5,13 +5,13 @@ Each run has a folder of its own in the shared folder the cluster names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from fleetgauge.functions.messages import parse_messages, to_messages, well_formed
 from fleetgauge.functions.timeparts import with_times
 from fleetgauge.operators.latest import latest_per_device
 from fleetgauge.plans.readings import UNIQUE, derive_readings, events
+from fleetgauge.plans.shape import rounded, rows, text
 from fleetgauge.schema import KEY, METRICS, READING_COLUMNS
 from fleetgauge.session import scratch_path
 from fleetgauge.sources.files import text_stream
@@ -22,10 +22,6 @@ ROUTED = ("event_id", "route", KEY, "time", *METRICS)
 SENT = [c for c in READING_COLUMNS if c != "isFail"]
 
 
-def _fault() -> Column:
-    return F.col("isFail").cast("string").alias("isFail")
-
-
 def readings_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A glob, because a stream takes a folder or a pattern but not one file's path."""
     schema = events(spark, sf_dir).schema
@@ -40,7 +36,7 @@ def stream_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     run.route_to_files(
         routed, f"{base}/table", f"{base}/checkpoint", layout=("route",), every=None
     ).awaitTermination()
-    return spark.read.parquet(f"{base}/table").select(*ROUTED, _fault())
+    return spark.read.parquet(f"{base}/table").select(*ROUTED, *text("isFail"))
 
 
 def stream_route_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +46,7 @@ def stream_route_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     run.route_in_batches(
         routed, f"{base}/staging", f"{base}/checkpoint", layout=("route",), every=None
     ).awaitTermination()
-    return spark.read.parquet(f"{base}/staging").select(*ROUTED, _fault())
+    return spark.read.parquet(f"{base}/staging").select(*ROUTED, *text("isFail"))
 
 
 def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +65,7 @@ def stream_hourly_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     means = hourly_mean_stream(with_times(readings_stream(spark, sf_dir)))
     run.to_files(means, f"{base}/table", f"{base}/checkpoint", every=None).awaitTermination()
     return spark.read.parquet(f"{base}/table").select(
-        KEY, "ymdh", *[F.round(f"{c}_avg", 4).alias(f"{c}_avg") for c in METRICS]
+        KEY, "ymdh", *rounded(*[f"{c}_avg" for c in METRICS])
     )
 
 
@@ -81,7 +77,7 @@ def stream_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         readings, f"{base}/out", f"{base}/checkpoint", ("year", "month", "day"), every=None
     ).awaitTermination()
     gauges = run.current_gauges(spark.read.parquet(f"{base}/out/gauges"))
-    return gauges.select("metric", "device_id", F.round("value", 4).alias("value"))
+    return gauges.select("metric", "device_id", *rounded("value"))
 
 
 def stream_fill_previous(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,7 +86,7 @@ def stream_fill_previous(spark: SparkSession, sf_dir: str) -> DataFrame:
     timed = with_times(readings_stream(spark, sf_dir))
     store = run.fill_batch(base, order=("event_ts", "collected_ts", *UNIQUE))
     run.for_batches(timed, store, f"{base}/checkpoint", every=None).awaitTermination()
-    return spark.read.parquet(f"{base}/filled").select(*UNIQUE, *SENT, _fault())
+    return rows(spark.read.parquet(f"{base}/filled"))
 
 
 def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +97,7 @@ def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = text_stream(spark, f"{base}/landed")
     parsed = well_formed(parse_messages(lines))
     run.to_files(parsed, f"{base}/parsed", f"{base}/parsing", every=None).awaitTermination()
-    return spark.read.parquet(f"{base}/parsed").select(*SENT, _fault())
+    return spark.read.parquet(f"{base}/parsed").select(*SENT, *text("isFail"))
 
 
 STREAMS = (
