@@ -20,9 +20,9 @@ from fleetgauge.session import materialise
 ACCURACY = 10_000
 LEAF_ROWS = 50_000
 # The sketch is off by at most 1/ACCURACY of the rows, so edges this far to either
-# side of a rank are certain to enclose it, with at most INSIDE of the rows between.
+# side of a rank enclose it, with at most 2.5 margins of the rows between.
 MARGIN = 4 / ACCURACY
-INSIDE = 10 / ACCURACY
+INSIDE = 2.5
 
 
 def known(column: str) -> Column:
@@ -39,6 +39,15 @@ class _Target:
     ranks: tuple[int, ...]
 
 
+@dataclass(frozen=True)
+class _Rest:
+    """A target still to be searched, and the rank its first value has in the column."""
+
+    index: int
+    first: int
+    target: _Target
+
+
 @dataclass(frozen=True)
 class _Edges:
     """An open interval; None is an open end."""
@@ -54,9 +63,21 @@ class _Edges:
             within = within & (values < self.high)
         return F.when(within, values)
 
+    def at_high(self, values: Column) -> Column:
+        """On the upper edge, unless both edges are one value."""
+        if self.low is None:
+            return values == self.high
+        return (values == self.high) & (values > self.low)
 
-def _enclosing(shares: Sequence[float]) -> list[float]:
-    return [min(max(p, 0.0), 1.0) for p in (min(shares) - MARGIN, max(shares) + MARGIN)]
+
+def _margin(depth: int) -> float:
+    """Wider from search to search, so that even a poor sketch leaves ever fewer rows."""
+    return min(MARGIN * 4**depth, 0.25)
+
+
+def _enclosing(shares: Sequence[float], depth: int = 0) -> list[float]:
+    low, high = min(shares) - _margin(depth), max(shares) + _margin(depth)
+    return [max(low, 0.0), min(high, 1.0)]
 
 
 def _edges(cut: Sequence[float], wanted: Sequence[float]) -> _Edges:
@@ -64,8 +85,10 @@ def _edges(cut: Sequence[float], wanted: Sequence[float]) -> _Edges:
     return _Edges(cut[0] if wanted[0] > 0 else None, cut[1] if wanted[1] < 1 else None)
 
 
-def _propose(df: DataFrame, targets: Sequence[_Target], leaf_rows: int) -> list[_Edges]:
-    wanted = [_enclosing([r / t.size for r in t.ranks]) for t in targets]
+def _propose(
+    df: DataFrame, targets: Sequence[_Target], leaf_rows: int, depth: int
+) -> list[_Edges]:
+    wanted = [_enclosing([r / t.size for r in t.ranks], depth) for t in targets]
     row = df.agg(
         *[
             F.percentile_approx(t.values, w, ACCURACY).alias(f"q{i}")
@@ -79,11 +102,16 @@ def _propose(df: DataFrame, targets: Sequence[_Target], leaf_rows: int) -> list[
 
 
 def _resolve(
-    df: DataFrame, targets: Sequence[_Target], edges: Sequence[_Edges], leaf_rows: int
+    df: DataFrame,
+    targets: Sequence[_Target],
+    edges: Sequence[_Edges],
+    leaf_rows: int,
+    depth: int = 0,
 ) -> list[dict[int, float]]:
     """Values by rank, for each target."""
+    share = INSIDE * _margin(depth)
     few = all(
-        (t.size if e == _Edges() else t.size * INSIDE) <= leaf_rows for t, e in zip(targets, edges)
+        (t.size if e == _Edges() else t.size * share) <= leaf_rows for t, e in zip(targets, edges)
     )
     wanted = []
     for i, (t, e) in enumerate(zip(targets, edges)):
@@ -92,7 +120,7 @@ def _resolve(
             F.count_if(t.values < e.low).alias(f"under{i}"),
             F.count_if(t.values == e.low).alias(f"low{i}"),
             F.count(inside).alias(f"inside{i}"),
-            F.count_if(t.values == e.high).alias(f"high{i}"),
+            F.count_if(e.at_high(t.values)).alias(f"high{i}"),
         ]
         if few:
             wanted.append(F.sort_array(F.collect_list(inside)).alias(f"values{i}"))
@@ -109,34 +137,45 @@ def _resolve(
     row = counted.select(*shown).first().asDict()
 
     found: list[dict[int, float]] = []
-    rest: list[tuple[int, _Target]] = []
+    rest: list[_Rest] = []
     for i, (t, e) in enumerate(zip(targets, edges)):
-        start = row[f"under{i}"] + row[f"low{i}"]
+        under, start = row[f"under{i}"], row[f"under{i}"] + row[f"low{i}"]
         stop = start + row[f"inside{i}"]
-        if min(t.ranks) < row[f"under{i}"] or max(t.ranks) >= stop + row[f"high{i}"]:
-            raise RuntimeError("the sketch did not enclose the wanted ranks")
-        values, open_ranks = {}, []
+        over = stop + row[f"high{i}"]
+        values = {}
+        zones = {"below": [], "inside": [], "above": []}
         for r in t.ranks:
-            if r < start:
+            if r < under:
+                zones["below"].append(r)
+            elif r < start:
                 values[r] = e.low
+            elif r >= over:
+                zones["above"].append(r)
             elif r >= stop:
                 values[r] = e.high
             elif few:
                 values[r] = row[f"value{i}_{r}"]
             else:
-                open_ranks.append(r - start)
+                zones["inside"].append(r)
         found.append(values)
-        if open_ranks:
-            rest.append((i, _Target(e.inside(t.values), stop - start, tuple(open_ranks))))
+        # The outer zones are for a sketch that missed; the search stays exact then too.
+        for zone, edge, first, size in (
+            ("below", _Edges(None, e.low), 0, under),
+            ("inside", e, start, stop - start),
+            ("above", _Edges(e.high, None), over, t.size - over),
+        ):
+            if zones[zone]:
+                ranks = tuple(r - first for r in zones[zone])
+                rest.append(_Rest(i, first, _Target(edge.inside(t.values), size, ranks)))
     if rest:
-        starts_at = {i: row[f"under{i}"] + row[f"low{i}"] for i, _ in rest}
-        for (i, t), values in zip(rest, _search_inside(df, [t for _, t in rest], leaf_rows)):
-            found[i].update({starts_at[i] + r: v for r, v in values.items()})
+        results = _search_inside(df, [r.target for r in rest], leaf_rows, depth + 1)
+        for r, values in zip(rest, results):
+            found[r.index].update({r.first + rank: v for rank, v in values.items()})
     return found
 
 
 def _search_inside(
-    df: DataFrame, targets: Sequence[_Target], leaf_rows: int
+    df: DataFrame, targets: Sequence[_Target], leaf_rows: int, depth: int
 ) -> list[dict[int, float]]:
     """Write out the few values still in question and search among those."""
     tagged = F.array(
@@ -148,7 +187,8 @@ def _search_inside(
         _Target(F.when(F.col("target") == i, F.col("value")), t.size, t.ranks)
         for i, t in enumerate(targets)
     ]
-    return _resolve(small, narrowed, _propose(small, narrowed, leaf_rows), leaf_rows)
+    edges = _propose(small, narrowed, leaf_rows, depth)
+    return _resolve(small, narrowed, edges, leaf_rows, depth)
 
 
 def exact_quantiles(

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from fleetgauge.operators import quantiles
 from fleetgauge.operators.outliers import flag_iqr, flag_zscore, outlier_bounds, quartiles
 from fleetgauge.operators.quantiles import exact_quantiles
 from fleetgauge.schema import METRICS
@@ -39,6 +40,16 @@ def test_exact_quantiles(spark, leaf_rows):
             np.testing.assert_allclose(found[name], np.quantile(kept, PROBABILITIES), rtol=1e-12)
 
 
+def test_a_sketch_that_misses_only_costs_time(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "ACCURACY", 10)
+    monkeypatch.setattr(quantiles, "MARGIN", 0.001)
+    data = {name: columns()[name] for name in ("spread", "heavy")}
+    df = spark.createDataFrame(list(zip(*data.values())), "spread double, heavy double")
+    found = exact_quantiles(df.repartition(4), list(data), [0.25, 0.66], leaf_rows=500)
+    for name, values in data.items():
+        np.testing.assert_allclose(found[name], np.quantile(values, [0.25, 0.66]), rtol=1e-12)
+
+
 def test_sketch_is_within_its_error(spark):
     df = frame(spark, *[reading(sensor1=float(i)) for i in range(1001)])
     q1, q3 = quartiles(df, ["sensor1"], relative_error=0.01)["sensor1"]

@@ -1,11 +1,11 @@
-from datetime import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from fleetgauge.functions.predicates import is_route
 from fleetgauge.operators.routing import take_route, with_route
-from fleetgauge.rules import ROUTES
+from fleetgauge.rules import FLEET_RANGES, ROUTES
 from fleetgauge.streaming.transforms import route_stream
 from tests.helpers import frame, plan_of, reading
 
@@ -46,6 +46,41 @@ def test_routes_are_disjoint_and_complete(spark):
     assert routed.count() == df.count()
 
 
+def expected_route(row):
+    """The three filters with three-valued logic spelled out; None is unknown."""
+    if row["isFail"] is None:
+        return "unrouted"
+    if row["isFail"]:
+        return "fail"
+    checks = []
+    for rule in FLEET_RANGES:
+        value = row[rule.column]
+        checks.append(None if value is None else rule.low <= value <= rule.high)
+    if False in checks:
+        return "dataerr"
+    return "unrouted" if None in checks else "data"
+
+
+def test_random_rows_against_brute_force(spark):
+    rng = random.Random(11)
+    rows = []
+    for n in range(800):
+        row = reading(time=str(n), isFail=rng.choice([False, False, False, True, None]))
+        for rule in FLEET_RANGES:
+            value = rng.choice([rule.low, rule.high, rng.uniform(rule.low, rule.high)])
+            if rng.random() < 0.08:
+                value = rng.choice([None, rule.low - 1, rule.high + 1])
+            if rule.column == "DeviceId":
+                value = None if value is None else int(value)
+            elif value is not None:
+                value = rng.choice([float(value)] * 30 + [float("nan")])
+            row[rule.column] = value
+        rows.append(row)
+    got = {r["time"]: r["route"] for r in with_route(frame(spark, *rows)).collect()}
+    assert got == {row["time"]: expected_route(row) for row in rows}
+    assert set(got.values()) == {"data", "dataerr", "fail", "unrouted"}
+
+
 def test_unplaceable_rows_are_rejected(spark):
     df = frame(
         spark,
