@@ -11,7 +11,9 @@ from pyspark.sql import types as T
 from fleetgauge.schema import CORRUPT, KEY, READING, READING_COLUMNS
 
 
-def to_messages(df: DataFrame, columns: Sequence[str] = READING_COLUMNS, keep: Sequence[str] = ()) -> DataFrame:
+def to_messages(
+    df: DataFrame, columns: Sequence[str] = READING_COLUMNS, keep: Sequence[str] = ()
+) -> DataFrame:
     """One keyed JSON message per reading; NULL fields are written out, not omitted."""
     return df.select(
         *keep,

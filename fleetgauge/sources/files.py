@@ -16,8 +16,8 @@ from fleetgauge.schema import KEY, READING
 # A landing folder of the form year/month/day/hour.
 HOURLY_GLOB = "*/*/*/*/*.json"
 
-# The routed table, partition columns last; `text` holds payloads that could not be read. Hour keys stay text: left to inference
-# they would come back as numbers.
+# The routed table, partition columns last; `text` holds payloads that could not be
+# read. Hour keys stay text: left to inference they would come back as numbers.
 ROUTED = T.StructType(
     [f for f in READING.fields if f.name != KEY]
     + [
