@@ -18,7 +18,7 @@ from fleetgauge.rules import RETENTION_MINUTES
 from fleetgauge.session import build_session
 from fleetgauge.sinks import tables
 from fleetgauge.sources.bus import bus_stream
-from fleetgauge.sources.files import hour_slice, routed_table, text_stream
+from fleetgauge.sources.files import routed_hours, staged_hours, text_stream
 from fleetgauge.streaming import queries
 from fleetgauge.streaming.transforms import route_stream
 
@@ -66,15 +66,13 @@ def rules(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def compact(spark: SparkSession, args: argparse.Namespace) -> None:
     """Closed hours of the staging table to the routed table."""
-    staged = routed_table(spark, args.input)
-    tables.compact_hours(staged, args.out, [check_hour(h) for h in args.hours])
+    tables.compact_hours(staged_hours(spark, args.input, args.hours), args.out, args.hours)
 
 
 def snapshot(spark: SparkSession, args: argparse.Namespace) -> None:
     """Latest gauges of all families from the routed table."""
     as_of = args.as_of or datetime.now(timezone.utc).replace(tzinfo=None)
-    hours = hours_touched(as_of, args.minutes)
-    readings = hour_slice(routed_table(spark, args.input), hours)
+    readings = routed_hours(spark, args.input, hours_touched(as_of, args.minutes))
     moment = as_of.strftime("%Y-%m-%d %H:%M:%S.%f")
     gauges = metric_snapshot(readings, as_of=moment, minutes=args.minutes)
     write = tables.write_exposition if args.text else tables.write_snapshot
@@ -84,7 +82,7 @@ def snapshot(spark: SparkSession, args: argparse.Namespace) -> None:
 def report(spark: SparkSession, args: argparse.Namespace) -> None:
     """Hourly text reports, for the given hour or the last full one."""
     hour = check_hour(args.hour or default_report_hour(utc_offset_hours=args.utc_offset))
-    readings = hour_slice(routed_table(spark, args.input), [hour], route="data")
+    readings = routed_hours(spark, args.input, [hour], ["data"])
     tables.write_reports(hourly_device_report(hourly_device_mean(readings)), args.out)
 
 

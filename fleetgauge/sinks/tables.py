@@ -12,6 +12,8 @@ from fleetgauge.operators.metrics import exposition_lines
 from fleetgauge.schema import KEY
 
 LAYOUT = ("route", "ymdh", KEY)
+# A staging table is read back by hour only; fewer folders mean fewer small files.
+STAGING_LAYOUT = ("route", "ymdh")
 RAW_LAYOUT = (KEY, "year", "month", "day")
 
 

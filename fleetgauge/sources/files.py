@@ -82,6 +82,37 @@ def routed_table(spark: SparkSession, path: str, schema: T.StructType = ROUTED)
     return _or_empty(spark, schema, lambda: spark.read.schema(schema).parquet(path))
 
 
+def _any_of(name: str, values: Sequence[str] | None) -> str:
+    return f"{name}={{{','.join(values)}}}" if values else f"{name}=*"
+
+
+def _matching(spark: SparkSession, base: str, pattern: str) -> DataFrame:
+    """Only the folders that match are listed, however many the table has."""
+
+    def read() -> DataFrame:
+        reader = spark.read.schema(ROUTED).option("basePath", base)
+        return reader.parquet(f"{base}/{pattern}")
+
+    return _or_empty(spark, ROUTED, read)
+
+
+def routed_hours(
+    spark: SparkSession, path: str, hours: Sequence[str], routes: Sequence[str] | None = None
+) -> DataFrame:
+    """Some hours of a routed table, for jobs that run often on a table that is large.
+
+    Hours without files add no rows.
+    """
+    chosen = _any_of("ymdh", [check_hour(h) for h in hours])
+    return _matching(spark, path, f"{_any_of('route', routes)}/{chosen}")
+
+
+def staged_hours(spark: SparkSession, path: str, hours: Sequence[str]) -> DataFrame:
+    """The same hours over all batches of a staging table."""
+    chosen = _any_of("ymdh", [check_hour(h) for h in hours])
+    return _matching(spark, path, f"batch_id=*/route=*/{chosen}")
+
+
 def hour_slice(
     table: DataFrame,
     hours: Sequence[str],

@@ -21,7 +21,7 @@ from fleetgauge.operators.metrics import batch_gauges
 from fleetgauge.operators.rollup import device_batch_stats
 from fleetgauge.schema import KEY, METRICS
 from fleetgauge.session import scratch_scope
-from fleetgauge.sinks.tables import LAYOUT, RAW_LAYOUT, packed
+from fleetgauge.sinks.tables import LAYOUT, RAW_LAYOUT, STAGING_LAYOUT, packed
 
 # Trigger intervals per sink.
 TRIGGERS = {
@@ -129,7 +129,7 @@ def route_in_batches(
     routed: DataFrame,
     path: str,
     checkpoint: str,
-    layout: Sequence[str] = LAYOUT,
+    layout: Sequence[str] = STAGING_LAYOUT,
     every: str | None = TRIGGERS["routed"],
 ) -> StreamingQuery:
     """Routed rows to a staging table, packed per partition; see ``compact_hours``."""

@@ -8,7 +8,7 @@ from fleetgauge.functions.timeparts import with_calendar
 from fleetgauge.operators.partitions import partition_inventory
 from fleetgauge.operators.rollup import hourly_device_mean, hourly_device_report
 from fleetgauge.sinks import tables
-from fleetgauge.sources.files import file_listing, hour_slice, landed_json, routed_table
+from fleetgauge.sources.files import file_listing, hour_slice, landed_json, routed_hours, routed_table
 from fleetgauge.streaming.transforms import route_stream
 from tests.helpers import frame, plan_of, reading, rows_of
 
@@ -46,6 +46,18 @@ def test_hour_slice_prunes_partitions(spark, folder, routed):
     assert hour_slice(table, ["2030010100"]).isEmpty()
 
 
+def test_hours_are_read_without_listing_the_table(spark, folder, routed):
+    tables.write_partitioned(routed, f"{folder}/t")
+    part = routed_hours(spark, f"{folder}/t", [HOURS[0], "2030010100"], ["data", "dataerr"])
+    assert {(r.route, r.ymdh, r.DeviceId) for r in part.collect()} == {
+        ("data", HOURS[0], 1), ("dataerr", HOURS[0], 2),
+    }
+    assert all(f"ymdh={HOURS[0]}" in path for path in part.inputFiles())
+    assert routed_hours(spark, f"{folder}/t", HOURS).count() == 4
+    assert routed_hours(spark, f"{folder}/t", ["2030010100"]).isEmpty()
+    assert routed_hours(spark, f"{folder}/none", HOURS).isEmpty()
+
+
 def test_missing_table_is_empty_other_errors_surface(spark, folder):
     assert routed_table(spark, f"{folder}/none").isEmpty()
     assert landed_json(spark, f"{folder}/none").isEmpty()
