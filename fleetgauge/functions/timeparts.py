@@ -57,9 +57,17 @@ def path_key(ts: Column, device: Column) -> Column:
 
 
 def as_instant(moment: datetime | str | Column) -> Column:
-    """A literal or computed point in time as a timestamp column."""
+    """A literal or computed point in time as a timestamp column.
+
+    A datetime without a zone is read in the session's zone, UTC, like all text here;
+    passed on as it is, it would be read in the zone of the driver's machine.
+    """
     if isinstance(moment, Column):
         return moment
+    if isinstance(moment, datetime):
+        if moment.tzinfo is not None:
+            moment = moment.astimezone(timezone.utc)
+        moment = moment.strftime("%Y-%m-%d %H:%M:%S.%f")
     return F.lit(moment).cast("timestamp")
 
 

@@ -73,8 +73,7 @@ def snapshot(spark: SparkSession, args: argparse.Namespace) -> None:
     """Latest gauges of all families from the routed table."""
     as_of = args.as_of or datetime.now(timezone.utc).replace(tzinfo=None)
     readings = routed_hours(spark, args.input, hours_touched(as_of, args.minutes))
-    moment = as_of.strftime("%Y-%m-%d %H:%M:%S.%f")
-    gauges = metric_snapshot(readings, as_of=moment, minutes=args.minutes)
+    gauges = metric_snapshot(readings, as_of=as_of, minutes=args.minutes)
     write = tables.write_exposition if args.text else tables.write_snapshot
     write(gauges, args.out)
 

@@ -64,6 +64,8 @@ def handle_nulls(
     """Drop, default or interpolate NULLs, column by column.
 
     Defaults are cast to the column's own type: a bare 0 would widen a float.
+    Interpolation needs the rows in order, so it is for batches; see ``fill_batch`` for
+    streams.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     unknown = set(rules.values()) - {REJECT, DEFAULT_0, DEFAULT_FALSE, INTERPOLATE}

@@ -1,8 +1,11 @@
-from datetime import datetime
+import time
+from datetime import datetime, timedelta, timezone
 
+import pytest
 from pyspark.sql import functions as F
 
 from fleetgauge.functions.timeparts import (
+    as_instant,
     check_hour,
     default_report_hour,
     hours_touched,
@@ -21,7 +24,6 @@ from fleetgauge.operators.rollup import (
     round_half_even,
 )
 from tests.helpers import frame, plan_of, reading
-import pytest
 
 
 def test_latest_goes_by_time_not_text(spark):
@@ -72,6 +74,20 @@ def test_recency_is_inclusive(spark):
     assert recent(df, "2024-01-01 11:59:59").count() == 2
 
 
+def test_moments_do_not_depend_on_the_drivers_zone(spark, monkeypatch):
+    monkeypatch.setenv("TZ", "Asia/Tokyo")
+    time.tzset()
+    try:
+        noon = datetime(2024, 1, 1, 12)
+        moments = [noon, "2024-01-01 12:00:00", noon.replace(tzinfo=timezone.utc),
+                   datetime(2024, 1, 1, 21, tzinfo=timezone(timedelta(hours=9)))]
+        shown = [F.date_format(as_instant(m), "dd HH:mm").alias(f"m{i}") for i, m in enumerate(moments)]
+        assert set(spark.range(1).select(*shown).first()) == {"01 12:00"}
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
 def test_recency_is_pushed_to_the_scan(spark, folder):
     with_times(frame(spark, reading())).write.parquet(f"{folder}/t")
     plan = plan_of(recent(spark.read.parquet(f"{folder}/t"), datetime(2024, 1, 1, 12)))
