@@ -9,28 +9,28 @@ the sequences' free room finds it in a logarithm of their number.
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetgauge.llm import words as W
-from fleetgauge.llm.memo import Memo
+from fleetgauge.llm.memo import PORTION, Chunks, Memo
 from fleetgauge.session import materialise
 
 # Pieces of a group, on average.
 GROUP = 1 << 13
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 # Sequence numbers set aside for a group.
 NUMBERS = 1 << 24
 # Pieces that are encoded in one call.
-PORTION = 2000
+CALL = 2000
 
 
 class WordTokenizer:
@@ -59,54 +59,50 @@ class WordTokenizer:
         self.pattern = regex.compile(split["pattern"]["Regex"])
         ends = [token.endswith(suffix) for token, _ in sorted(self.whole.get_vocab().items(), key=lambda x: x[1])]
         self.ends = np.array(ends)
-        self.pieces, self.chunks = Memo(remembered), Memo(remembered)
+        self.known = Memo(remembered)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.whole.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(f.ids, dtype="<u4").tobytes() for f in found]
 
-    def _learn_pieces(self, pieces: set) -> None:
-        known = self.pieces
-        known.turn()
-        fresh = known.unknown(pieces)
-        for low in range(0, len(fresh), PORTION):
-            part = fresh[low : low + PORTION]
+    def _learn_pieces(self, fresh: list[str]) -> None:
+        for low in range(0, len(fresh), CALL):
+            part = fresh[low : low + CALL]
             # Blanks are dropped, and the last id of every piece is one with a word end.
             found = self.whole.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0]
             ids = np.array(found.ids, dtype="<u4")
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) != len(part):
                 raise ValueError("the tokenizer joins or splits pieces")
-            data, begin = ids.tobytes(), 0
-            for piece, stop in zip(part, (stops * 4).tolist()):
-                known.young[piece] = data[begin:stop]
-                begin = stop
-
-    def _split(self, chunk: str) -> list[str]:
-        """Pieces of a Latin-1 chunk; letters alone, or with one sign after them, need no search."""
-        if chunk.isalpha():
-            return [chunk]
-        if chunk[:-1].isalpha() and not chunk[-1].isalnum():
-            return [chunk[:-1], chunk[-1]]
-        return self.pattern.findall(chunk)
-
-    def _learn_chunks(self, chunks: set) -> None:
-        known = self.chunks
+            data, stops = ids.tobytes(), (stops * 4).tolist()
+            self.known.young.update(zip(part, [data[a:b] for a, b in zip([0, *stops], stops)]))
+
+    def _learn(self, chunks: set) -> None:
+        """Ids of Latin-1 chunks: letters alone are a piece, other chunks are put together from theirs."""
+        known = self.known
         known.turn()
         fresh = known.unknown(chunks)
-        cut = list(map(self._split, fresh))
-        self._learn_pieces(set().union(*cut))
-        ids = self.pieces.young.__getitem__
-        for chunk, own in zip(fresh, cut):
-            known.young[chunk] = b"".join(map(ids, own))
+        pieces = [c for c in fresh if c.isalpha()]
+        # Letters and one sign after them need no search.
+        signed = [c for c in fresh if c[:-1].isalpha() and not c[-1].isalnum()]
+        others = set(fresh).difference(pieces, signed)
+        cut = {c: self.pattern.findall(c) for c in others}
+        parts = set().union([c[:-1] for c in signed], [c[-1] for c in signed], *cut.values())
+        self._learn_pieces([*pieces, *known.unknown(parts.difference(pieces))])
+        ids = known.young
+        ids.update([(c, ids[c[:-1]] + ids[c[-1]]) for c in signed])
+        ids.update([(c, b"".join([ids[p] for p in own])) for c, own in cut.items()])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [text.lower().split() if _plain(text) else None for text in texts]
-        self._learn_chunks(set().union(*(own for own in cut if own is not None)))
-        rest = iter(self._library([text for text, own in zip(texts, cut) if own is None]))
-        ids = self.chunks.young.__getitem__
-        return [next(rest) if own is None else b"".join(map(ids, own)) for own in cut]
+        plain = [_plain(text) for text in texts]
+        lower = pa.compute.utf8_lower(pa.array([t for t, fits in zip(texts, plain) if fits], pa.string()))
+        # Of white space, plain texts have ASCII's only; an empty chunk at either end has no ids.
+        chunks = Chunks(pa.compute.ascii_split_whitespace(lower))
+        self._learn(set(chunks.distinct))
+        found = iter(chunks.put_together(self.known.young))
+        rest = iter(self._library([text for text, fits in zip(texts, plain) if not fits]))
+        return [next(found) if fits else next(rest) for fits in plain]
 
 
 def _plain(text: str) -> bool:
@@ -128,7 +124,7 @@ def _tokenized(path: str, end: int, names: list[str]) -> Callable:
         last = np.array([end], dtype="<u4").tobytes()
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
-            for low, high in W.slices(texts):
+            for low, high in W.slices(texts, PORTION):
                 own = [t or "" for t in texts.slice(low, high - low).to_pylist()]
                 ids = [data + last for data in tokenizer(path).encode(own)]
                 yield pa.RecordBatch.from_arrays([keys.slice(low, high - low), pa.array(ids, pa.binary())], names=names)
