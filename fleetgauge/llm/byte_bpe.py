@@ -17,20 +17,23 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetgauge.llm import words as W
-from fleetgauge.llm.memo import Memo
+from fleetgauge.llm.memo import PORTION, Chunks, Memo
 
 NONE = np.iinfo(np.int64).max
 # Pieces up to this many bytes are merged in trees side by side.
 SIDE_BY_SIDE = 64
 TREES = 1 << 13
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 
+# Letters of Latin-1, and at most one sign of ASCII after them.
+SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]?)")
 # A blank next to other white space.
 BLANKS = re.compile(r" (?:\s|(?<=\s ))")
 
@@ -214,6 +217,24 @@ class Encoder:
         ids = self.pieces.young.__getitem__
         return [b"".join(map(ids, own)) for own in cut]
 
+    def _learn_chunks(self, chunks: list[str]) -> None:
+        """Ids of chunks with a blank before them; letters, with a sign after them or none, need no search."""
+        known = self.chunks
+        known.turn()
+        fresh = known.unknown(set(chunks))
+        cut = []
+        for chunk in fresh:
+            simple = SIMPLE.fullmatch(chunk)
+            if simple is None:
+                cut.append(self.pattern.findall(" " + chunk))
+            else:
+                cut.append([" " + simple[1], simple[2]] if simple[2] else [" " + chunk])
+        self._learn(set().union(*cut))
+        ids = self.pieces.young
+        known.young.update(
+            [(chunk, ids[own[0]] if len(own) == 1 else b"".join([ids[p] for p in own])) for chunk, own in zip(fresh, cut)]
+        )
+
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers.
 
@@ -222,15 +243,13 @@ class Encoder:
         up whole. Other white space next to a blank makes the whole text go by pieces.
         """
         plain = [not BLANKS.search(text) for text in texts]
-        cut = [text.split(" ") for text, fits in zip(texts, plain) if fits]
-        heads = self._by_pieces([own.pop(0) for own in cut])
-        self.chunks.turn()
-        known = self.chunks
-        fresh = known.unknown(set().union(*cut))
-        for chunk, ids in zip(fresh, self._by_pieces([" " + c for c in fresh])):
-            known.young[chunk] = ids
-        ids = known.young.__getitem__
-        whole = (head + b"".join(map(ids, own)) for head, own in zip(heads, cut))
+        cut = [text.partition(" ") for text, fits in zip(texts, plain) if fits]
+        heads = self._by_pieces([head for head, _, _ in cut])
+        tails = pa.array([tail if blank else None for _, blank, tail in cut], pa.string())
+        chunks = Chunks(pa.compute.split_pattern(tails, " "))
+        self._learn_chunks(chunks.distinct)
+        tails = chunks.put_together(self.chunks.young)
+        whole = (head + tail for head, tail in zip(heads, tails))
         rest = iter(self._by_pieces([text for text, fits in zip(texts, plain) if not fits]))
         return [next(whole) if fits else next(rest) for fits in plain]
 
@@ -244,7 +263,7 @@ def _encoded(path: str, pattern: str, names: list[str]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
-            for low, high in W.slices(texts):
+            for low, high in W.slices(texts, PORTION):
                 own = [t or "" for t in texts.slice(low, high - low).to_pylist()]
                 ids = encoder(path, pattern).encode(own)
                 yield pa.RecordBatch.from_arrays([keys.slice(low, high - low), pa.array(ids, pa.binary())], names=names)
