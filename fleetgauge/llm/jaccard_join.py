@@ -6,13 +6,14 @@ The steps, all of them Spark jobs over the whole table:
 2. Each document gives its set's id, its counts in groups of the shingle hash, and a
    prefix of its shingles: cold ones by hash, then hot ones. Two linked sets share a
    shingle of their prefixes whatever the order is, so the order costs no link.
-3. Documents that share a prefix shingle meet under the shingle's leader, the smallest
-   set id that has it. A leader with many members is cut into tiles, and each pair of
-   tiles is a task of its own.
+3. Documents that share a prefix shingle and are of like size meet under the shingle's
+   leader, the smallest set id that has it. A leader with many members is cut into
+   parts, and each pair of parts is a tile of its own.
 4. In a tile the count vectors are points of an R-tree; the summed minima of counts
-   bound what two sets can share, for nodes as for points. Who has no partner leaves.
-5. Whole sets are read for those that stay, and pairs that pass the bound are verified,
-   save those that links already found have joined.
+   bound what two sets can share, for nodes as for points. Sets that pairs within the
+   bound connect are a family; who has no such pair is done.
+5. Families' whole sets are read, each once, and the same trees give the pairs within the
+   bound, which are verified, save those that links already found have joined.
 6. Links become components.
 
 Sets are compared by 64-bit hashes of their shingles, and known by a 64-bit hash.
@@ -20,6 +21,7 @@ Sets are compared by 64-bit hashes of their shingles, and known by a 64-bit hash
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -29,16 +31,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetgauge.llm import words as W
-from fleetgauge.llm.components import components
+from fleetgauge.llm.components import Roots, components
 from fleetgauge.llm.count_tree import CountTree
-from fleetgauge.llm.tiles import binaries, runs, tiled
+from fleetgauge.llm.tiles import binaries, bound_batches, laid_out, runs, tiles
 from fleetgauge.session import materialise
 
-GROUPS = 64
-# A shingle is hot if this share of all documents holds it; at most HOT_MOST are listed.
-HOT_SHARE = 0.002
-HOT_LEAST = 64
-HOT_MOST = 1 << 20
+# Groups that a set's shingles are counted in, a power of two.
+LEAST_GROUPS, MOST_GROUPS = 64, 8192
+# Counts are stored up to here; one that is not below it bounds nothing.
+MOST_COUNTED = 255
+# A shingle is hot if so many documents hold it; the HOT_MOST most frequent are listed.
+HOT_LEAST = 24
+HOT_MOST = 1 << 18
 # Members of a tile, and the shingles that count as one member where sets are whole.
 TILE = 2048
 TILE_SHINGLES = 1024
@@ -63,36 +67,36 @@ def _set_ids(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return W.mix(sums[bounds[1:]] - sums[bounds[:-1]] + sizes * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
 
 
-def _frequent(shingle: int) -> Callable:
-    """Shingles that are frequent in a batch; a null one counts the batch's documents."""
+def _frequent(shingle: int, percent: int) -> Callable:
+    """Shingles that two documents of a batch have among those by whose hash a prefix may be chosen."""
 
     def run(batches):
         for batch in batches:
-            parts = [hashes for _, _, hashes, _ in _sets(batch.column(0), shingle)]
+            parts = []
+            for _, _, hashes, bounds in _sets(batch.column(0), shingle):
+                size = np.diff(bounds)
+                owner = np.repeat(np.arange(len(size)), size)
+                early = np.arange(len(hashes)) - bounds[:-1][owner] < 2 * prefix_length(size, percent)[owner] + 8
+                parts.append(hashes[early])
             values, held = np.unique(np.concatenate(parts or [np.zeros(0, np.uint64)]), return_counts=True)
-            often = held >= max(8, HOT_SHARE * batch.num_rows / 2)
-            shown = [None, *values[often].view(np.int64).tolist()]
+            often = held >= 2
             yield pa.RecordBatch.from_arrays(
-                [pa.array(shown, pa.int64()), pa.array([batch.num_rows, *held[often].tolist()], pa.int64())],
-                names=["shingle", "held"],
+                [pa.array(values[often].view(np.int64)), pa.array(held[often], pa.int64())], names=["shingle", "held"]
             )
 
     return run
 
 
-def hot_shingles(docs: DataFrame, text: str, shingle: int) -> np.ndarray:
-    """Hashes, ascending, of the shingles that a HOT_SHARE of all documents hold.
+def hot_shingles(docs: DataFrame, text: str, shingle: int, percent: int) -> np.ndarray:
+    """Hashes, ascending, of shingles that HOT_LEAST documents or more hold, the HOT_MOST most frequent.
 
-    A shingle with that share over all batches has it in at least one of them, and only
-    batches where it has half of it report it, so a list of candidates with their counts
-    is all that is shuffled. The list only sets an order: no result depends on it.
+    Counted over all documents, but for shingles that a batch of them has once. The list
+    only sets an order: no result depends on it.
     """
-    counted = docs.select(text).mapInArrow(_frequent(shingle), "shingle long, held long")
-    counted = counted.groupBy("shingle").agg(F.sum("held").alias("held")).filter(f"held >= {HOT_LEAST} or shingle is null")
-    counted = materialise(counted, "frequent")
-    total = counted.filter("shingle is null").agg(F.sum("held")).first()[0] or 0
-    hot = counted.filter(f"shingle is not null and held >= {HOT_SHARE * total}").orderBy(F.desc("held"), "shingle")
-    return np.sort(np.array([r[0] for r in hot.limit(HOT_MOST).collect()], dtype=np.int64).view(np.uint64))
+    counted = docs.select(text).mapInArrow(_frequent(shingle, percent), "shingle long, held long")
+    counted = counted.groupBy("shingle").agg(F.sum("held").alias("held")).filter(f"held >= {HOT_LEAST}")
+    hot = counted.orderBy(F.desc("held"), "shingle").limit(HOT_MOST).select("shingle").toArrow()
+    return np.sort(hot.column("shingle").to_numpy().view(np.uint64))
 
 
 def _lists(values: np.ndarray, owner: np.ndarray, size: int) -> pa.Array:
@@ -106,9 +110,24 @@ def _is_in(values: np.ndarray, table: np.ndarray) -> np.ndarray:
     return table[np.minimum(np.searchsorted(table, values), len(table) - 1)] == values
 
 
-def _group_counts(hashes: np.ndarray, owner: np.ndarray, size: int) -> np.ndarray:
-    group = (hashes >> np.uint64(64 - GROUPS.bit_length() + 1)).astype(np.int64)
-    return np.bincount(owner * GROUPS + group, minlength=size * GROUPS).reshape(size, GROUPS).astype(np.int32)
+def groups_of(size: np.ndarray, percent: int) -> np.ndarray:
+    """Groups enough for the counts of unlike sets of a size to differ more than those of linked ones can.
+
+    Counts of two unlike sets differ in all by about 0.8 sqrt(2 size groups), those of linked
+    sets by no more than a fixed part of the size; the groups make the first twice the other.
+    """
+    part = 2 * (100 - percent) / (100 + percent)
+    wanted = np.maximum(2.64 * part * part * np.asarray(size, dtype=np.float64), 1)
+    return np.clip(2 ** np.ceil(np.log2(wanted)), LEAST_GROUPS, MOST_GROUPS).astype(np.int64)
+
+
+def group_counts(hashes: np.ndarray, groups: int) -> np.ndarray:
+    """Shingles of a set in each of a power of two of groups; neighbours make the groups of half as many."""
+    return np.bincount((hashes >> np.uint64(65 - groups.bit_length())).astype(np.int64), minlength=groups)
+
+
+def folded(counts: np.ndarray, groups: int) -> np.ndarray:
+    return counts.reshape(groups, -1).sum(axis=1)
 
 
 def _marks(shingle: int, percent: int, hot: np.ndarray, names: list[str]) -> Callable:
@@ -131,8 +150,12 @@ def _marks(shingle: int, percent: int, hot: np.ndarray, names: list[str]) -> Cal
                 at = np.arange(len(hashes)) - bounds[:-1][owner]
                 rank = np.where(is_hot, cold[owner] + at - rank, rank)
                 take = (rank < prefix_length(size, percent)[owner]) & speaks[owner]
-                counts = _group_counts(hashes, owner, rows)
-                width = pa.array(np.arange(rows + 1) * GROUPS * 4, pa.int32()).buffers()[1]
+                # As many groups as a larger partner's.
+                groups = groups_of(size * 100 // percent + 1, percent)
+                counts = [
+                    np.minimum(group_counts(hashes[a:b], int(g)), MOST_COUNTED).astype("u1").tobytes() if told else None
+                    for a, b, g, told in zip(bounds[:-1], bounds[1:], groups, speaks)
+                ]
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(low, rows),
@@ -140,7 +163,7 @@ def _marks(shingle: int, percent: int, hot: np.ndarray, names: list[str]) -> Cal
                         pa.array(set_ids, pa.int64(), mask=~known),
                         _lists(hashes[take & ~is_hot], owner[take & ~is_hot], rows),
                         _lists(hashes[take & is_hot], owner[take & is_hot], rows),
-                        pa.Array.from_buffers(pa.binary(), rows, [None, width, pa.py_buffer(counts.tobytes())]),
+                        pa.array(counts, pa.binary()),
                     ],
                     names=names,
                 )
@@ -148,6 +171,17 @@ def _marks(shingle: int, percent: int, hot: np.ndarray, names: list[str]) -> Cal
     return run
 
 
+def _with_bins(sets: DataFrame, percent: int) -> DataFrame:
+    """Rows in the ``bin`` of their size and in the next: linked sets are of one bin or neighbours.
+
+    Bins are a little wider than sizes of linked sets can differ, so rounding cannot part them.
+    ``native`` marks a row in its own bin: a bin without one has only pairs that meet elsewhere.
+    """
+    width = math.log(100 / percent) * 1.01 if percent < 100 else 1e-6
+    own = F.floor(F.log("size") / width)
+    return sets.withColumn("own", own).withColumn("bin", F.explode(F.array(own, own + 1))).select("*", (F.col("bin") == F.col("own")).alias("native")).drop("own")
+
+
 def _met(marks: DataFrame) -> DataFrame:
     """(set_id, leader): sets that share a prefix shingle, under the smallest of them."""
     cold = marks.select("set_id", F.explode("cold").alias("shingle"))
@@ -163,7 +197,7 @@ def _met(marks: DataFrame) -> DataFrame:
     return cold.unionByName(hot).filter("leader < last").select("set_id", "leader").distinct()
 
 
-def _trees(table: pa.Table, counts: np.ndarray, sizes: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _pairs(table: pa.Table, counts: np.ndarray, sizes: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows of a tile that pass the overlap bound."""
     i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
     if i == j:
@@ -178,25 +212,31 @@ def _trees(table: pa.Table, counts: np.ndarray, sizes: np.ndarray, percent: int)
             yield left[a], right[b]
 
 
-def _partnered(percent: int) -> Callable:
-    """Members of a tile that some other member may be linked with."""
+def _maybe_linked(percent: int) -> Callable:
+    """Links that join a tile's members into the sets that all pairs within the bound would join."""
 
     def run(batches):
-        kept = []
-        for table in runs(batches, ["leader", "i", "j"]):
+        ends, heads, waiting = [], [], 0
+        for table in runs(batches, ["leader", "bin", "i", "j"]):
             if table.num_rows < 2:
                 continue
-            counts, sizes = binaries(table.column("counts"), "<i4", GROUPS), table.column("size").to_numpy()
-            found = np.zeros(table.num_rows, dtype=bool)
-            for a, b in _trees(table, counts, sizes, percent):
-                found[a] = found[b] = True
-            if found.any():
-                kept.append(table.select(["set_id", "leader"]).filter(pa.array(found)))
-            if len(kept) >= 1000:
-                yield from pa.concat_tables(kept).combine_chunks().to_batches()
-                kept = []
-        if kept:
-            yield from pa.concat_tables(kept).combine_chunks().to_batches()
+            counts, sizes = binaries(table.column("counts"), "u1"), table.column("size").to_numpy()
+            groups = min(map(len, counts))
+            counts = np.array([folded(np.where(c == MOST_COUNTED, 1 << 24, c.astype(np.int32)), groups) for c in counts])
+            roots = Roots(table.num_rows)
+            for a, b in _pairs(table, counts, sizes, percent):
+                roots.join(a, b)
+            hung = np.flatnonzero(roots.of != np.arange(len(roots.of)))
+            if len(hung):
+                ids = table.column("set_id").to_numpy()
+                ends.append(ids[hung])
+                heads.append(ids[roots.of[hung]])
+                waiting += len(hung)
+            if waiting >= 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (ends, heads)], names=["a", "b"])
+                ends, heads, waiting = [], [], 0
+        if waiting:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (ends, heads)], names=["a", "b"])
 
     return run
 
@@ -225,14 +265,15 @@ def _linked(percent: int) -> Callable:
     """Links that join a tile's members into the sets that all its links would join."""
 
     def run(batches):
-        for table in runs(batches, ["leader", "i", "j"]):
+        for table in runs(batches, ["family", "i", "j"]):
             if table.num_rows < 2:
                 continue
             sets = binaries(table.column("shingles"), "<u8")
             sizes = np.array([len(s) for s in sets])
-            counts = _group_counts(np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes), len(sets))
+            groups = int(groups_of(sizes.max(), percent))
+            counts = np.array([group_counts(s, groups) for s in sets], dtype=np.int32)
             root, links = np.arange(len(sets)), []
-            for a, b in _trees(table, counts, sizes, percent):
+            for a, b in _pairs(table, counts, sizes, percent):
                 apart = root[a] != root[b]
                 a, b = a[apart], b[apart]
                 while len(a):
@@ -267,27 +308,32 @@ def near_duplicates(
     same key count as one document and keep a row each. Columns other than ``key`` and
     ``text`` are not read, whatever their names. An empty table gives an empty result.
     """
+    bound_batches(docs.sparkSession)
     kind = docs.schema[key].dataType
     docs = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    hot = hot_shingles(docs, "text", shingle)
+    hot = hot_shingles(docs, "text", shingle, percent)
     schema = T.StructType([T.StructField("key", kind), *T.StructType.fromDDL("n long, set_id long, cold array<long>, hot array<long>, counts binary")])
     marks = materialise(docs.mapInArrow(_marks(shingle, percent, hot, schema.names), schema), "marks")
-    sets = marks.filter("set_id is not null").groupBy("set_id")
-    sets = sets.agg(F.min("key").alias("key"), F.min("n").alias("size"), F.min("counts").alias("counts"))
-
-    met = materialise(_met(marks), "met")
-    points = met.join(sets.select("set_id", "size", "counts"), "set_id")
-    points = tiled(points.withColumn("load", F.lit(1)), "leader", "set_id", TILE)
-    stay = materialise(points.mapInArrow(_partnered(percent), "set_id long, leader long").distinct(), "partnered")
-
-    wanted = sets.select("set_id", "key").join(stay.select("set_id").distinct(), "set_id", "left_semi").select("key").distinct()
-    wanted = materialise(wanted, "wanted")
-    if wanted.count() <= BROADCAST_IDS:
+    sets = marks.filter("set_id is not null").groupBy("set_id").agg(F.min("key").alias("key"), F.min("n").alias("size"))
+
+    # What a task needs of a set is joined to the narrow rows only when their tiles are known.
+    met = materialise(_met(marks).join(sets.select("set_id", "size"), "set_id"), "met")
+    counts = marks.select("set_id", "counts").filter("set_id is not null and counts is not null")
+    counts = counts.join(met.select("set_id").distinct(), "set_id", "left_semi").dropDuplicates(["set_id"])
+    points = _with_bins(met, percent).withColumn("load", F.lit(1))
+    points = tiles(points, ["leader", "bin"], "set_id", TILE).join(counts, "set_id")
+    maybe = laid_out(points, ["leader", "bin"], "set_id").mapInArrow(_maybe_linked(percent), "a long, b long")
+    families = components(maybe).select(F.col("node").alias("set_id"), F.col("component").alias("family"))
+    families = materialise(families.join(sets, "set_id"), "families")
+
+    wanted = families.select("key").distinct()
+    if families.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
     whole = docs.join(wanted, "key", "left_semi").select("text").mapInArrow(_whole_sets(shingle), "set_id long, shingles binary")
-    whole = whole.groupBy("set_id").agg(F.min("shingles").alias("shingles"))
-    whole = stay.join(whole, "set_id").withColumn("load", F.greatest(F.length("shingles") / 8, F.lit(TILE_SHINGLES)))
-    links = tiled(whole, "leader", "set_id", TILE * TILE_SHINGLES).mapInArrow(_linked(percent), "a long, b long")
+    load = F.greatest("size", F.lit(TILE_SHINGLES)).alias("load")
+    tiled = tiles(families.select("set_id", "family", load), ["family"], "set_id", TILE * TILE_SHINGLES)
+    tiled = tiled.join(whole.dropDuplicates(["set_id"]), "set_id")
+    links = laid_out(tiled, ["family"], "set_id").mapInArrow(_linked(percent), "a long, b long")
 
     joined = components(links).withColumnRenamed("node", "set_id")
     joined = joined.join(sets.select("set_id", "key"), "set_id")

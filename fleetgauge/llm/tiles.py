@@ -6,27 +6,48 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def tiled(members: DataFrame, group: str, member: str, most: int) -> DataFrame:
-    """Members of every group in tiles ``i``, ``j``: each pair of members meets in one of them.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession, most: int = 1 << 24) -> None:
+    """Lower the bytes of rows that a Python task is handed at once, where the session allows more.
+
+    A task holds a batch in several forms, and two tasks or more share an executor.
+    """
+    now = spark.conf.get(BATCH_BYTES).rstrip("b")
+    if not now.isdigit() or int(now) > most:
+        spark.conf.set(BATCH_BYTES, str(most))
+
+
+def tiles(members: DataFrame, group: Sequence[str], member: str, most: int) -> DataFrame:
+    """Members of every group of two or more in tiles ``i``, ``j``: each pair of them meets in one.
+
+    A group none of whose members has ``native`` true is left out, where there is such a column.
 
     A group with up to ``most`` of the column ``load`` has one tile; a larger one's members
     are dealt into parts, and every pair of parts is a tile. ``part`` is the member's own.
-    Rows are sorted by group and tile, so that each tile is a run of its task's rows.
+    Meant for narrow rows: what a task needs of its members is joined afterwards.
     """
-    large = members.groupBy(group).agg(F.sum("load").alias("load")).filter(F.col("load") > most)
-    large = large.select(group, F.ceil(F.col("load") / most).cast("int").alias("parts"))
-    dealt = members.join(large, group, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    dealt = dealt.withColumn("part", F.pmod(F.xxhash64(member, group), F.col("parts")).cast("int"))
+    native = F.max("native") if "native" in members.columns else F.lit(True)
+    sizes = members.groupBy(*group).agg(F.sum("load").alias("total"), F.count("*").alias("there"), native.alias("native"))
+    sizes = sizes.filter("there > 1 and native")
+    sizes = sizes.select(*group, F.ceil(F.col("total") / most).cast("int").alias("parts"))
+    dealt = members.drop("load", "native").join(sizes, list(group))
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64(member, *group), F.col("parts")).cast("int"))
     meets = F.transform(
         F.sequence(F.lit(0), F.col("parts") - 1),
         lambda k: F.struct(F.least("part", k).alias("i"), F.greatest("part", k).alias("j")),
     )
-    dealt = dealt.withColumn("tile", F.explode(meets)).select("*", "tile.i", "tile.j").drop("tile", "parts")
-    return dealt.repartition(group, "i", "j").sortWithinPartitions(group, "i", "j", member)
+    return dealt.withColumn("tile", F.explode(meets)).select("*", "tile.i", "tile.j").drop("tile", "parts")
+
+
+def laid_out(rows: DataFrame, group: Sequence[str], member: str) -> DataFrame:
+    """Rows sorted by group and tile, so that each tile is a run of its task's rows."""
+    return rows.repartition(*group, "i", "j").sortWithinPartitions(*group, "i", "j", member)
 
 
 def runs(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.Table]:
@@ -54,14 +75,12 @@ def runs(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.
         yield rest
 
 
-def binaries(column: pa.ChunkedArray, dtype: str, width: int | None = None) -> np.ndarray | list[np.ndarray]:
-    """A binary column as one matrix of rows of ``width``, or as an array for each row."""
+def binaries(column: pa.ChunkedArray, dtype: str) -> list[np.ndarray]:
+    """An array for each row of a binary column."""
     column = column.combine_chunks()
     if isinstance(column, pa.ChunkedArray):
         column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
     column = column.cast(pa.large_binary())
     bounds = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
     data = np.frombuffer(column.buffers()[2] or b"", dtype=np.uint8)
-    if width is not None:
-        return data[bounds[0] : bounds[-1]].view(dtype).reshape(len(column), width)
     return [data[low:high].view(dtype) for low, high in zip(bounds[:-1], bounds[1:])]

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from fleetgauge.llm.components import Roots, components
 from fleetgauge.llm.sampling import sample_of
-from fleetgauge.llm.tiles import runs, tiled
+from fleetgauge.llm.tiles import laid_out, runs, tiles
 from fleetgauge.session import materialise
 
 # The sample that centres are fitted on, vectors for each centre, and the most centres.
@@ -261,16 +261,20 @@ def _shard_links(least: float) -> Callable:
     return run
 
 
-def _assigned(centres: np.ndarray, overlap: int, names: list[str]) -> Callable:
+def _assigned(centres: np.ndarray, overlap: int) -> Callable:
+    """A row for each vector and shard, with all the vector's shards in ascending order."""
+
     def run(batches):
         for batch in batches:
-            x = units(batch.column(names.index("vector")), np.float32)
+            x = units(batch.column(1), np.float32)
             nearest = np.sort(np.argsort(-(x @ centres.T), axis=1, kind="stable")[:, :overlap], axis=1).astype(np.int64)
-            rows = np.repeat(np.arange(len(x)), nearest.shape[1])
-            data = batch.take(pa.array(rows))
-            bounds = pa.array(np.arange(len(rows) + 1) * nearest.shape[1], pa.int32())
+            width = nearest.shape[1]
+            rows = np.repeat(np.arange(len(x)), width)
+            bounds = pa.array(np.arange(len(rows) + 1) * width, pa.int32())
             lists = pa.ListArray.from_arrays(bounds, pa.array(nearest[rows].ravel()))
-            yield pa.RecordBatch.from_arrays([*data.columns, pa.array(nearest.ravel()), lists], names=names)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(rows)), pa.array(nearest.ravel()), lists], names=["key", "shard", "shards"]
+            )
 
     return run
 
@@ -308,11 +312,13 @@ def _linked(vectors: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
     count = vectors.count()
     sample = units(sample_of(vectors.select("key", "vector"), "key", SAMPLE).toArrow().column("vector").combine_chunks(), np.float32)
     centres = _centres(sample, int(min(max(count // PER_CENTRE, 1), MOST_CENTRES, max(len(sample) // 8, 1))))
-    schema = T.StructType([*vectors.schema.fields, *T.StructType.fromDDL("shard long, shards array<long>").fields])
+    schema = T.StructType([vectors.schema["key"], *T.StructType.fromDDL("shard long, shards array<long>").fields])
     overlap = OVERLAP
     while True:
-        sharded = vectors.mapInArrow(_assigned(centres, overlap, schema.names), schema).withColumn("load", F.lit(1))
-        found = tiled(sharded, "shard", "key", PART)
+        homes = vectors.select("key", "vector").mapInArrow(_assigned(centres, overlap), schema)
+        homes = materialise(homes, "shards")
+        found = tiles(homes.withColumn("load", F.lit(1)), ["shard"], "key", PART).join(vectors, "key")
+        found = laid_out(found, ["shard"], "key")
         kind = vectors.schema["key"].dataType
         told = T.StructType([T.StructField("key", kind), T.StructField("root", kind), T.StructField("links", T.LongType())])
         found = materialise(found.mapInArrow(_shard_links(least), told), "found")
