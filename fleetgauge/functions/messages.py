@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetgauge.schema import CORRUPT, KEY, READING, READING_COLUMNS
+from fleetgauge.schema import KEY, READING, READING_COLUMNS
 
 
 def to_messages(
@@ -22,15 +22,6 @@ def to_messages(
     )
 
 
-def _parsed(text: Column, schema: T.StructType) -> Column:
-    """Blank text is read as broken text: the parser would take it for an empty row."""
-    with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    shown = F.coalesce(F.nullif(F.trim(text), F.lit("")), F.lit("{"))
-    return F.from_json(
-        shown, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    )
-
-
 def parse_messages(
     df: DataFrame,
     envelope: str = "value",
@@ -40,22 +31,29 @@ def parse_messages(
     """Decode the envelope and flatten it, plus ``malformed`` and the source ``text``.
 
     A field of the wrong type is NULL and the rest of the row survives. Text that is
-    not a JSON object leaves every field NULL and is marked ``malformed``.
+    not one whole JSON object leaves every field NULL and is marked ``malformed``: the
+    parser stops after the first value it finds, so the text is read as the only item of a
+    list, which anything after it breaks or makes longer.
     ``envelope`` is ``value`` on one bus and ``data`` on the other.
 
-    The fields come out of a generator rather than a projection: a filter on a parsed
+    The items come out of a generator rather than a projection: a filter on a parsed
     field then stays above it, where a projection would be merged into the filter and
     the text parsed again for every field the filter mentions.
     """
     text = F.col(envelope).cast("string")
-    nothing = F.lit(True)
-    for name in schema.fieldNames():
-        nothing = nothing & F.col(name).isNull()
+    items = F.from_json(F.concat(F.lit("["), F.col("text"), F.lit("]")), T.ArrayType(schema))
+    first = F.get("_items", F.lit(0))
+    whole = F.trim("text").startswith("{") & (F.size("_items") == 1) & first.isNotNull()
     return (
         df.select(*keep, text.alias("text"))
-        .select(*keep, "text", F.inline(F.array(_parsed(F.col("text"), schema))))
-        .withColumn("malformed", F.col(CORRUPT).isNotNull() & nothing)
-        .drop(CORRUPT)
+        .select(*keep, "text", F.explode(F.array(items)).alias("_items"))
+        .withColumn("malformed", ~F.coalesce(whole, F.lit(False)))
+        .select(
+            *keep,
+            "text",
+            *[F.when(~F.col("malformed"), first[name]).alias(name) for name in schema.fieldNames()],
+            "malformed",
+        )
     )
 
 

@@ -74,8 +74,11 @@ def as_instant(moment: datetime | str | Column) -> Column:
 def hours_touched(as_of: datetime, minutes: int = RETENTION_MINUTES) -> list[str]:
     """Every hour key that the window of ``minutes`` before ``as_of`` overlaps.
 
-    Taking only the current hour would cut the window at the top of the hour.
+    Hours are named in UTC, like the folders. Taking only the current hour would cut the
+    window at the top of the hour.
     """
+    if as_of.tzinfo is not None:
+        as_of = as_of.astimezone(timezone.utc).replace(tzinfo=None)
     hour = (as_of - timedelta(minutes=minutes)).replace(minute=0, second=0, microsecond=0)
     keys = []
     while hour <= as_of:

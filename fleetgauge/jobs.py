@@ -20,13 +20,13 @@ from fleetgauge.sinks import tables
 from fleetgauge.sources.bus import bus_stream
 from fleetgauge.sources.files import routed_hours, staged_hours, text_stream
 from fleetgauge.streaming import queries
-from fleetgauge.streaming.transforms import route_stream
+from fleetgauge.streaming.transforms import DELAY, route_stream
 
 
 def _source(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     """Parsed readings from the bus, or from landed JSON lines, unreadable ones included."""
     if args.brokers:
-        lines = bus_stream(spark, args.brokers, args.topic)
+        lines = bus_stream(spark, args.brokers, args.topic, args.starting, args.max_offsets)
     else:
         lines = text_stream(spark, args.input, args.files_per_trigger)
     return with_reject_text(parse_messages(lines))
@@ -38,14 +38,14 @@ def _every(args: argparse.Namespace, usual: str) -> str | None:
 
 def land(spark: SparkSession, args: argparse.Namespace) -> None:
     """Bus payloads to JSON lines."""
-    bus = bus_stream(spark, args.brokers, args.topic)
+    bus = bus_stream(spark, args.brokers, args.topic, args.starting, args.max_offsets)
     every = _every(args, queries.TRIGGERS["landing"])
     queries.land_lines(bus, args.out, args.checkpoint, every=every).awaitTermination()
 
 
 def rejects(spark: SparkSession, args: argparse.Namespace) -> None:
     """Bus payloads that are not JSON objects, as they came."""
-    bus = bus_stream(spark, args.brokers, args.topic)
+    bus = bus_stream(spark, args.brokers, args.topic, args.starting, args.max_offsets)
     broken = malformed(parse_messages(bus))
     every = _every(args, queries.TRIGGERS["alerts"])
     queries.to_files(broken, args.out, args.checkpoint, "json", every=every).awaitTermination()
@@ -53,7 +53,7 @@ def rejects(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def route(spark: SparkSession, args: argparse.Namespace) -> None:
     """Readings to the routed staging table, deduplicated."""
-    routed = route_stream(_source(spark, args), hour_source=f"{args.hour_from}_ts")
+    routed = route_stream(_source(spark, args), args.delay, hour_source=f"{args.hour_from}_ts")
     every = _every(args, queries.TRIGGERS["routed"])
     queries.route_in_batches(routed, args.out, args.checkpoint, every=every).awaitTermination()
 
@@ -82,7 +82,12 @@ def report(spark: SparkSession, args: argparse.Namespace) -> None:
     """Hourly text reports, for the given hour or the last full one."""
     hour = check_hour(args.hour or default_report_hour(utc_offset_hours=args.utc_offset))
     readings = routed_hours(spark, args.input, [hour], ["data"])
-    tables.write_reports(hourly_device_report(hourly_device_mean(readings)), args.out)
+    means = hourly_device_mean(readings)
+    devices = means.count()
+    if not devices:
+        raise SystemExit(f"no device reported in hour {hour}")
+    tables.write_reports(hourly_device_report(means), args.out)
+    print(f"{devices} devices reported in hour {hour}")
 
 
 def register(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -100,9 +105,11 @@ def _parser() -> argparse.ArgumentParser:
         if "bus" in groups:
             sub.add_argument("--brokers", required="files" not in groups)
             sub.add_argument("--topic")
+            sub.add_argument("--starting", default="earliest", help="offset that a new checkpoint starts at")
+            sub.add_argument("--max-offsets", type=int, help="messages of a micro-batch")
         if "files" in groups:
             sub.add_argument("--input")
-            sub.add_argument("--files-per-trigger", type=int, default=1)
+            sub.add_argument("--files-per-trigger", type=int)
         if "stream" in groups:
             sub.add_argument("--checkpoint", required=True)
             sub.add_argument("--every")
@@ -117,6 +124,7 @@ def _parser() -> argparse.ArgumentParser:
     job(rejects, "bus", "stream")
     router = job(route, "bus", "files", "stream")
     router.add_argument("--hour-from", choices=("collected", "event"), default="collected")
+    router.add_argument("--delay", default=DELAY, help="copies that arrive within it count once")
     job(rules, "bus", "files", "stream")
     job(compact, "table").add_argument("--hours", nargs="+", required=True)
     gauges = job(snapshot, "table")
@@ -125,7 +133,7 @@ def _parser() -> argparse.ArgumentParser:
     gauges.add_argument("--text", action="store_true")
     reports = job(report, "table")
     reports.add_argument("--hour")
-    reports.add_argument("--utc-offset", type=int, default=9)
+    reports.add_argument("--utc-offset", type=int, default=0, help="of the clock that the table's hours are named by")
     job(register, "register").add_argument("--table", required=True)
     return parser
 

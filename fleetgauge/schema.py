@@ -8,7 +8,6 @@ KEY = "DeviceId"
 SENSORS = ("sensor1", "sensor2", "sensor3")
 MOTORS = ("motor1", "motor2", "motor3")
 METRICS = SENSORS + MOTORS
-CORRUPT = "_corrupt_record"
 
 
 def reading_schema(metric_type: T.DataType | None = None, collected_at: bool = True) -> T.StructType:

@@ -12,8 +12,8 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Adaptive execution sizes every shuffle from its real bytes, so one high initial
-# partition count serves both a laptop and a cluster.
+# Adaptive execution merges small shuffle partitions by their real bytes; the initial
+# count, a few times the cores, is the deployment's to set.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -76,6 +76,12 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def drop_at_end(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder when the session's process ends, if nothing did before."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -84,4 +90,5 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
+    drop_at_end(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -113,9 +113,24 @@ def recover_partitions(spark: SparkSession, table: str) -> None:
     spark.sql(f"MSCK REPAIR TABLE {table}")
 
 
-def add_partition(spark: SparkSession, table: str, path: str, device: int, ymdh: str) -> None:
-    """Register one partition of a ``DeviceId=/ymdh=`` table; repeating it is harmless."""
+def add_partition(
+    spark: SparkSession,
+    table: str,
+    path: str,
+    device: int,
+    ymdh: str,
+    route: str | None = None,
+    layout: Sequence[str] | None = None,
+) -> None:
+    """Register one partition; repeating it is harmless.
+
+    With a ``route`` the table is of LAYOUT, without one of ``DeviceId=/ymdh=``, unless a
+    ``layout`` is given.
+    """
+    layout = layout or (LAYOUT if route is not None else (KEY, "ymdh"))
+    values = {"route": route, "ymdh": ymdh, KEY: int(device)}
+    named = ", ".join(f"{level}='{values[level]}'" for level in layout)
+    folder = "/".join(f"{level}={values[level]}" for level in layout)
     spark.sql(
-        f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({KEY}={int(device)}, ymdh='{ymdh}') "
-        f"LOCATION '{path.rstrip('/')}/{KEY}={int(device)}/ymdh={ymdh}'"
+        f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({named}) LOCATION '{path.rstrip('/')}/{folder}'"
     )

@@ -35,7 +35,7 @@ def json_stream(
     spark: SparkSession,
     path: str,
     schema: T.StructType = READING,
-    files_per_trigger: int | None = 1,
+    files_per_trigger: int | None = None,
 ) -> DataFrame:
     """JSON lines as they land, with the declared schema; ``path`` may be a glob."""
     reader = spark.readStream.schema(schema)

@@ -76,12 +76,18 @@ def land_lines(
     envelope: str = "value",
     every: str | None = TRIGGERS["landing"],
 ) -> StreamingQuery:
-    """Land payloads as they are, one per line, ready for the JSON file stream.
+    """Land payloads one per line, ready for the JSON file stream.
+
+    A line break inside a payload, which JSON allows between its parts only, becomes a blank.
 
     Progress is in the checkpoint, so a failed write is retried and loses nothing.
     """
     return to_files(
-        bus.select(bus[envelope].cast("string").alias("value")), path, checkpoint, "text", every=every
+        bus.select(F.regexp_replace(bus[envelope].cast("string"), r"[\r\n]+", " ").alias("value")),
+        path,
+        checkpoint,
+        "text",
+        every=every,
     )
 
 
@@ -185,39 +191,53 @@ def fill_batch(
 ) -> Callable[[DataFrame, int], None]:
     """Previous-value fill on a stream.
 
-    Inside a batch, readings are filled in event-time order. What each device last
-    knew is stored per batch, one row per device, and leads the next batch, so a gap at
-    the start of a batch is filled from the one before it. A replayed batch starts from
-    the same stored values.
+    Inside a batch, readings are filled in event-time order. The last known value of each
+    metric is stored per batch with the time it is of, a row for each device and metric,
+    and takes part in the next batch at that time. A gap is filled from the batch before,
+    and a late reading does not replace what is newer. A replayed batch starts from the
+    same stored values.
     """
     rows, values = replace_batch(f"{base}/filled"), replace_batch(f"{base}/known")
-    newest = F.struct(*order)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        schema = T.StructType([f for f in batch.schema if f.name in (KEY, *columns)])
-        seeds = spark.createDataFrame([], schema)
+        schema = T.StructType([f for f in batch.schema if f.name in (KEY, *order, *columns)])
+        known = spark.createDataFrame([], schema)
         if batch_id > 0:
-            seeds = spark.read.schema(schema).parquet(f"{base}/known/batch_id={batch_id - 1}")
-        first = F.lit("0001-01-01").cast("timestamp")
-        lead = seeds.withColumns({order[0]: first, "_lead": F.lit(True)})
-        both = batch.withColumn("_lead", F.lit(False)).unionByName(lead, allowMissingColumns=True)
-        with scratch_scope(spark):
-            filled = fill_previous(both, columns, order)
-            rows(filled.filter(~F.col("_lead")).select(*batch.columns), batch_id)
-        written = spark.read.schema(batch.schema).parquet(f"{base}/filled/batch_id={batch_id}")
-        placed = F.col(KEY).isNotNull() & F.col(order[0]).isNotNull()
-        values(
-            written.filter(placed)
-            .unionByName(lead.drop("_lead"), allowMissingColumns=True)
-            .groupBy(KEY)
-            .agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), newest)).alias(c) for c in columns]),
-            batch_id,
-        )
+            known = spark.read.schema(schema).parquet(f"{base}/known/batch_id={batch_id - 1}")
+        batch = batch.persist()
+        try:
+            lead = known.withColumn("_lead", F.lit(True))
+            both = batch.withColumn("_lead", F.lit(False)).unionByName(lead, allowMissingColumns=True)
+            with scratch_scope(spark):
+                filled = fill_previous(both, columns, order)
+                rows(filled.filter(~F.col("_lead")).select(*batch.columns), batch_id)
+            placed = F.col(KEY).isNotNull() & F.col(order[0]).isNotNull()
+            told = batch.filter(placed).select(*schema.names).unionByName(known.select(*schema.names))
+            values(newest_known(told, columns, order).select(*schema.names), batch_id)
+        finally:
+            batch.unpersist()
 
     return store
 
 
+def newest_known(readings: DataFrame, columns: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """A row for each device and metric with its newest value, the time it is of, and no other metric."""
+    newest = [
+        F.max_by(F.struct(*order, c), F.when(F.col(c).isNotNull(), F.struct(*order))).alias(c) for c in columns
+    ]
+    wide = readings.groupBy(KEY).agg(*newest)
+    each = [
+        F.struct(
+            *[F.col(f"{c}.{o}").alias(o) for o in order],
+            *[(F.col(f"{c}.{c}") if c == other else F.lit(None).cast("double")).alias(other) for other in columns],
+        )
+        for c in columns
+    ]
+    long = wide.select(KEY, F.explode(F.array(*each)).alias("one")).select(KEY, "one.*")
+    return long.filter(F.coalesce(*columns).isNotNull())
+
+
 def await_any(spark: SparkSession) -> None:
     """Return, or raise, as soon as any query ends; waiting in turn hides failures."""
     spark.streams.awaitAnyTermination()

@@ -12,22 +12,26 @@ from fleetgauge.operators.rollup import mean_known
 from fleetgauge.schema import KEY, METRICS
 
 DELAY = "10 minutes"
-SPREAD = 8
 
 
-def dedup_stream(readings: DataFrame, delay: str = DELAY, spread: int = SPREAD) -> DataFrame:
-    """One row per event time and device; state older than ``delay`` is dropped.
+def dedup_stream(readings: DataFrame, delay: str = DELAY, spread: int = 1) -> DataFrame:
+    """One row per event time and device among those that arrive within ``delay``.
+
+    The watermark runs on arrival, the time of the micro-batch, which is the same when a
+    batch is run again. No device's clock can push it, so no reading is ever late: one
+    that is hours old or from the future is kept like any other. Copies that arrive
+    further apart than ``delay`` are both kept; compaction settles them by hour.
 
     Rows without an event time would all share one key. They are told apart by their
     whole content instead, so that none is taken for a copy of another.
 
-    A reading sent over and over would put all of its copies into one task. They are
-    first thinned out in ``spread`` groups by where they were read, so at most that
-    many copies of a reading per batch meet in one place. ``spread=1`` skips that step.
+    Where one reading is sent over and over, ``spread`` above 1 thins its copies out in
+    so many groups by where they were read, before the rest meets in one task.
     """
     alone = F.when(F.col("event_ts").isNull(), F.to_json(F.struct(*readings.columns)))
     keys = ["event_ts", KEY, "_alone"]
-    marked = readings.withColumn("_alone", alone).withWatermark("event_ts", delay)
+    marked = readings.withColumns({"_alone": alone, "_arrived": F.current_timestamp()})
+    marked = marked.withWatermark("_arrived", delay)
     if spread > 1:
         marked = marked.withColumn(
             "_spread", F.pmod(F.spark_partition_id(), F.lit(spread))
@@ -52,7 +56,11 @@ def route_stream(
 def hourly_mean_stream(
     readings: DataFrame, delay: str = DELAY, column: str = "collected_ts"
 ) -> DataFrame:
-    """Mean of each metric per device and hour, emitted once the hour is closed."""
+    """Mean of each metric per device and hour, emitted once the hour is closed.
+
+    An hour closes by the collector's clock; what is collected after that is not in it. The
+    batch means over the compacted table count every reading.
+    """
     return (
         readings.withWatermark(column, delay)
         .groupBy(F.window(column, "1 hour").alias("hour"), KEY)

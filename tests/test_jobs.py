@@ -1,6 +1,7 @@
 """The jobs chained as an operator would run them."""
 
 import glob
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -65,3 +66,27 @@ def test_landed_hours(spark, folder):
 def test_bus_needs_its_connector(spark):
     with pytest.raises(AnalysisException, match="kafka"):
         bus_stream(spark, "localhost:1", "readings", "latest", 1000)
+
+
+def test_zoned_moment_and_default_hour(spark, folder):
+    """The same instant with and without a zone; data stamped now is in the default report's reach."""
+    land(folder, "1", at(0, sensor1=2.0), at(61, sensor1=4.0))
+    stamp = (datetime.now(timezone.utc) - timedelta(hours=1)).strftime("%Y-%m-%dT%H:%M:%S")
+    land(folder, "2", at(0, DeviceId=7, time=stamp, collected_at=stamp))
+
+    def run(*argv):
+        jobs.main(list(argv), spark)
+
+    stream = ["--input", f"{folder}/{HOURLY_GLOB}", "--once"]
+    run("route", *stream, "--out", f"{folder}/staging", "--checkpoint", f"{folder}/c1", "--delay", "1 hour")
+    hour = stamp[:13].replace("-", "").replace("T", "")
+    run("compact", "--input", f"{folder}/staging", "--out", f"{folder}/table", "--hours", "2024010100", "2024010101", hour)
+    found = []
+    for moment in ("2024-01-01T01:30:00", "2024-01-01T10:30:00+09:00"):
+        run("snapshot", "--input", f"{folder}/table", "--out", f"{folder}/gauges", "--as-of", moment)
+        found.append(sorted(map(tuple, spark.read.parquet(f"{folder}/gauges").collect())))
+    assert found[0] == found[1] != []
+    run("report", "--input", f"{folder}/table", "--out", f"{folder}/reports")
+    assert glob.glob(f"{folder}/reports/ymd={hour[:8]}/hh={hour[8:]}/device=07/*.txt")
+    with pytest.raises(SystemExit):
+        run("report", "--input", f"{folder}/table", "--out", f"{folder}/reports", "--hour", "2020010100")

@@ -72,3 +72,21 @@ def test_stamp_uses_the_given_clock(spark):
     row = stamp_collected(frame(spark, reading(collected_at=None)), clock).first()
     assert row.collected_at == "2025-07-09T06:00:03.000000"
     assert set(row.asDict()) == set(READING_COLUMNS)
+
+
+@pytest.mark.parametrize(
+    "text, broken",
+    [
+        ('{"DeviceId":1}garbage', True),
+        ('{"DeviceId":1}{"DeviceId":2}', True),
+        ('{"DeviceId":1},{"DeviceId":2}', True),
+        ('{"DeviceId":"x"}', False),
+        ('{"DeviceId":1,"sensor1":"7.5"}', False),
+        (' {} ', False),
+        ("[1]", True),
+        ("7", True),
+    ],
+)
+def test_malformed_is_not_one_whole_object(spark, text, broken):
+    df = spark.createDataFrame([(text,)], "value string")
+    assert parse_messages(df).first()["malformed"] == broken

@@ -129,3 +129,22 @@ def test_register_partitions(spark, folder, routed):
     for _ in range(2):
         tables.add_partition(spark, "readings_added", f"{folder}/t", 2, HOURS[1])
     assert spark.table("readings_added").count() == 1
+
+
+def test_own_layout_is_listed_and_registered(spark, folder, routed):
+    tables.write_partitioned(routed, f"{folder}/own")
+    found = partition_inventory(file_listing(spark, f"{folder}/own")).collect()
+    assert {(r.DeviceId, r.ymdh) for r in found} == {
+        (r.DeviceId, r.ymdh) for r in routed.filter("DeviceId is not null and ymdh is not null").collect()
+    }
+    spark.sql("DROP TABLE IF EXISTS readings_own")
+    spark.sql(
+        f"CREATE TABLE readings_own (sensor1 double, route string, ymdh string, DeviceId int) USING parquet "
+        f"PARTITIONED BY (route, ymdh, DeviceId) LOCATION '{folder}/own'"
+    )
+    one = routed.filter("route = 'data'").first()
+    for _ in range(2):
+        tables.add_partition(spark, "readings_own", f"{folder}/own", one.DeviceId, one.ymdh, "data")
+    same = routed.filter(F.col("DeviceId") == one.DeviceId).filter(F.col("ymdh") == one.ymdh).filter("route = 'data'")
+    assert spark.table("readings_own").count() == same.count()
+    spark.sql("DROP TABLE readings_own")

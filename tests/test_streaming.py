@@ -6,7 +6,7 @@ import os
 
 import pytest
 
-from fleetgauge.functions.messages import to_messages
+from fleetgauge.functions.messages import parse_messages, to_messages
 from fleetgauge.functions.timeparts import with_hour_key, with_times
 from fleetgauge.operators.latest import latest_per_device
 from fleetgauge.operators.rollup import hourly_device_mean
@@ -50,7 +50,7 @@ def landed(folder):
 
 
 def source(spark, landed):
-    return json_stream(spark, f"{landed}/{HOURLY_GLOB}")
+    return json_stream(spark, f"{landed}/{HOURLY_GLOB}", files_per_trigger=1)
 
 
 def test_routed_stream_equals_batch(spark, landed):
@@ -84,14 +84,28 @@ def test_json_sink_by_device_and_hour(spark, landed):
     assert glob.glob(f"{landed}/out/DeviceId=1/ymdh=2024010101/*.json")
 
 
+def test_late_and_future_readings_are_stored(spark, folder):
+    """Half an hour late, hours late, and from a clock that says 2099: all are kept, copies are not."""
+    land(folder, "1", at(60), at(60), at(61))
+    land(folder, "2", reading(time="2099-01-01T00:00:00", DeviceId=9, collected_at="2099-01-01T00:00:00"))
+    land(folder, "3", at(30), at(60), at(30, DeviceId=2))
+    land(folder, "4", at(200), at(0, DeviceId=3))
+    land(folder, "5", at(1, DeviceId=3), at(30), at(201))
+    stream = json_stream(spark, f"{folder}/{HOURLY_GLOB}", files_per_trigger=1)
+    finish(run.to_files(route_stream(stream), f"{folder}/out", f"{folder}/c", every=None))
+    stored = spark.read.parquet(f"{folder}/out")
+    sent = spark.read.schema(READING).json(f"{folder}/{HOURLY_GLOB}")
+    assert stored.count() == sent.dropDuplicates(["time", "DeviceId"]).count() == 9
+
+
 def test_dedup_state_is_dropped_behind_the_watermark(spark, folder):
-    land(folder, "1", at(0), at(0))
-    land(folder, "2", at(300))
-    land(folder, "3", at(301))
-    stream = dedup_stream(with_times(source(spark, folder)), "10 minutes")
+    for name in "123":
+        land(folder, name, at(int(name)), at(int(name)))
+    one = json_stream(spark, f"{folder}/{HOURLY_GLOB}", files_per_trigger=1)
+    stream = dedup_stream(with_times(one), "1 millisecond")
     query = finish(run.to_files(stream, f"{folder}/out", f"{folder}/c", every=None))
     assert spark.read.parquet(f"{folder}/out").count() == 3
-    # Three keys were seen; what lies behind the watermark is no longer held.
+    # Three keys were seen; what arrived longer ago than the delay is no longer held.
     assert query.lastProgress["stateOperators"][0]["numRowsTotal"] < 3
 
 
@@ -171,6 +185,30 @@ def test_fill_carries_over_batches_and_replays(spark, folder):
     assert rows_of(filled()) == before
 
 
+def test_fill_keeps_the_newest_when_batches_are_out_of_order(spark, folder):
+    land(folder, "1", at(720, sensor1=50.0))
+    land(folder, "2", at(660, sensor1=10.0))
+    land(folder, "3", at(730, sensor1=None))
+    land(folder, "4", at(700, sensor1=None))
+    store = run.fill_batch(folder)
+    timed = with_times(json_stream(spark, f"{folder}/{HOURLY_GLOB}", files_per_trigger=1))
+    finish(run.for_batches(timed, store, f"{folder}/c", every=None))
+    got = {r.time: r.sensor1 for r in spark.read.parquet(f"{folder}/filled").collect()}
+    assert got[at(730)["time"]] == 50.0
+    # What was newer than this gap is not carried back into it, and what was older is no longer held.
+    assert got[at(700)["time"]] is None
+
+
+def test_payload_with_a_line_break_lands_as_one_line(spark, folder):
+    land(folder, "1", at(0))
+    broken = source(spark, folder).selectExpr(
+        "concat('{\\n\"DeviceId\": 1,\\r\\n \"time\": \"', time, '\"}') as value"
+    )
+    finish(run.land_lines(broken, f"{folder}/lines", f"{folder}/c", every=None))
+    parsed = parse_messages(spark.read.text(f"{folder}/lines")).collect()
+    assert [(r.DeviceId, r.malformed) for r in parsed] == [(1, False)]
+
+
 @pytest.mark.parametrize("spread", [1, 4])
 def test_many_copies_of_one_reading(spark, folder, spread):
     for name in "123":
