@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from fleetgauge.llm import words as W
 from fleetgauge.llm.sampling import training_rows
+from fleetgauge.llm.tiles import bound_batches
 
 UNKNOWN = "und"
 # Families of languages by their codes; any other language is a family of its own.
@@ -41,7 +42,7 @@ FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in code
 FEATURES = 1 << 13
 RUNS = (2, 3, 4)
 # The bound of the training sample: rows, and bytes of the longest text in it.
-TRAINING_ROWS = 3000
+TRAINING_ROWS = 2000
 TRAINING_BYTES = 20_000
 
 # Bytes that are no letters become blanks, A-Z become a-z; bytes above 127 are parts of letters.
@@ -237,6 +238,7 @@ def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: s
     text for a model without training rows. One row for each row, repeated ones included;
     columns other than ``key`` and ``text`` are not read.
     """
+    bound_batches(docs.sparkSession)
     schema = T.StructType([T.StructField("key", docs.schema[key].dataType), *T.StructType.fromDDL("lang_pred string, score double")])
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     rows = rows.mapInArrow(_identified(model, schema.names), schema)
@@ -245,6 +247,7 @@ def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: s
 
 def keep_identified(docs: DataFrame, model: LanguageModel, least: float, text: str = "text") -> DataFrame:
     """Rows, whole, whose language is known with a score of ``least`` or more."""
+    bound_batches(docs.sparkSession)
     at = docs.columns.index(text)
 
     def run(batches):

@@ -22,11 +22,12 @@ from pyspark.sql import types as T
 
 from fleetgauge.llm import words as W
 from fleetgauge.llm.memo import PORTION, Chunks, Memo
+from fleetgauge.llm.tiles import bound_batches
 from fleetgauge.session import materialise
 
 # Pieces of a group, on average.
 GROUP = 1 << 13
-REMEMBERED = 600_000
+REMEMBERED = 150_000
 # Sequence numbers set aside for a group.
 NUMBERS = 1 << 24
 # Pieces that are encoded in one call.
@@ -138,6 +139,7 @@ def tokenize(docs: DataFrame, path: str, end: int = 1, key: str = "doc_id", text
     A null text counts as empty and has ``end`` alone. One row for each row; other
     columns are not read.
     """
+    bound_batches(docs.sparkSession)
     schema = T.StructType([T.StructField("key", docs.schema[key].dataType), T.StructField("ids", T.BinaryType())])
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     rows = rows.mapInArrow(_tokenized(path, end, schema.names), schema)

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from fleetgauge.llm import words as W
 from fleetgauge.llm.sampling import held_out, sample_of
+from fleetgauge.llm.tiles import bound_batches
 
 # Word vectors: their number (tokens share one by hash), their length, signs of an index vector.
 WORDS = 1 << 15
@@ -31,7 +32,7 @@ HIDDEN = 32
 # Tokens that the mean text counts for beside a text's own.
 DOUBT = 16
 # The bound of the training sample: rows, and bytes of the longest text in it.
-TRAINING_ROWS = 6000
+TRAINING_ROWS = 4000
 TRAINING_BYTES = 20_000
 GOOD = 0.7
 
@@ -61,19 +62,19 @@ def index_vectors() -> np.ndarray:
 def word_vectors(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sums of the neighbours' index vectors, damped, of length 1; words not met have their index vector."""
     index = index_vectors()
-    text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    text = np.repeat(np.arange(len(bounds) - 1, dtype=np.int32), np.diff(bounds))
     sums = np.zeros((WORDS, WIDTH), dtype=np.float32)
     for reach in range(1, REACH + 1):
         same = text[reach:] == text[:-reach]
         left, right = words[:-reach][same], words[reach:][same]
         # Pairs first counted, then weighed: a pair of words is met again and again.
-        pair, often = np.unique(left * WORDS + right, return_counts=True)
-        left, right, often = pair // WORDS, pair % WORDS, np.log1p(often).astype(np.float32)[:, None]
-        for own, other in ((left, right), (right, left)):
-            order = np.argsort(own, kind="stable")
-            starts = np.flatnonzero(np.concatenate([[True], np.diff(own[order]) > 0])) if len(own) else []
-            if len(own):
-                sums[own[order][starts]] += np.add.reduceat((index[other] * often)[order], starts)
+        pair, often = np.unique((left * WORDS + right).astype(np.uint32), return_counts=True)
+        weight = np.log1p(often).astype(np.float32)
+        for low in range(0, len(pair), 1 << 16):
+            left, right = np.divmod(pair[low : low + (1 << 16)].astype(np.int64), WORDS)
+            own = weight[low : low + (1 << 16), None]
+            np.add.at(sums, left, index[right] * own)
+            np.add.at(sums, right, index[left] * own)
     sizes = np.linalg.norm(sums, axis=1, keepdims=True)
     return np.where(sizes > 0, sums / np.maximum(sizes, 1e-9), index / np.sqrt(SIGNS)).astype(np.float32)
 
@@ -232,6 +233,7 @@ def assess(docs: DataFrame, model: QualityModel, key: str = "doc_id", text: str
     From the whole text alone; null and empty texts are scored as texts without tokens.
     One row for each row, repeated ones included; other columns are not read.
     """
+    bound_batches(docs.sparkSession)
     schema = T.StructType([T.StructField("key", docs.schema[key].dataType), T.StructField("score", T.DoubleType())])
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     rows = rows.mapInArrow(_scored(model, schema.names), schema)
@@ -240,6 +242,7 @@ def assess(docs: DataFrame, model: QualityModel, key: str = "doc_id", text: str
 
 def keep_good(docs: DataFrame, model: QualityModel, text: str = "text") -> DataFrame:
     """Rows, whole, with a score of GOOD or more."""
+    bound_batches(docs.sparkSession)
     at = docs.columns.index(text)
 
     def run(batches):

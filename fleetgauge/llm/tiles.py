@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def bound_batches(spark: SparkSession, most: int = 1 << 24) -> None:
+def bound_batches(spark: SparkSession, most: int = 1 << 23) -> None:
     """Lower the bytes of rows that a Python task is handed at once, where the session allows more.
 
     A task holds a batch in several forms, and two tasks or more share an executor.
