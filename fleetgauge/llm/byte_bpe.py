@@ -25,12 +25,13 @@ from pyspark.sql import types as T
 
 from fleetgauge.llm import words as W
 from fleetgauge.llm.memo import PORTION, Chunks, Memo
+from fleetgauge.llm.tiles import bound_batches
 
 NONE = np.iinfo(np.int64).max
 # Pieces up to this many bytes are merged in trees side by side.
 SIDE_BY_SIDE = 64
 TREES = 1 << 13
-REMEMBERED = 500_000
+REMEMBERED = 80_000
 
 # Letters of Latin-1, and at most one sign of ASCII after them.
 SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]?)")
@@ -277,6 +278,7 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
     A row for each row, repeated ones included; a null or empty text has no ids. Each match
     of ``pattern`` is encoded by itself, without special tokens. Other columns are not read.
     """
+    bound_batches(docs.sparkSession)
     schema = T.StructType([T.StructField("key", docs.schema[key].dataType), T.StructField("ids", T.BinaryType())])
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     rows = rows.mapInArrow(_encoded(path, pattern, schema.names), schema)
