@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetgauge.llm import words as W
-from fleetgauge.llm.memo import PORTION, Chunks, Memo
+from fleetgauge.llm.memo import Chunks, Memo
 from fleetgauge.llm.tiles import bound_batches
 
 NONE = np.iinfo(np.int64).max
@@ -32,6 +32,8 @@ NONE = np.iinfo(np.int64).max
 SIDE_BY_SIDE = 64
 TREES = 1 << 13
 REMEMBERED = 80_000
+# Bytes of text that are encoded together; encoding and decoding share an executor.
+PORTION = 1 << 21
 
 # Letters of Latin-1, and at most one sign of ASCII after them.
 SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]?)")
