@@ -2,7 +2,7 @@
 
 Tokens are runs of one kind of character: small letters, capitals, digits or signs. Every
 token has a sparse random index vector, drawn from its hash; its word vector is the sum
-of the index vectors seen next to it in the training texts, damped and scaled. A text is
+of the index vectors seen next to it in all texts, labelled or not, damped and scaled. A text is
 the mean of its tokens' vectors, the mean product of neighbours' vectors, which shows
 repetition and word order, and the same mean product for index vectors. A network of two
 layers scores it; its temperature is set on training rows it has not seen.
@@ -10,7 +10,7 @@ layers scores it; its temperature is set on training rows it has not seen.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,11 +28,14 @@ WORDS = 1 << 15
 WIDTH = 48
 SIGNS = 4
 REACH = 2
+# Neighbours that a task holds before it hands their counts on, and the numbers of 16 words' neighbours.
+PAIRS = 1 << 23
+BLOCK = 16 << 17
 HIDDEN = 32
 # Tokens that the mean text counts for beside a text's own.
 DOUBT = 16
 # The bound of the training sample: rows, and bytes of the longest text in it.
-TRAINING_ROWS = 4000
+TRAINING_ROWS = 6000
 TRAINING_BYTES = 20_000
 GOOD = 0.7
 
@@ -59,24 +62,139 @@ def index_vectors() -> np.ndarray:
     return out
 
 
-def word_vectors(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Sums of the neighbours' index vectors, damped, of length 1; words not met have their index vector."""
-    index = index_vectors()
+def neighbours(words: np.ndarray, bounds: np.ndarray) -> Iterator[np.ndarray]:
+    """A number for each word and each neighbour up to REACH away in its text, a portion at a time.
+
+    Its bits: the word (15), the distance (1), the side (1), the neighbour (15).
+    """
     text = np.repeat(np.arange(len(bounds) - 1, dtype=np.int32), np.diff(bounds))
-    sums = np.zeros((WORDS, WIDTH), dtype=np.float32)
-    for reach in range(1, REACH + 1):
-        same = text[reach:] == text[:-reach]
-        left, right = words[:-reach][same], words[reach:][same]
-        # Pairs first counted, then weighed: a pair of words is met again and again.
-        pair, often = np.unique((left * WORDS + right).astype(np.uint32), return_counts=True)
-        weight = np.log1p(often).astype(np.float32)
-        for low in range(0, len(pair), 1 << 16):
-            left, right = np.divmod(pair[low : low + (1 << 16)].astype(np.int64), WORDS)
-            own = weight[low : low + (1 << 16), None]
-            np.add.at(sums, left, index[right] * own)
-            np.add.at(sums, right, index[left] * own)
-    sizes = np.linalg.norm(sums, axis=1, keepdims=True)
-    return np.where(sizes > 0, sums / np.maximum(sizes, 1e-9), index / np.sqrt(SIGNS)).astype(np.float32)
+    words = words.astype(np.uint32)
+    for low in range(0, len(words), 1 << 18):
+        for reach in range(REACH):
+            right = words[low + reach + 1 : low + reach + 1 + (1 << 18)]
+            left = words[low : low + len(right)]
+            same = text[low + reach + 1 : low + reach + 1 + len(right)] == text[low : low + len(right)]
+            left, right, far = left[same], right[same], np.uint32(reach << 16)
+            yield (left << np.uint32(17)) | far | right
+            yield (right << np.uint32(17)) | far | np.uint32(1 << 15) | left
+
+
+def _packed(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Seven bits a byte, the lowest first, and the bytes of each number."""
+    sizes = np.ones(len(numbers), dtype=np.int64)
+    for bits in (7, 14, 21, 28):
+        sizes += numbers >= 1 << bits
+    first = np.cumsum(sizes) - sizes
+    out = np.zeros(int(sizes.sum()), dtype=np.uint8)
+    for k in range(5):
+        own = np.flatnonzero(sizes > k)
+        more = (sizes[own] > k + 1).astype(np.uint8) << np.uint8(7)
+        out[first[own] + k] = ((numbers[own] >> (7 * k)) & 127).astype(np.uint8) | more
+    return out, sizes
+
+
+def _unpacked(data: np.ndarray) -> np.ndarray:
+    last = np.flatnonzero(data < 128)
+    first = np.concatenate([[0], last[:-1] + 1])
+    out = np.zeros(len(last), dtype=np.int64)
+    for k in range(5):
+        own = np.flatnonzero(first + k <= last)
+        out[own] |= (data[first[own] + k] & 127).astype(np.int64) << (7 * k)
+    return out
+
+
+def _blocks(numbers: np.ndarray) -> pa.RecordBatch:
+    """A row for each block of words met: gaps between its neighbours' numbers, and how often the repeated ones come."""
+    numbers.sort()
+    first = np.flatnonzero(np.concatenate([[True], numbers[1:] != numbers[:-1]]))
+    often = np.diff(first, append=len(numbers))
+    numbers = numbers[first].astype(np.int64)
+    begins = np.flatnonzero(np.diff(numbers // BLOCK, prepend=-1))
+    blocks = numbers[begins] // BLOCK
+    gaps = np.diff(numbers, prepend=0)
+    gaps[begins] = numbers[begins] % BLOCK
+    columns = [pa.array(blocks)]
+    for values, heads in (
+        ((gaps << 1) | (often > 1), begins),
+        (often[often > 1], np.searchsorted(np.flatnonzero(often > 1), begins)),
+    ):
+        data, sizes = _packed(values)
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        bounds = np.append(ends[heads], len(data)).astype(np.int32)
+        columns.append(pa.Array.from_buffers(pa.binary(), len(blocks), [None, pa.py_buffer(bounds), pa.py_buffer(data)]))
+    return pa.RecordBatch.from_arrays(columns, names=["block", "gaps", "repeats"])
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of neighbours in a task's texts, PAIRS at a time."""
+    parts, held = [], 0
+    for batch in batches:
+        texts = batch.column(0)
+        for low, high in W.slices(texts, 1 << 20):
+            for part in neighbours(*tokens(*W.text_buffers(texts.slice(low, high - low)))):
+                parts.append(part)
+                held += len(part)
+                if held >= PAIRS:
+                    yield _blocks(np.concatenate(parts))
+                    parts, held = [], 0
+    if held:
+        yield _blocks(np.concatenate(parts))
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the index vectors beside each word, from all rows of its block, which follow each other."""
+    index = _index()
+    places = np.nonzero(index)[1].reshape(WORDS, SIGNS)
+    signs = np.take_along_axis(index, places, axis=1).astype(np.float64)
+    counts = np.zeros(BLOCK, dtype=np.int64)
+    inside = BLOCK >> 17
+
+    def finished(block: int) -> pa.RecordBatch:
+        sums, met = np.zeros(inside * WIDTH), np.flatnonzero(counts)
+        for low in range(0, len(met), 1 << 16):
+            part = met[low : low + (1 << 16)]
+            mate, weight = part % WORDS, np.log1p(counts[part])[:, None]
+            at = (part >> 17)[:, None] * WIDTH + places[mate]
+            sums += np.bincount(at.ravel(), (signs[mate] * weight).ravel(), inside * WIDTH)
+        words = np.unique(met >> 17)
+        counts[:] = 0
+        rows = [row.tobytes() for row in sums.reshape(inside, WIDTH)[words]]
+        return pa.RecordBatch.from_arrays([pa.array(block * inside + words), pa.array(rows, pa.binary())], names=["word", "sums"])
+
+    now = None
+    for batch in batches:
+        columns = [batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()]
+        for block, gaps, repeats in zip(*columns):
+            if now not in (None, block):
+                yield finished(now)
+            now = block
+            gaps = _unpacked(np.frombuffer(gaps, np.uint8))
+            often = 1 + (gaps & 1)
+            often[often > 1] = _unpacked(np.frombuffer(repeats, np.uint8)) if repeats else 0
+            counts[np.cumsum(gaps >> 1)] += often
+    if now is not None:
+        yield finished(now)
+
+
+def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
+    """Sums of the neighbours' index vectors over all texts, damped, of length 1.
+
+    Labels play no part, so every row counts, whole. A pair of words weighs the logarithm of
+    one more than its number in the table. Words not met have their index vector. A task sums
+    a block of words, so the sums do not depend on how the table is partitioned; at most
+    WORDS rows of them come to the driver.
+    """
+    bound_batches(docs.sparkSession)
+    texts = docs.select(F.col(text).cast("string").alias("text"))
+    counted = texts.mapInArrow(_counted, "block long, gaps binary, repeats binary")
+    # A task reads all rows of a block one after another and holds the counts of that block.
+    sums = counted.repartition("block").sortWithinPartitions("block").mapInArrow(_summed, "word long, sums binary")
+    found = sums.toArrow()
+    table = np.zeros((WORDS, WIDTH))
+    if found.num_rows:
+        table[found["word"].to_numpy()] = np.frombuffer(b"".join(found["sums"].to_pylist())).reshape(-1, WIDTH)
+    sizes = np.linalg.norm(table, axis=1, keepdims=True)
+    return np.where(sizes > 1e-9, table / np.maximum(sizes, 1e-9), _index() / np.sqrt(SIGNS)).astype(np.float32)
 
 
 def pooled(words: np.ndarray, bounds: np.ndarray, vectors: np.ndarray, index: np.ndarray) -> np.ndarray:
@@ -112,10 +230,12 @@ class QualityModel:
     temperature: float
 
     @classmethod
-    def fit(cls, texts: Sequence[str], labels: Sequence[int], rounds: int = 60) -> QualityModel:
-        words, bounds = tokens(*W.text_buffers(pa.array(texts, pa.string())))
-        vectors = word_vectors(words, bounds)
-        x = pooled(words, bounds, vectors, index_vectors())
+    def fit(cls, texts: Sequence[str], labels: Sequence[int], vectors: np.ndarray, rounds: int = 60) -> QualityModel:
+        column = pa.array(texts, pa.string())
+        x, sizes = np.zeros((len(column), 3 * WIDTH), dtype=np.float32), np.zeros(len(column), dtype=np.int64)
+        for low, high in W.slices(column, 1 << 20) if len(column) else ():
+            words, bounds = tokens(*W.text_buffers(column.slice(low, high - low)))
+            x[low:high], sizes[low:high] = pooled(words, bounds, vectors, _index()), np.diff(bounds)
         y = np.asarray(labels, dtype=np.float32)
         mean, scale = (x.mean(axis=0), x.std(axis=0) + 1e-6) if len(x) else (np.zeros(3 * WIDTH), np.ones(3 * WIDTH))
         model = cls(vectors, mean.astype(np.float32), scale.astype(np.float32), [], 1.0)
@@ -124,7 +244,7 @@ class QualityModel:
             model.layers = [np.zeros((3 * WIDTH, HIDDEN)), np.zeros(HIDDEN), np.zeros(HIDDEN), np.array([4.0 * (2 * y[0] - 1) if len(y) else 4.0])]
             return model
         check = np.arange(len(x)) % 5 == 0
-        x = model._inputs(x, np.diff(bounds))
+        x = model._inputs(x, sizes)
         model._train(x, y, check, rounds)
         model._calibrate(x[check], y[check])
         return model
@@ -198,7 +318,7 @@ def _gradients(layers, x, y):
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> QualityModel:
-    """Learn from a sample of at most 1.2 TRAINING_ROWS labelled rows that are not held out.
+    """Word vectors from all rows; the network from at most 1.2 TRAINING_ROWS labelled ones not held out.
 
     Labels of a key that has both count as rows of their own; null ones are left out.
     """
@@ -209,7 +329,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     # The chosen labels are at most 1.2 TRAINING_ROWS, so the texts need no shuffle.
     rows = rows.join(F.broadcast(chosen), "key").limit(2 * TRAINING_ROWS)
     sample = rows.toPandas().sort_values(["key", "text", "label"])
-    return QualityModel.fit(sample["text"].tolist(), sample["label"].tolist())
+    return QualityModel.fit(sample["text"].tolist(), sample["label"].tolist(), word_vectors(docs, text))
 
 
 def scores(model: QualityModel, texts: pa.Array):

@@ -66,6 +66,30 @@ def test_quality_edges(spark, docs):
         assert {r.predicted for r in Q.assess(df, empty).collect()} == {1}
 
 
+def test_word_vectors_count_every_text(spark):
+    rows = [(1, "the cat and the dog"), (2, "zyx wug " * 6000 + "quux"), (3, None), (4, ""), (5, "the cat sat"), (6, "one")]
+    sums = np.zeros((Q.WORDS, Q.WIDTH))
+    index, often = Q.index_vectors(), {}
+    for _, text in rows:
+        words = Q.tokens(*Q.W.text_buffers(Q.pa.array([text], Q.pa.string())))[0].tolist()
+        for reach in (1, 2):
+            for pair in zip(words, words[reach:]):
+                often[reach, pair] = often.get((reach, pair), 0) + 1
+    for (_, (a, b)), n in often.items():
+        sums[a] += index[b] * np.log1p(n)
+        sums[b] += index[a] * np.log1p(n)
+    sizes = np.linalg.norm(sums, axis=1, keepdims=True)
+    want = np.where(sizes > 0, sums / np.maximum(sizes, 1e-9), index / 2)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert np.abs(Q.word_vectors(df) - want).max() < 1e-3
+    assert np.abs(Q.word_vectors(df.repartition(3)) - want).max() < 1e-3
+    # A long text without a label is met by the model too.
+    labels = spark.createDataFrame([(1, 1), (5, 0)], "doc_id long, quality int")
+    zyx = Q.tokens(*Q.W.text_buffers(Q.pa.array(["zyx"])))[0][0]
+    assert np.abs(Q.train(df, labels).vectors[zyx] - want[zyx]).max() < 1e-3
+    assert np.abs(want[zyx] - index[zyx] / 2).max() > 0.1
+
+
 def test_licence_notices():
     model = N.trained()
     for family, notices in NOTICES.items():
