@@ -57,3 +57,38 @@ def test_edge_rows(spark):
     assert got == sorted([*alone, *linked, ("None", 0, None, None)], key=str) or set(got) == {*alone, *linked, ("None", 0, None, None)}
     assert V.near_duplicates(df.limit(0)).collect() == []
     assert len(V.near_duplicates(df.filter("vec_id = 3")).collect()) == 1
+
+
+def test_a_tile_finds_what_its_graph_misses(monkeypatch):
+    none = np.zeros(0, dtype=np.int64)
+    monkeypatch.setattr(V, "search", lambda *_: (none, none))
+    drawn = np.random.default_rng(9)
+    x = np.repeat(drawn.normal(size=(900, 64)), 2, axis=0) + drawn.normal(size=(1800, 64)) * 0.1
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    here, there = np.arange(0, 1800, 2), np.arange(1, 1800, 2)
+    pairs = V._close_pairs(x, x.astype(np.float32), here, there, 0.9)
+    assert len(pairs) == (x[here] @ x[there].T >= 0.9).sum()
+
+
+def test_audit_sees_lost_small_groups(spark):
+    drawn = np.random.default_rng(6)
+    big = drawn.normal(size=16) + drawn.normal(size=(300, 16)) * 0.01
+    small = np.repeat(drawn.normal(size=(20, 16)), 2, axis=0)
+    small[1::2] += drawn.normal(size=(20, 16)) * 0.01
+    rows = [(k, v.tolist(), 1) for k, v in enumerate([*big, *small])]
+    vectors = spark.createDataFrame(rows, "key long, vector array<float>, copies long")
+    links = spark.createDataFrame([(k, 299) for k in range(300)], "key long, links long")
+    assert V.audit_recall(vectors, links, 0.9) < V.RECALL
+    links = spark.createDataFrame([(k, 299 if k < 300 else 1) for k in range(340)], "key long, links long")
+    assert V.audit_recall(vectors, links, 0.9) == 1
+
+
+def test_last_round_is_audited(spark, monkeypatch):
+    monkeypatch.setattr(V, "PER_CENTRE", 10)
+    monkeypatch.setattr(V, "OVERLAP", 1)
+    monkeypatch.setattr(V, "MOST_OVERLAP", 1)
+    monkeypatch.setattr(V, "RECALL", 1.0)
+    rows = _groups(60, 9)
+    got = {r.vec_id: r for r in V.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
+    links, home = _brute(rows)
+    assert all(got[k].n_links == links[k] and got[k].component_id == home[k] for k in links)
