@@ -24,10 +24,14 @@ from pyspark.sql import types as T
 from fleetgauge.llm.html_examples import PAGES
 
 # Elements of the markup language by what they are for.
-RAW = "script style noscript template textarea title iframe svg math select button object canvas audio video head".split()
+# Only the first run to their end tag or the end of the page, whatever is inside; the next hide what is before their end tag.
+RAW = "script style textarea title".split()
+HIDES = "noscript template iframe svg select button object canvas audio video".split()
 INLINE = (
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var wbr"
+    "strike strong sub sup time tt u var wbr "
+    "math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle "
+    "msub msubsup msup mtable mtd mtext mtr munder munderover semantics annotation"
 ).split()
 VOID = "area base br col embed hr img input link meta param source track wbr".split()
 BOILERPLATE = "nav header footer aside form menu dialog".split()
@@ -43,7 +47,7 @@ NAMED = (
 ).split()
 READERS = "comment comments commentlist disqus respond replies".split()
 
-_RAW, _INLINE, _VOID = frozenset(RAW), frozenset(INLINE), frozenset(VOID)
+_HIDES, _INLINE, _VOID = frozenset(HIDES), frozenset(INLINE), frozenset(VOID)
 _BOILERPLATE, _ARTICLE, _HEADINGS = frozenset(BOILERPLATE), frozenset(ARTICLE), frozenset(HEADINGS)
 _NAMED, _READERS = frozenset(NAMED), frozenset(READERS)
 # Elements that are open side by side, never one in the other.
@@ -51,7 +55,8 @@ _SIBLINGS = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{'|'.join(RAW)})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*+>|\Z)"
+    r"|<title\s*+/>"
+    rf"|<(?P<raw>{'|'.join(RAW)})(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)(?=[\s/>])[^>]*+>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][^\s/>]*+)(?P<rest2>[^>]*+)(?:>|\Z)"
     r"|<[!?][^>]*+(?:>|\Z)",
@@ -89,6 +94,22 @@ def _is_named(rest: str) -> tuple[bool, bool]:
     return False, False
 
 
+def _hidden_to(tokens: Sequence[re.Match]) -> dict[int, int]:
+    """The end tag of each element that hides its content; one without end tag hides nothing."""
+    out, open_ = {}, {}
+    for k, token in enumerate(tokens):
+        tag = token["tag"] or token["tag2"]
+        tag = tag and tag.lower()
+        if tag not in _HIDES:
+            continue
+        if token["close"] or token["close2"]:
+            if open_.get(tag):
+                out[open_[tag].pop()] = k
+        elif tag != "svg" or not (token["rest"] or token["rest2"] or token[0][:-1]).endswith("/"):
+            open_.setdefault(tag, []).append(k)
+    return out
+
+
 def blocks(page: str) -> list[Block]:
     """Blocks of text in page order; scripts, styles, comments and markup are left out."""
     out: list[Block] = []
@@ -109,7 +130,11 @@ def blocks(page: str) -> list[Block]:
             links.clear()
 
     at = 0
-    for token in _TOKEN.finditer(page):
+    tokens = list(_TOKEN.finditer(page))
+    ends, skipped = _hidden_to(tokens), -1
+    for k, token in enumerate(tokens):
+        if k <= skipped:
+            continue
         if token.start() > at:
             pieces.append(page[at : token.start()])
             if linked:
@@ -120,6 +145,12 @@ def blocks(page: str) -> list[Block]:
             continue
         tag = tag.lower()
         closing = bool(token["close"] or token["close2"])
+        if k in ends:
+            skipped = ends[k]
+            at = tokens[skipped].end()
+            continue
+        if tag == "svg":
+            continue
         if tag in _INLINE:
             if tag == "a":
                 linked = not closing
@@ -140,7 +171,7 @@ def blocks(page: str) -> list[Block]:
         if tag in _SIBLINGS and stack[-1][0] in _SIBLINGS[tag]:
             stack.pop()
         _, boilerplate, readers, article, heading = stack[-1]
-        named, by_readers = (False, False) if tag in ("html", "body") else _is_named(token["rest"] or token["rest2"] or "")
+        named, by_readers = (False, False) if tag in ("html", "head", "body") else _is_named(token["rest"] or token["rest2"] or "")
         if tag in _ARTICLE and not named and not readers:
             # What wraps a whole article, such as a form, does not make it boilerplate.
             boilerplate, article = False, True

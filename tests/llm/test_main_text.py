@@ -53,3 +53,25 @@ def test_given_pages(spark, sf_dir):
         lines = got[row.page_id].split("\n")
         assert len(lines) >= 2 and all(line == " ".join(line.split()) for line in lines)
         assert article.count("<p>") + 1 >= len(lines)
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<html><head><title>t</title><body><p>{}</p>",
+        "<p><svg/>{}</p>",
+        "<video-player></video-player><p>{}</p>",
+        "<div><button>Go <p>{}</p></div>",
+        "<svg><path d='m'><svg></svg>x</svg><p>{}</p><button>a</button>",
+        "<object-viewer>{}</object-viewer><video src='a'>x</video>",
+        "<p>{}</p><script>if (a</b) '<p>no</p>'</script ><style>p",
+    ],
+)
+def test_no_tag_hides_the_rest(page):
+    texts = [b.text for b in M.blocks(page.format("the rest"))]
+    assert "the rest" in texts and not {"x", "a", "t", "p"} & set(texts)
+
+
+def test_formulas_are_text():
+    page = "<p>so <math><mi>E</mi><mo>=</mo><mi>m</mi></math> holds <svg><text>no</text></svg>here</p>"
+    assert [b.text for b in M.blocks(page)] == ["so E=m holds here"]
