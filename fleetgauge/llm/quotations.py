@@ -10,7 +10,7 @@ has one of its lines.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetgauge.session import materialise
@@ -89,17 +89,21 @@ def link_quotations(messages: DataFrame) -> DataFrame:
     said = F.filter("passages", lambda p: p["level"] == 0)
     keys = F.array_distinct(F.flatten(F.transform(said, lambda p: _keys(p["lines"]))))
     index = own.select("conv_id", "turn", F.explode(keys).alias("hash")).filter("conv_id is not null and turn is not null")
-    # One row for a hash and conversation, and one for a hash: however many messages say
-    # the same, a quotation meets one of them.
+    # One row for a hash and conversation, and one for a hash, with the two smallest conversations
+    # that have it, of which one is another than the quoting one: however many messages say the
+    # same, a quotation meets one of them.
     here = index.groupBy("hash", "conv_id").agg(F.min("turn").alias("here"))
-    first = index.groupBy("hash").agg(F.min(F.struct("conv_id", "turn")).alias("first"))
+    place = F.row_number().over(Window.partitionBy("hash").orderBy("conv_id"))
+    spots = here.withColumn("place", place).filter("place <= 2").select("hash", F.struct("conv_id", F.col("here").alias("turn")).alias("spot"))
+    ends = spots.groupBy("hash").agg(F.min("spot").alias("first"), F.max("spot").alias("second"))
 
     quoted = own.select("conv_id", "turn", F.posexplode("passages").alias("passage", "p"))
     quoted = quoted.select("conv_id", "turn", "passage", "p.level", "p.lines").filter("level > 0").distinct()
     tried = quoted.select("conv_id", "turn", "passage", F.posexplode(_keys(F.col("lines"))).alias("try", "hash"))
-    tried = tried.join(here, ["hash", "conv_id"], "left").join(first, "hash", "left")
+    tried = tried.join(here, ["hash", "conv_id"], "left").join(ends, "hash", "left")
     inside = F.when(F.col("here") < F.col("turn"), F.struct("conv_id", F.col("here").alias("turn")))
     outside = F.when(~F.col("first.conv_id").eqNullSafe(F.col("conv_id")), F.col("first"))
+    outside = outside.when(~F.col("second.conv_id").eqNullSafe(F.col("conv_id")), F.col("second"))
     # A whole passage, try 0, goes before lines; the own conversation goes before others.
     tried = tried.withColumn("origin", F.coalesce(inside, outside)).filter("origin is not null")
     rank = F.struct(F.least("try", F.lit(1)).alias("try"), F.isnull(inside).alias("outside"), F.col("origin"))

@@ -53,3 +53,11 @@ def test_native_and_empty(spark):
     assert result.collect() == []
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_the_next_conversation_is_tried(spark):
+    rows = [(1, 3, "> the same passage"), (1, 5, "the same passage"), (2, 0, "the same passage"), (3, 0, "the same passage")]
+    rows += [(0, 0, "> said nowhere else"), (0, 1, "said nowhere else"), (3, 1, "> the same passage")]
+    got = Q.link_quotations(spark.createDataFrame(rows, "conv_id long, turn long, text string")).collect()
+    assert sorted((r.conv_id, r.turn, r.from_conv, r.from_turn) for r in got if r.from_conv is not None) == [(1, 3, 2, 0), (3, 1, 3, 0)]
+    assert len(got) == 3
