@@ -39,8 +39,8 @@ class WordTokenizer:
 
     Texts of Latin-1 characters are put in lower case and cut at white space, the chunks
     by the tokenizer's own split pattern; each new piece is encoded once by the library.
-    Other texts, and those with the separators that libraries do not agree about, go to
-    the library as they are.
+    Other texts, those with an added token and those with the separators that libraries do
+    not agree about go to the library as they are.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
@@ -49,11 +49,12 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
         split = described["pre_tokenizer"]["pretokenizers"][0]
         suffix = described["model"]["end_of_word_suffix"]
+        # However they are written: which forms count is left to the library.
+        self.added = [t["content"].lower() for t in described["added_tokens"]]
         steps = [s["type"] for s in described["normalizer"]["normalizers"]]
         if steps != ["NFC", "Replace", "Lowercase"] or not suffix:
             raise ValueError("not a lower-case vocabulary with word ends")
@@ -62,6 +63,10 @@ class WordTokenizer:
         self.ends = np.array(ends)
         self.known = Memo(remembered)
 
+    def _has_added(self, text: str) -> bool:
+        text = text.lower()
+        return any(token in text for token in self.added)
+
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.whole.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(f.ids, dtype="<u4").tobytes() for f in found]
@@ -96,7 +101,7 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        plain = [_plain(text) for text in texts]
+        plain = [_plain(text) and not self._has_added(text) for text in texts]
         lower = pa.compute.utf8_lower(pa.array([t for t, fits in zip(texts, plain) if fits], pa.string()))
         # Of white space, plain texts have ASCII's only; an empty chunk at either end has no ids.
         chunks = Chunks(pa.compute.ascii_split_whitespace(lower))

@@ -106,3 +106,13 @@ def test_repeated_rows_are_placed_each(spark):
     docs = spark.createDataFrame([(1, "a b c", 0, 0)] * 5, "doc_id long, text string, sequence_id int, piece int")
     rows = K.place(K.cut(K.tokenize(docs, WORDS), 16), 16).collect()
     assert len(rows) == 5 and len({(r.sequence_id, r.offset) for r in rows}) == 5
+
+
+def test_added_tokens_are_the_librarys():
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(WORDS)
+    texts = ["a<|endoftext|>b c", "<|startoftext|>", "<|STARTOFTEXT|> x", "plain <|endoftext |>", "\u4e2d<|endoftext|>", "no token"]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert 49407 in want[0]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in K.WordTokenizer(WORDS).encode(texts)] == want
