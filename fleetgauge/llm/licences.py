@@ -205,8 +205,9 @@ def _with_anchors(texts: pa.Array) -> np.ndarray:
 def findings(text: str, model: LicenceModel) -> list[tuple[int, int, int, str, float, float, str]]:
     """(paragraph, start, end, family, probability, likeness, words' text) of each licence in a text.
 
-    One for each family and line; ``start`` and ``end`` are characters of the text. Of a long
-    line's windows the surest counts.
+    ``start`` and ``end`` are characters of the text. Of a long line's windows those of one
+    family that overlap are one finding, from the first's start to the last's end, as sure
+    as the surest of them.
     """
     windows, places = [], []
     at = 0
@@ -220,11 +221,19 @@ def findings(text: str, model: LicenceModel) -> list[tuple[int, int, int, str, f
                     windows.append([w[0] for w in own])
                     places.append((number, at + own[0][1], at + own[-1][2]))
         at += len(line) + 1
-    best = {}
+    found, last = [], {}
     for (number, start, end), (family, sure, like) in zip(places, model.judge(windows)):
-        if family != NONE and sure > best.get((number, family), (0, 0, 0.0))[2]:
-            best[number, family] = (start, end, sure, like)
-    return [(n, s, e, f, p, like, text[s:e]) for (n, f), (s, e, p, like) in sorted(best.items())]
+        if family == NONE:
+            continue
+        at = last.get((number, family))
+        if at is not None and start < found[at][2]:
+            _, first, _, _, surest, nearest = found[at]
+            sure, like = (sure, like) if sure > surest else (surest, nearest)
+            found[at] = (number, first, end, family, sure, like)
+        else:
+            last[number, family] = len(found)
+            found.append((number, start, end, family, sure, like))
+    return [(n, s, e, f, p, like, text[s:e]) for n, s, e, f, p, like in sorted(found, key=lambda r: (r[0], r[3], r[1]))]
 
 
 def _scanned(names: list[str]) -> Callable:

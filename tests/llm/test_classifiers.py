@@ -108,3 +108,13 @@ def test_licence_in_long_line_and_edges(spark):
     assert [(r.doc_id, r.paragraph, r.family) for r in got] == [(6, 1, "apache")] * 2
     assert all("Apache License" in r.notice and text[r.start : r.end] == r.notice for r in got)
     assert N.scan(df.limit(0)).collect() == []
+
+
+def test_every_notice_of_a_line_is_found():
+    model = N.trained()
+    notice, filler = "Licensed under the Apache License, Version 2.0.", " ".join(["the river ran past the old mill and the garden"] * 40)
+    text = " ".join([notice, filler, notice, filler, notice])
+    found = [f for f in N.findings(text, model) if f[3] == "apache"]
+    spans = [k for k in range(len(text)) if text.startswith(notice[:-1], k)]
+    assert len(spans) == 3 == len(found)
+    assert all(any(s <= k and k + len(notice) - 1 <= e for _, s, e, *_ in found) for k in spans)
