@@ -31,6 +31,8 @@ REACH = 2
 # Neighbours that a task holds before it hands their counts on, and the numbers of 16 words' neighbours.
 PAIRS = 1 << 23
 BLOCK = 16 << 17
+# Shuffle partitions, a few times the cores, for each share of the tasks whose counts are merged first.
+SHARE = 64
 HIDDEN = 32
 # Tokens that the mean text counts for beside a text's own.
 DOUBT = 16
@@ -81,12 +83,13 @@ def neighbours(words: np.ndarray, bounds: np.ndarray) -> Iterator[np.ndarray]:
 
 def _packed(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Seven bits a byte, the lowest first, and the bytes of each number."""
-    sizes = np.ones(len(numbers), dtype=np.int64)
-    for bits in (7, 14, 21, 28):
+    sizes = np.ones(len(numbers), dtype=np.int32)
+    most = int(numbers.max(initial=0)).bit_length()
+    for bits in range(7, most, 7):
         sizes += numbers >= 1 << bits
     first = np.cumsum(sizes) - sizes
     out = np.zeros(int(sizes.sum()), dtype=np.uint8)
-    for k in range(5):
+    for k in range(-(-most // 7) or 1):
         own = np.flatnonzero(sizes > k)
         more = (sizes[own] > k + 1).astype(np.uint8) << np.uint8(7)
         out[first[own] + k] = ((numbers[own] >> (7 * k)) & 127).astype(np.uint8) | more
@@ -97,18 +100,14 @@ def _unpacked(data: np.ndarray) -> np.ndarray:
     last = np.flatnonzero(data < 128)
     first = np.concatenate([[0], last[:-1] + 1])
     out = np.zeros(len(last), dtype=np.int64)
-    for k in range(5):
+    for k in range(int((last - first).max(initial=0)) + 1):
         own = np.flatnonzero(first + k <= last)
         out[own] |= (data[first[own] + k] & 127).astype(np.int64) << (7 * k)
     return out
 
 
-def _blocks(numbers: np.ndarray) -> pa.RecordBatch:
-    """A row for each block of words met: gaps between its neighbours' numbers, and how often the repeated ones come."""
-    numbers.sort()
-    first = np.flatnonzero(np.concatenate([[True], numbers[1:] != numbers[:-1]]))
-    often = np.diff(first, append=len(numbers))
-    numbers = numbers[first].astype(np.int64)
+def _rows(numbers: np.ndarray, often: np.ndarray) -> pa.RecordBatch:
+    """A row for each block of words met: gaps between its neighbours' ascending numbers, and how often the repeated ones come."""
     begins = np.flatnonzero(np.diff(numbers // BLOCK, prepend=-1))
     blocks = numbers[begins] // BLOCK
     gaps = np.diff(numbers, prepend=0)
@@ -125,20 +124,79 @@ def _blocks(numbers: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=["block", "gaps", "repeats"])
 
 
+def _read(gaps: bytes, repeats: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers inside a block, ascending, and how often each comes."""
+    gaps = _unpacked(np.frombuffer(gaps, np.uint8))
+    often = 1 + (gaps & 1)
+    often[often > 1] = _unpacked(np.frombuffer(repeats, np.uint8)) if repeats else 0
+    return np.cumsum(gaps >> 1), often
+
+
+def _blocks(numbers: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Counts of the numbers, which are sorted in place and written out a portion at a time.
+
+    A number at the edge of two portions has a row in both: counts add up.
+    """
+    numbers.sort()
+    for low in range(0, len(numbers), 1 << 19):
+        part = numbers[low : low + (1 << 19)]
+        first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        yield _rows(part[first].astype(np.int64), np.diff(first, append=len(part)))
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of neighbours in a task's texts, PAIRS at a time."""
-    parts, held = [], 0
+    """Counts of neighbours in a task's texts, PAIRS at a time, from one buffer of that size."""
+    held, full = np.empty(PAIRS, dtype=np.uint32), 0
     for batch in batches:
         texts = batch.column(0)
         for low, high in W.slices(texts, 1 << 20):
             for part in neighbours(*tokens(*W.text_buffers(texts.slice(low, high - low)))):
-                parts.append(part)
-                held += len(part)
-                if held >= PAIRS:
-                    yield _blocks(np.concatenate(parts))
-                    parts, held = [], 0
-    if held:
-        yield _blocks(np.concatenate(parts))
+                while len(part):
+                    own, part = part[: PAIRS - full], part[PAIRS - full :]
+                    held[full : full + len(own)] = own
+                    full += len(own)
+                    if full == PAIRS:
+                        yield from _blocks(held)
+                        full = 0
+    yield from _blocks(held[:full])
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for all rows of a block and a share of the tasks, which follow each other.
+
+    Holds the counts of one block, at most BLOCK, and as many that are still to be added.
+    """
+    now, numbers, often, waiting = None, [], [], 0
+
+    def add_up() -> None:
+        nonlocal waiting
+        waiting = 0
+        at, counts = np.concatenate(numbers), np.concatenate(often)
+        order = np.argsort(at, kind="stable")
+        at = at[order]
+        first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+        numbers[:], often[:] = [at[first]], [np.add.reduceat(counts[order], first)]
+
+    def finished() -> pa.RecordBatch:
+        add_up()
+        out = _rows(numbers[0] + now[0] * BLOCK, often[0])
+        numbers.clear()
+        often.clear()
+        return out
+
+    for batch in batches:
+        for *key, gaps, repeats in zip(*[column.to_pylist() for column in batch.columns]):
+            if now not in (None, key):
+                yield finished()
+            now = key
+            at, counts = _read(gaps, repeats)
+            numbers.append(at)
+            often.append(counts)
+            waiting += len(at)
+            if waiting > BLOCK >> 1:
+                add_up()
+    if now is not None:
+        yield finished()
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,10 +226,8 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if now not in (None, block):
                 yield finished(now)
             now = block
-            gaps = _unpacked(np.frombuffer(gaps, np.uint8))
-            often = 1 + (gaps & 1)
-            often[often > 1] = _unpacked(np.frombuffer(repeats, np.uint8)) if repeats else 0
-            counts[np.cumsum(gaps >> 1)] += often
+            at, often = _read(gaps, repeats)
+            counts[at] += often
     if now is not None:
         yield finished(now)
 
@@ -187,6 +243,12 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
     bound_batches(docs.sparkSession)
     texts = docs.select(F.col(text).cast("string").alias("text"))
     counted = texts.mapInArrow(_counted, "block long, gaps binary, repeats binary")
+    # Tasks by the thousand have a row each of a block: shares of them are merged before a block meets.
+    shares = -(-int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // SHARE)
+    if shares > 1:
+        counted = counted.withColumn("share", F.pmod(F.spark_partition_id(), F.lit(shares)))
+        counted = counted.select("block", "share", "gaps", "repeats").repartition("block", "share")
+        counted = counted.sortWithinPartitions("block", "share").mapInArrow(_merged, "block long, gaps binary, repeats binary")
     # A task reads all rows of a block one after another and holds the counts of that block.
     sums = counted.repartition("block").sortWithinPartitions("block").mapInArrow(_summed, "word long, sums binary")
     found = sums.toArrow()

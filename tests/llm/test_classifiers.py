@@ -83,6 +83,12 @@ def test_word_vectors_count_every_text(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert np.abs(Q.word_vectors(df) - want).max() < 1e-3
     assert np.abs(Q.word_vectors(df.repartition(3)) - want).max() < 1e-3
+    # Counts merged in shares of the tasks first, from buffers that fill up in the middle of a text.
+    spark.conf.set("spark.sql.shuffle.partitions", str(3 * Q.SHARE))
+    try:
+        assert np.abs(Q.word_vectors(df.repartition(5)) - want).max() < 1e-3
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
     # A long text without a label is met by the model too.
     labels = spark.createDataFrame([(1, 1), (5, 0)], "doc_id long, quality int")
     zyx = Q.tokens(*Q.W.text_buffers(Q.pa.array(["zyx"])))[0][0]
@@ -90,6 +96,23 @@ def test_word_vectors_count_every_text(spark):
     assert np.abs(want[zyx] - index[zyx] / 2).max() > 0.1
 
 
+def test_counts_survive_packing_and_merging(monkeypatch):
+    monkeypatch.setattr(Q, "PAIRS", 1000)
+    texts = [" ".join(np.random.default_rng(k).choice(["a", "bb", "ccc", "d", "e"], 900)) for k in range(3)]
+    column = Q.pa.array(texts)
+    want = np.unique(np.concatenate(list(Q.neighbours(*Q.tokens(*Q.W.text_buffers(column))))), return_counts=True)
+    rows = [row for batch in Q._counted([Q.pa.RecordBatch.from_arrays([column], names=["text"])]) for row in batch.to_pylist()]
+    assert len(rows) > len({r["block"] for r in rows})
+    rows = sorted(({"block": r["block"], "share": 0, **r} for r in rows), key=lambda r: r["block"])
+    merged = [row for batch in Q._merged([Q.pa.RecordBatch.from_pylist(rows)]) for row in batch.to_pylist()]
+    assert [r["block"] for r in merged] == sorted({r["block"] for r in rows})
+    got = [(r["block"] * Q.BLOCK + at, often) for r in merged for at, often in [Q._read(r["gaps"], r["repeats"])]]
+    assert np.array_equal(np.concatenate([g[0] for g in got]), want[0])
+    assert np.array_equal(np.concatenate([g[1] for g in got]), want[1])
+    large = np.array([1, 1 << 40, 127, 128, (1 << 62) - 1])
+    assert np.array_equal(Q._unpacked(Q._packed(large)[0]), large)
+
+
 def test_licence_notices():
     model = N.trained()
     for family, notices in NOTICES.items():
