@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetgauge.llm import (
+    best_fit,
     byte_bpe,
     fingerprints,
     jaccard_join,
@@ -88,6 +89,13 @@ def packed(docs: DataFrame) -> DataFrame:
     return packing.place(pieces, SEQUENCE)
 
 
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = best_fit.tokenize(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=0)
+    pieces = best_fit.cut(tokens, SEQUENCE)
+    pieces = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return best_fit.place(pieces, SEQUENCE)
+
+
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op1_document_fingerprints,
     op2_html_extraction,
@@ -99,6 +107,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op8_quality_classifier,
     op9_byte_level_bpe,
     op10_packing,
+    op12_best_fit_packing,
 )
 
 
