@@ -17,6 +17,7 @@ from fleetgauge.llm import (
     licences,
     main_text,
     packing,
+    periodic_runs,
     quality,
     quotations,
     vector_graph,
@@ -96,6 +97,35 @@ def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.place(pieces, SEQUENCE)
 
 
+def repeated_in_part(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``; every tenth document by the checksum of its id repeats some of its words to the end."""
+    checksum = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(1))
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), checksum.alias("h"))
+    some = F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    rows = rows.select("doc_id", "text", F.expr("h div 10").alias("g"), F.filter(some, lambda w: w != "").alias("w"))
+    rows = rows.withColumn("n", F.size("w")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    rows = rows.withColumn("p", (1 + F.expr("(n - a) div (3 + g % 8)")).cast("int"))
+    again = F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), F.expr("int((n - a + p - 1) div p)")))
+    words = F.concat(F.slice("w", F.lit(1), F.col("a")), F.slice(again, F.lit(1), F.col("n") - F.col("a")))
+    return rows.select("doc_id", F.when(F.col("n") > 0, F.array_join(words, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(repeated_in_part(_table(spark, sf_dir, "documents")))
+    found = found.withColumn("best", periodic_runs.strongest("runs"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op1_document_fingerprints,
     op2_html_extraction,
@@ -108,6 +138,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op9_byte_level_bpe,
     op10_packing,
     op12_best_fit_packing,
+    op13_periodic_run_detection,
 )
 
 
