@@ -18,11 +18,13 @@ from fleetgauge.llm import (
     main_text,
     packing,
     periodic_runs,
+    prefix_trie,
     quality,
     quotations,
     vector_graph,
 )
 from fleetgauge.llm.sampling import held_out
+from fleetgauge.session import materialise
 
 SEQUENCE = 2048
 
@@ -90,6 +92,34 @@ def packed(docs: DataFrame) -> DataFrame:
     return packing.place(pieces, SEQUENCE)
 
 
+def with_shared_heads(numbered: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Conversations that begin like the first of their twenty, and all their ids.
+
+    Conversation c has the first h turns of c - c % 20, then its own after its first h; h is
+    the checksum of its id modulo 4.
+    """
+    heads = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+    sizes = numbered.groupBy("conv_id").agg(F.max("depth").alias("n"))
+    sizes = sizes.select("conv_id", "n", heads.alias("h"), (F.col("conv_id") - F.col("conv_id") % 20).alias("base"))
+    bases = sizes.select(F.col("conv_id").alias("base"), F.col("n").alias("there"))
+    sizes = sizes.join(bases, "base", "left")
+    sizes = materialise(sizes.withColumn("taken", F.least("h", F.coalesce("there", F.lit(0)))), "sizes")
+    first = numbered.filter("conv_id % 20 = 0 and depth <= 3").withColumnRenamed("conv_id", "base")
+    first = first.join(sizes.filter("taken > 0").select("base", "conv_id", "taken"), "base").filter("depth <= taken")
+    # A long conversation's size is sent to its turns in so many rows that none is joined to all.
+    stretch = F.explode(F.sequence(F.lit(0).cast("long"), F.expr("n div 65536"))).alias("stretch")
+    moved = sizes.select("conv_id", "h", (F.col("taken") - F.col("h")).alias("by"), stretch)
+    rest = numbered.withColumn("stretch", F.expr("depth div 65536")).join(moved, ["conv_id", "stretch"])
+    rest = rest.filter("depth > h").withColumn("depth", F.col("depth") + F.col("by"))
+    columns = ["conv_id", "depth", "role", "text"]
+    return rest.select(*columns).unionByName(first.select(*columns)), sizes.select("conv_id")
+
+
+def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, members = with_shared_heads(prefix_trie.number(_table(spark, sf_dir, "conversations")))
+    return prefix_trie.prefix_trie(turns, members).withColumnRenamed("parent", "parent_conv_id")
+
+
 def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = best_fit.tokenize(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=0)
     pieces = best_fit.cut(tokens, SEQUENCE)
@@ -137,6 +167,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op8_quality_classifier,
     op9_byte_level_bpe,
     op10_packing,
+    op11_conversation_prefix_trie,
     op12_best_fit_packing,
     op13_periodic_run_detection,
 )
@@ -178,9 +209,47 @@ SELECT vec_id, (SELECT count(*) FROM arrow WHERE u = vec_id) AS n_links, compone
 """
 
 
+PREFIX_TRIE_SQL = r"""
+WITH ids AS (SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL),
+heads AS (
+  SELECT c, c - c % 20 AS base, CAST(xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(c AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))),
+    lambda crc, s: list_reduce(list_prepend(xor(crc, s), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])), lambda v, i: xor(v >> 1, (v & 1) * 3988292384)))) % 4 AS BIGINT) AS h
+  FROM ids
+), numbered AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS d
+  FROM conversations WHERE conv_id IS NOT NULL
+), taken AS (
+  SELECT c, base, h, least(h, (SELECT count(*) FROM numbered n WHERE n.c = base)) AS got FROM heads
+), built AS (
+  SELECT t.c, n.d, n.role, n.text FROM taken t JOIN numbered n ON n.c = t.base AND n.d <= t.got
+  UNION ALL SELECT t.c, n.d - t.h + t.got, n.role, n.text FROM taken t JOIN numbered n ON n.c = t.c AND n.d > t.h
+), path AS (
+  SELECT c, d, md5(string_agg(md5(role) || md5(text), ',') OVER (PARTITION BY c ORDER BY d ROWS UNBOUNDED PRECEDING)) AS k,
+    len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS w FROM built
+  UNION ALL SELECT c, 0, '', 0 FROM ids
+), node AS (
+  SELECT d, k, min(c) AS conv_id, count(*) AS n, any_value(w) AS w FROM path GROUP BY d, k
+), edge AS (
+  SELECT n.d, n.k, u.k AS up FROM node n JOIN path u ON u.c = n.conv_id AND u.d = n.d - 1
+), kids AS (SELECT d - 1 AS d, up AS k, count(*) AS kids FROM edge GROUP BY ALL),
+own AS (SELECT n.*, coalesce(kids, 0) AS kids FROM node n LEFT JOIN kids USING (d, k)),
+below AS (
+  SELECT p.d, p.k, sum(CASE WHEN o.kids = 0 THEN 1 ELSE 0 END) AS leaves, sum((o.n - 1) * o.w) AS saved
+  FROM own o JOIN path p ON p.c = o.conv_id AND p.d <= o.d GROUP BY p.d, p.k
+), ends AS (
+  SELECT d, k, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS e FROM path p WHERE d = (SELECT max(d) FROM path q WHERE q.c = p.c) GROUP BY d, k
+)
+SELECT o.conv_id, CAST(o.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, o.n AS n_convs, CAST(o.kids AS BIGINT) AS n_children,
+  CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(e, '')) AS ends_sha256
+FROM own o JOIN below USING (d, k) LEFT JOIN ends USING (d, k) LEFT JOIN edge g ON g.d = o.d AND g.k = o.k LEFT JOIN node u ON u.d = o.d - 1 AND u.k = g.up
+"""
+
+
 def oracle() -> dict[str, str]:
     return {
         "op3_embedding_near_dedup": EMBEDDING_SQL,
         "op4_ngram_jaccard_join": NGRAM_JACCARD_SQL,
         "op6_quotation_linking": quotations.REPLY_ORDER_SQL,
+        "op11_conversation_prefix_trie": PREFIX_TRIE_SQL,
     }
