@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from fleetgauge.llm import words as W
 from fleetgauge.llm.memo import PORTION, Chunks, Memo
-from fleetgauge.llm.tiles import bound_batches
+from fleetgauge.llm.tiles import bound_batches, give_back
 
 # Sequences that a task has open at most. Closed ones are nearly full, so that more hardly help.
 OPEN = 1024
@@ -226,6 +226,8 @@ def _tokenized(path: str, end: int, names: list[str]) -> Callable:
                 own = [t or "" for t in texts.slice(low, high - low).to_pylist()]
                 ids = [data + last for data in tokenizer(path).encode(own)]
                 yield pa.RecordBatch.from_arrays([keys.slice(low, high - low), pa.array(ids, pa.binary())], names=names)
+                del own, ids
+                give_back()
 
     return run
 

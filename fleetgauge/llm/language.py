@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from fleetgauge.llm import words as W
 from fleetgauge.llm.sampling import training_rows
-from fleetgauge.llm.tiles import bound_batches
+from fleetgauge.llm.tiles import bound_batches, give_back
 
 UNKNOWN = "und"
 # Families of languages by their codes; any other language is a family of its own.
@@ -219,6 +219,7 @@ def predictions(model: LanguageModel, texts: pa.Array):
             blank = ~has_letters(part)
             lang[blank], score[blank] = UNKNOWN, 0.0
             yield start, start + len(part), lang, np.clip(score, 0, 1)
+    give_back()
 
 
 def _identified(model: LanguageModel, names: list[str]) -> Callable:

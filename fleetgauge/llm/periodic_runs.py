@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetgauge.llm import words as W
-from fleetgauge.llm.tiles import bound_batches
+from fleetgauge.llm.tiles import bound_batches, give_back
 
 LEAST = 24
 TIMES = 3
@@ -276,6 +276,7 @@ def _found(names: list[str]) -> Callable:
                     ],
                     names=names,
                 )
+                give_back()
 
     return run
 

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from fleetgauge.llm import words as W
 from fleetgauge.llm.sampling import held_out, sample_of
-from fleetgauge.llm.tiles import bound_batches
+from fleetgauge.llm.tiles import bound_batches, give_back
 
 # Word vectors: their number (tokens share one by hash), their length, signs of an index vector.
 WORDS = 1 << 15
@@ -159,6 +159,8 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         yield from _blocks(held)
                         full = 0
     yield from _blocks(held[:full])
+    del held
+    give_back()
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -398,6 +400,7 @@ def scores(model: QualityModel, texts: pa.Array):
     """(low, high, score) of a column, a portion of rows at a time."""
     for low, high in W.slices(texts, 1 << 20):
         yield low, high, model.score(texts.slice(low, high - low)).astype(np.float64)
+    give_back()
 
 
 def _scored(model: QualityModel, names: list[str]) -> Callable:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator, Sequence
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +25,17 @@ def bound_batches(spark: SparkSession, most: int = 1 << 23) -> None:
         spark.conf.set(BATCH_BYTES, str(most))
 
 
+@cache
+def _trim():
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)
+
+
+def give_back() -> None:
+    """Return freed memory to the machine: a worker lives on, and the next stage is short of what it keeps."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def tiles(members: DataFrame, group: Sequence[str], member: str, most: int) -> DataFrame:
     """Members of every group of two or more in tiles ``i``, ``j``: each pair of them meets in one.
 
