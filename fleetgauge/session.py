@@ -82,6 +82,10 @@ def drop_at_end(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
 
 
+# A task that writes scratch rows holds this many bytes of them, not the 128 MB of a final table.
+SCRATCH_ROW_GROUP = 32 << 20
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -89,6 +93,6 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     checkpoint, stays columnar: later passes read only the columns they need.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", SCRATCH_ROW_GROUP).parquet(path)
     drop_at_end(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
