@@ -8,9 +8,9 @@ frames that cross a cut are served from small summaries of the neighbouring spli
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetgauge.schema import KEY
@@ -98,3 +98,31 @@ def with_halo(
         CHAIN, F.col("_target").alias(SPLIT), POSITION, *columns, F.lit(True).alias(HALO)
     )
     return ordered.withColumn(HALO, F.lit(False)).unionByName(halo, allowMissingColumns=True)
+
+
+# Totals over the rows before or after a row, and how two of them are put together.
+TOTALS = {
+    "sum": (F.sum, lambda a, b: F.coalesce(a + b, a, b)),
+    "min": (F.min, F.least),
+    "max": (F.max, F.greatest),
+}
+
+
+def carried(
+    ordered: DataFrame, values: Mapping[str, Column], total: str, after: bool = False
+) -> DataFrame:
+    """Add for each row the ``total`` of ``values`` over all rows of its chain before it, or ``after`` it.
+
+    A split is looked at by itself, and one row for each split and chain tells what the
+    other splits hold. NULL where there is no such row.
+    """
+    of, both = TOTALS[total]
+    edge = (1, Window.unboundedFollowing) if after else (Window.unboundedPreceding, -1)
+    inside = split_window().rowsBetween(*edge)
+    beyond = Window.partitionBy(CHAIN).orderBy(SPLIT).rowsBetween(*edge)
+    placed = ordered.filter(F.col(CHAIN).isNotNull())
+    splits = placed.groupBy(SPLIT, CHAIN).agg(*[of(v).alias(f"_{c}") for c, v in values.items()])
+    splits = splits.select(SPLIT, CHAIN, *[of(f"_{c}").over(beyond).alias(f"_{c}") for c in values])
+    rows = placed.withColumns({c: of(v).over(inside) for c, v in values.items()}).join(splits, [SPLIT, CHAIN])
+    rows = rows.withColumns({c: both(F.col(c), F.col(f"_{c}")) for c in values})
+    return rows.drop(*[f"_{c}" for c in values])

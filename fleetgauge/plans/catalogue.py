@@ -16,14 +16,17 @@ from fleetgauge.operators import (
     coverage,
     dashboard,
     gapfill,
+    gate,
     latest,
     metrics,
+    outages,
     outliers,
     partitions,
     rollup,
     routing,
+    scrape,
 )
-from fleetgauge.plans.readings import UNIQUE, messages, readings, timed_readings
+from fleetgauge.plans.readings import UNIQUE, messages, readings, timed_readings, uneven_messages
 from fleetgauge.plans.shape import SECONDS, rounded, rows, shown, text
 from fleetgauge.plans.streams import STREAMS
 from fleetgauge.rules import ROUTES
@@ -33,6 +36,7 @@ from fleetgauge.sources import files
 Query = Callable[[SparkSession, str], DataFrame]
 
 SHORT = ("event_id", KEY, "collected_at")
+ORDER = ("event_ts", "collected_ts", *UNIQUE)
 SLICE_AS_OF = datetime(2024, 1, 15, 12, 30)
 _REGISTRY: dict[str, Query] = {}
 
@@ -130,6 +134,13 @@ def ingest_gate(spark, sf_dir):
     return rows(cleansing.ingest_gate(readings(spark, sf_dir)))
 
 
+@query
+def ingest_gate_messages(spark, sf_dir):
+    """Raw messages at the gate, with every failed check; absent and null are different."""
+    judged = gate.judge_messages(uneven_messages(spark, sf_dir), keep=UNIQUE)
+    return gate.gate_report(judged, UNIQUE).withColumn("passes", F.col("passes").cast("string"))
+
+
 @query
 def validate_types(spark, sf_dir):
     valid = cleansing.validate_types(readings(spark, sf_dir))
@@ -247,6 +258,13 @@ def device_online(spark, sf_dir):
     return online.select(KEY, shown("last_seen"), "online")
 
 
+@query
+def device_outages(spark, sf_dir):
+    """Online spans of every device, a silence of six hours apart, and the silence before each."""
+    spans = outages.online_spans(timed_readings(spark, sf_dir), 6 * 60, ORDER)
+    return spans.select(KEY, "span", shown("online_from"), shown("online_to"), "readings", *text("silent_seconds"))
+
+
 @query
 def distinct_partitions(spark, sf_dir):
     timed = timed_readings(spark, sf_dir).filter("event_ts is not null")
@@ -283,9 +301,6 @@ def outlier_zscore(spark, sf_dir):
     return _flags(outliers.flag_zscore(readings(spark, sf_dir)))
 
 
-ORDER = ("event_ts", "collected_ts", *UNIQUE)
-
-
 @query
 def outlier_rolling(spark, sf_dir):
     return _flags(outliers.flag_rolling(timed_readings(spark, sf_dir), order=ORDER))
@@ -330,6 +345,13 @@ def panel_series_1m(spark, sf_dir):
     return points.select(KEY, shown("sampled_at", SECONDS), "metric", "value")
 
 
+@query
+def panel_scraped(spark, sf_dir):
+    """Samples at every full minute until the reading behind them is stale."""
+    points = scrape.scraped_series(timed_readings(spark, sf_dir), order=ORDER)
+    return points.select(KEY, shown("sampled_at", SECONDS), "metric", "value")
+
+
 @query
 def panel_legend(spark, sf_dir):
     return dashboard.panel_legend(timed_readings(spark, sf_dir), UNIQUE)

@@ -160,6 +160,34 @@ sent AS (
 )"""
 
 
+UNEVEN = f"""
+uneven AS (
+  SELECT event_id, CASE WHEN event_id % 97 = 0 THEN substr(text, 1, 20) ELSE text END AS text FROM (
+  SELECT event_id, CASE WHEN event_id % 79 = 11 THEN regexp_replace(text, '"DeviceId":([0-9]+)', '"DeviceId":"\\1"') ELSE text END AS text FROM (
+  SELECT event_id, CASE WHEN event_id % 73 = 7 THEN regexp_replace(text, '"isFail":[^,]*,', '') ELSE text END AS text FROM (
+  SELECT event_id, CASE WHEN event_id % 71 = 5 THEN regexp_replace(text, '"sensor3":[^,]*', '"sensor3":"hot"') ELSE text END AS text FROM (
+  SELECT event_id, CASE WHEN event_id % 67 = 3 THEN regexp_replace(text, '"motor1":[^,]*,', '') ELSE text END AS text FROM (
+  SELECT event_id, CASE WHEN event_id % 61 = 2 THEN regexp_replace(text, '"motor2":[^,]*', '"motor2":null') ELSE text END AS text FROM (
+  SELECT event_id, {MESSAGE} AS text FROM readings
+  ))))))
+)"""
+_JSON_TYPES = {"time": "'VARCHAR'", "DeviceId": "'UBIGINT', 'BIGINT'", "isFail": "'BOOLEAN'"}
+
+
+def _failed(field: str) -> str:
+    """The first failed check of a field of the valid messages, and whether it turns them away."""
+    found = f"json_type(text, '$.{field}')"
+    types = _JSON_TYPES.get(field, "'DOUBLE', 'UBIGINT', 'BIGINT'")
+    ranged = field.startswith("sensor")
+    number = f"TRY_CAST(json_extract_string(text, '$.{field}') AS DOUBLE)"
+    beyond = f" WHEN NOT ({number} BETWEEN 0 AND 100) THEN 'out of range'" if ranged else ""
+    return (
+        f"SELECT event_id, text, '{field}' AS field, CASE WHEN {found} IS NULL THEN 'absent' WHEN {found} = 'NULL' "
+        f"THEN 'null' WHEN {found} NOT IN ({types}) THEN 'wrong type'{beyond} END AS reason, "
+        f"{'TRUE' if ranged else found + ' IS NULL'} AS blocks FROM whole"
+    )
+
+
 def _field(name: str, kind: str) -> str:
     return f"TRY_CAST(json_extract_string(text, '$.{name}') AS {kind}) AS {name}"
 
@@ -263,6 +291,14 @@ def _build() -> dict[str, str]:
             + " AND "
             + " AND ".join(f"{m} BETWEEN 0 AND 100" for m in METRICS[:3])
         ),
+        "ingest_gate_messages": f"WITH {BASE}, {UNEVEN}, whole AS (SELECT * FROM uneven WHERE json_valid(text)), "
+        "failed AS (SELECT * FROM ("
+        + " UNION ALL ".join(_failed(c) for c in READING_COLUMNS[:-1])
+        + ") WHERE reason IS NOT NULL), turned AS (SELECT DISTINCT event_id, text FROM failed WHERE blocks) "
+        "SELECT u.event_id, CASE WHEN json_valid(u.text) AND t.event_id IS NULL THEN 'true' ELSE 'false' END AS passes, "
+        "f.field, CASE WHEN json_valid(u.text) THEN f.reason ELSE 'malformed' END AS reason "
+        "FROM uneven u LEFT JOIN failed f ON f.event_id = u.event_id AND f.text = u.text "
+        "LEFT JOIN turned t ON t.event_id = u.event_id AND t.text = u.text",
         "validate_types": f"WITH {BASE}, {TYPED} SELECT {ROW} FROM typed",
         "handle_nulls": f"WITH {BASE} SELECT event_id, time, DeviceId, "
         + ", ".join(f"coalesce({m}, 0) AS {m}" for m in METRICS)
@@ -318,6 +354,13 @@ def _build() -> dict[str, str]:
         f"SELECT f.DeviceId, strftime(last_seen, '{MICROS}') AS last_seen, "
         f"CASE WHEN last_seen >= {NOW} - INTERVAL 60 MINUTE THEN 1 ELSE 0 END AS online "
         "FROM fleet f LEFT JOIN seen USING (DeviceId)",
+        "device_outages": f"WITH {BASE}, apart AS (SELECT DeviceId, event_ts, collected_ts, event_id, epoch_us(event_ts) - epoch_us(lag(event_ts) "
+        f"OVER (PARTITION BY DeviceId ORDER BY {OLDEST})) AS gap FROM readings WHERE event_ts IS NOT NULL AND DeviceId IS NOT NULL), "
+        "numbered AS (SELECT *, sum(CASE WHEN gap IS NULL OR gap > 21600000000 THEN 1 ELSE 0 END) OVER "
+        f"(PARTITION BY DeviceId ORDER BY {OLDEST} ROWS UNBOUNDED PRECEDING) AS span FROM apart) "
+        f"SELECT DeviceId, CAST(span AS BIGINT) AS span, strftime(min(event_ts), '{MICROS}') AS online_from, "
+        f"strftime(max(event_ts), '{MICROS}') AS online_to, count(*) AS readings, "
+        "max(CASE WHEN gap > 21600000000 THEN gap END) / 1000000 AS silent_seconds FROM numbered GROUP BY DeviceId, span",
         "distinct_partitions": f"WITH {BASE} SELECT DISTINCT CAST(year(event_ts) AS INT) AS year, "
         "CAST(month(event_ts) AS INT) AS month, CAST(day(event_ts) AS INT) AS day, "
         "CAST(hour(event_ts) AS INT) AS hour, DeviceId FROM readings WHERE event_ts IS NOT NULL",
@@ -345,6 +388,12 @@ def _build() -> dict[str, str]:
         "panel_series_1m": f"WITH {BASE}, timed AS (SELECT *, strftime(date_trunc('minute', "
         "event_ts), '%Y-%m-%d %H:%M:%S') AS sampled_at FROM readings WHERE event_ts IS NOT NULL) "
         + _newest_known("DeviceId, sampled_at"),
+        "panel_scraped": f"WITH {BASE}, placed AS (SELECT *, row_number() OVER (PARTITION BY DeviceId, event_ts ORDER BY collected_ts DESC, "
+        "event_id DESC) AS rn FROM readings WHERE event_ts IS NOT NULL AND DeviceId IS NOT NULL), newest AS (SELECT * FROM placed WHERE rn = 1), "
+        "grid AS (SELECT DISTINCT DeviceId, date_trunc('minute', event_ts) + to_minutes(CAST(m AS INT)) AS at FROM newest, range(0, 6) t(m)), "
+        "shown AS (SELECT g.DeviceId, strftime(g.at, '%Y-%m-%d %H:%M:%S') AS sampled_at, "
+        f"{LIST} FROM grid g ASOF JOIN newest n ON g.DeviceId = n.DeviceId AND g.at >= n.event_ts "
+        "WHERE g.at < n.event_ts + INTERVAL 5 MINUTE) " + _long("shown", "DeviceId, sampled_at"),
         "panel_legend": f"WITH {BASE}, timed AS (SELECT * FROM readings WHERE event_ts IS NOT NULL) "
         f"SELECT DeviceId, metric, value AS last_value FROM ({_newest_known('DeviceId')})",
         "threshold_state": f"WITH {BASE}, long AS ({_long('readings', SHORT)}) SELECT {SHORT}, "
@@ -381,6 +430,7 @@ def _build() -> dict[str, str]:
 _TEXT = {
     "valid_range_flag": ("valid",),
     "validate_types": ("isFail", "DeviceId"),
+    "device_outages": ("silent_seconds",),
     "derive_time": ("year", "month", "day", "hour"),
     "stream_landing": ("isFail",),
     "stream_fill_previous": ("isFail",),

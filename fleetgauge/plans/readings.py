@@ -61,3 +61,19 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent = to_messages(readings(spark, sf_dir), keep=UNIQUE)
     cut = F.when(F.col("event_id") % 97 == 0, F.substring("value", 1, MESSAGE_CUT))
     return sent.withColumn("value", F.coalesce(cut, "value").cast("binary"))
+
+
+def uneven_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages some of which lack a field, hold a null or the wrong type, or are cut off."""
+    sent = to_messages(readings(spark, sf_dir), keep=UNIQUE)
+    n, value = F.col("event_id"), F.col("value")
+    for chosen, pattern, instead in (
+        (n % 61 == 2, '"motor2":[^,]*', '"motor2":null'),
+        (n % 67 == 3, '"motor1":[^,]*,', ""),
+        (n % 71 == 5, '"sensor3":[^,]*', '"sensor3":"hot"'),
+        (n % 73 == 7, '"isFail":[^,]*,', ""),
+        (n % 79 == 11, '"DeviceId":([0-9]+)', '"DeviceId":"$1"'),
+    ):
+        value = F.when(chosen, F.regexp_replace(value, pattern, instead)).otherwise(value)
+    value = F.when(n % 97 == 0, F.substring(value, 1, MESSAGE_CUT)).otherwise(value)
+    return sent.withColumn("value", value.cast("binary"))

@@ -45,6 +45,20 @@ INGEST_RANGES = (
     Range("sensor3", 0, 100),
 )
 
+# What JSON a field is to hold.
+FIELD_KINDS = {
+    "time": "text",
+    "DeviceId": "whole",
+    "sensor1": "number",
+    "sensor2": "number",
+    "sensor3": "number",
+    "motor1": "number",
+    "motor2": "number",
+    "motor3": "number",
+    "isFail": "flag",
+    "collected_at": "text",
+}
+
 # Type and range rules of the cleansing stream (devices 1 to 5 only).
 TYPE_RULES = (
     TypeRule("time", "timestamp"),
@@ -116,6 +130,8 @@ BATCH_METRIC_NAMES = {
 # The fleet, and how long a reading counts as recent.
 FIRST_DEVICE, LAST_DEVICE = 1, 100
 RETENTION_MINUTES = 60
+# How often the metrics server asks, and how long it takes a sample for current.
+SCRAPE_MINUTES, STALE_MINUTES = 1, 5
 REPORT_UTC_OFFSET_HOURS = 9
 
 # Layout of the hourly text report.
