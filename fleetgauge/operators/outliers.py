@@ -11,8 +11,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetgauge.operators.ordered import CHAIN, HALO, SPLIT_BITS, in_order, split_window, with_halo
+from fleetgauge.operators.ordered import CHAIN, HALO, SPLIT_BITS, in_order, with_halo
 from fleetgauge.operators.quantiles import exact_quantiles, known
+from fleetgauge.operators.rolling import rolling_quantiles
 from fleetgauge.rules import IQR_THRESHOLD, ROLLING_ROWS, Z_LIMITS
 from fleetgauge.schema import KEY, METRICS
 
@@ -103,15 +104,6 @@ def flag_zscore(df: DataFrame, limits: Mapping[str, float] = Z_LIMITS) -> DataFr
     return scored.withColumns(flags).drop("_moments")
 
 
-def _of_sorted(values: Column, probability: float) -> Column:
-    """Linearly interpolated quantile of a sorted array; NULL for an empty one."""
-    place = (F.size(values) - 1) * probability
-    rank = F.floor(place).cast("int")
-    low = F.get(values, rank)
-    high = F.coalesce(F.get(values, rank + 1), low)
-    return low + (high - low) * (place - rank)
-
-
 def flag_rolling(
     df: DataFrame,
     columns: Sequence[str] = METRICS,
@@ -123,23 +115,16 @@ def flag_rolling(
 ) -> DataFrame:
     """Interquartile flags against the device's last ``rows`` readings.
 
-    Each frame is at most ``rows`` values, sorted in place; a percentile aggregate
-    would rebuild a hash table for every row.
-
-    Rows without a key or event time are in no such window and are ``NORMAL``.
+    One ordered frame per metric moves over the rows; see ``rolling_quantiles`` for its cost.
+    Rows without a key or event time are in no such frame and are ``NORMAL``.
     """
     ordered = in_order(df, order, key, split_bits)
     complete = with_halo(ordered, rows - 1, columns, split_bits)
-    frame = split_window().rowsBetween(-(rows - 1), 0)
-    windows = (
-        complete.withColumns({f"_k_{c}": known(c) for c in columns})
-        .withColumns({f"_v_{c}": F.collect_list(f"_k_{c}").over(frame) for c in columns})
-        .filter(~F.col(HALO))
-        .withColumns({f"_v_{c}": F.sort_array(f"_v_{c}") for c in columns})
-    )
+    framed = complete.withColumns({f"_k_{c}": F.col(c).cast("double") for c in columns})
+    framed = rolling_quantiles(framed, [f"_k_{c}" for c in columns], rows, QUARTILES).filter(~F.col(HALO))
     placed = F.col(CHAIN).isNotNull()
     flags = {}
     for c in columns:
-        q1, q3 = (_of_sorted(F.col(f"_v_{c}"), p) for p in QUARTILES)
+        q1, q3 = (F.col(f"__k_{c}_{k}") for k in range(len(QUARTILES)))
         flags[f"{c}_outlier"] = _flag(placed & _outside(F.col(c), q1, q3, threshold))
-    return windows.withColumns(flags).select(*df.columns, *flags)
+    return framed.withColumns(flags).select(*df.columns, *flags)
