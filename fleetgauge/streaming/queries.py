@@ -18,10 +18,13 @@ from fleetgauge.functions.timeparts import parse_time, with_calendar
 from fleetgauge.operators.cleansing import alerts, cast_motors, cleanse, require_keys
 from fleetgauge.operators.gapfill import fill_previous
 from fleetgauge.operators.metrics import batch_gauges
+from fleetgauge.operators.partials import PARTIALS, hour_partials, merge_partials
 from fleetgauge.operators.rollup import device_batch_stats
+from fleetgauge.operators.sketches import SKETCHES, hour_sketches, merge_sketches
 from fleetgauge.schema import KEY, METRICS
 from fleetgauge.session import scratch_scope
 from fleetgauge.sinks.tables import LAYOUT, RAW_LAYOUT, STAGING_LAYOUT, packed
+from fleetgauge.streaming.stores import MergeStore
 
 # Trigger intervals per sink.
 TRIGGERS = {
@@ -241,3 +244,13 @@ def newest_known(readings: DataFrame, columns: Sequence[str], order: Sequence[st
 def await_any(spark: SparkSession) -> None:
     """Return, or raise, as soon as any query ends; waiting in turn hides failures."""
     spark.streams.awaitAnyTermination()
+
+
+def late_hours(base: str) -> MergeStore:
+    """Sums and counts per device and hour; ``partial_means`` of its states are the hourly means so far."""
+    return MergeStore(base, PARTIALS, hour_partials, merge_partials)
+
+
+def hour_sketch_store(base: str) -> MergeStore:
+    """Quantile sketches per device and hour; ``sketched_bounds`` of its states are the outlier bounds."""
+    return MergeStore(base, SKETCHES, hour_sketches, merge_sketches)
