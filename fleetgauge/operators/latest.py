@@ -64,9 +64,20 @@ def recent(
     return df.filter(is_recent(as_of, minutes, column))
 
 
-def dedup_readings(
-    df: DataFrame, keys: Sequence[str] = ("time", KEY), tiebreak: Sequence[str] = ()
-) -> DataFrame:
-    """One row per key, the first collected; NULL is a key value like any other."""
+# What makes two rows copies of one reading, on a batch and on a stream alike.
+IDENTITY = ("event_ts", KEY, "_alone")
+
+
+def with_identity(df: DataFrame) -> DataFrame:
+    """Add ``_alone``: NULL, or the whole content of a row without an event time.
+
+    Without it all of a device's rows that have no time would be copies of each other.
+    """
+    content = F.to_json(F.struct(*[c for c in df.columns if c != "batch_id"]))
+    return df.withColumn("_alone", F.when(F.col("event_ts").isNull(), content))
+
+
+def dedup_readings(df: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """One row per event time and device, the first collected; rows without a time by their content."""
     order = [F.col(c).asc_nulls_last() for c in ("collected_ts", *tiebreak)]
-    return first_per_group(df, keys, order)
+    return first_per_group(with_identity(df), IDENTITY, order).drop("_alone")

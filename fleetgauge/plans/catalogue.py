@@ -24,12 +24,13 @@ from fleetgauge.operators import (
     partitions,
     rollup,
     routing,
+    rulebook,
     scrape,
 )
 from fleetgauge.plans.readings import UNIQUE, messages, readings, timed_readings, uneven_messages
 from fleetgauge.plans.shape import SECONDS, rounded, rows, shown, text
 from fleetgauge.plans.streams import STREAMS
-from fleetgauge.rules import ROUTES
+from fleetgauge.rules import FLEET_RANGES, INGEST_RANGES, ROUTES, TYPE_RULES, Range
 from fleetgauge.schema import KEY, METRICS
 from fleetgauge.sources import files
 
@@ -101,6 +102,21 @@ def valid_range_flag(spark, sf_dir):
     return routing.flag_valid(readings(spark, sf_dir)).select(*SHORT, *text("valid"))
 
 
+CHANGES = ("2024-01-10 00:00:00", "2024-01-20 12:00:00")
+
+
+@query
+def valid_range_as_of(spark, sf_dir):
+    """Readings by the rules of their time: the fleet's ranges, then the gate's, then the cleansing stream's."""
+    first, second = CHANGES
+    typed = [Range(r.column, r.low, r.high) for r in TYPE_RULES if r.low is not None]
+    rules = rulebook.rule_table(spark, FLEET_RANGES, valid_to=first)
+    rules = rules.unionByName(rulebook.rule_table(spark, INGEST_RANGES, first, second))
+    rules = rules.unionByName(rulebook.rule_table(spark, typed, second))
+    judged = rulebook.judge_as_of(timed_readings(spark, sf_dir), rules, [r.column for r in FLEET_RANGES])
+    return judged.select(*SHORT, *text("valid"))
+
+
 def _route(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return rows(routing.take_route(readings(spark, sf_dir), name))

@@ -310,8 +310,8 @@ def _build() -> dict[str, str]:
         "FROM winners GROUP BY family",
         "recent_readings": f"WITH {BASE} SELECT {SHORT} FROM readings "
         f"WHERE collected_ts >= {NOW} - INTERVAL 60 MINUTE",
-        "dedup_readings": f"WITH {BASE} SELECT {ROW} FROM (SELECT *, row_number() OVER "
-        "(PARTITION BY time, DeviceId ORDER BY collected_ts NULLS LAST, event_id) AS rn "
+        "dedup_readings": f"WITH {BASE} SELECT {ROW} FROM (SELECT *, CASE WHEN event_ts IS NULL THEN 1 ELSE row_number() "
+        "OVER (PARTITION BY event_ts, DeviceId ORDER BY collected_ts NULLS LAST, event_id) END AS rn "
         "FROM readings) WHERE rn = 1",
         "hour_slice": f"WITH {BASE} SELECT {SHORT}, {ROUTE} AS route, ymdh FROM readings "
         f"WHERE {SLICE}",
@@ -364,6 +364,14 @@ def _build() -> dict[str, str]:
         "distinct_partitions": f"WITH {BASE} SELECT DISTINCT CAST(year(event_ts) AS INT) AS year, "
         "CAST(month(event_ts) AS INT) AS month, CAST(day(event_ts) AS INT) AS day, "
         "CAST(hour(event_ts) AS INT) AS hour, DeviceId FROM readings WHERE event_ts IS NOT NULL",
+        "valid_range_as_of": f"WITH {BASE} SELECT {SHORT}, CASE WHEN event_ts < TIMESTAMP '2024-01-10' THEN "
+        "sensor1 BETWEEN 0 AND 100 AND sensor2 BETWEEN 0 AND 100 AND sensor3 BETWEEN 0 AND 150 AND motor1 BETWEEN 0 AND 2000 "
+        "AND motor2 BETWEEN 0 AND 1500 AND motor3 BETWEEN 0 AND 1800 AND DeviceId BETWEEN 1 AND 100 AND isFail IN (TRUE, FALSE) "
+        "WHEN event_ts < TIMESTAMP '2024-01-20 12:00:00' THEN sensor1 BETWEEN 0 AND 100 AND sensor2 BETWEEN 0 AND 100 "
+        "AND sensor3 BETWEEN 0 AND 100 AND isFail IN (TRUE, FALSE) "
+        "WHEN event_ts IS NOT NULL THEN sensor1 BETWEEN 0 AND 100 AND sensor2 BETWEEN 0 AND 100 AND sensor3 BETWEEN 0 AND 150 "
+        "AND motor1 BETWEEN 0 AND 2000 AND motor2 BETWEEN 0 AND 1500 AND motor3 BETWEEN 0 AND 1800 AND DeviceId BETWEEN 1 AND 5 "
+        "AND isFail IN (TRUE, FALSE) END AS valid FROM readings",
         "partition_inventory": f"WITH {BASE} SELECT DISTINCT DeviceId, ymdh FROM readings "
         "ORDER BY DeviceId, ymdh",
         "outlier_bounds": f"WITH {BASE}, {_bounds()} {_BOUND_ROWS}",
@@ -409,6 +417,7 @@ def _build() -> dict[str, str]:
         "END AS rn FROM readings) WHERE rn = 1"
     )
     sql["stream_routes"] = sql["stream_route_batches"] = routed
+    sql["stream_dedup_exact"] = f"SELECT * EXCLUDE (route) FROM ({routed})"
     sql["stream_latest"] = sql["latest_raw"]
     sql["stream_hourly_mean"] = (
         f"WITH {BASE} SELECT DeviceId, ymdh, "
@@ -418,6 +427,15 @@ def _build() -> dict[str, str]:
         f"<= {NOW} - INTERVAL 10 MINUTE"
     )
     sql["stream_hourly_mean_corrected"] = sql["hourly_device_mean"]
+    sql["stream_online_edges"] = (
+        f"WITH {BASE}, apart AS (SELECT DeviceId, event_ts, epoch_us(event_ts) - epoch_us(lag(event_ts) OVER "
+        f"(PARTITION BY DeviceId ORDER BY {OLDEST})) AS gap, epoch_us(lead(event_ts) OVER (PARTITION BY DeviceId ORDER BY {OLDEST})) "
+        "- epoch_us(event_ts) AS ahead FROM readings WHERE event_ts IS NOT NULL AND DeviceId IS NOT NULL), "
+        "edges AS (SELECT DeviceId, event_ts AS moment, 1 AS online FROM apart WHERE gap IS NULL OR gap > 21600000000 "
+        "UNION ALL SELECT DeviceId, event_ts + INTERVAL 6 HOUR, 0 FROM apart WHERE ahead > 21600000000 OR (ahead IS NULL "
+        "AND event_ts + INTERVAL 6 HOUR < (SELECT max(event_ts) FROM readings) - INTERVAL 10 MINUTE)) "
+        f"SELECT DeviceId, strftime(moment, '{MICROS}') AS changed_at, online FROM edges"
+    )
     sql["stream_outlier_sketches"] = f"WITH {BASE} " + " UNION ALL ".join(
         f"SELECT '{m}' AS metric, count({m}) AS readings, {_r4(f'min({m})')} AS lowest, {_r4(f'max({m})')} AS highest, "
         "'true' AS q1_near, 'true' AS q3_near FROM readings"
@@ -435,12 +453,14 @@ def _build() -> dict[str, str]:
 # Columns that leave as text because they may be NULL.
 _TEXT = {
     "valid_range_flag": ("valid",),
+    "valid_range_as_of": ("valid",),
     "validate_types": ("isFail", "DeviceId"),
     "device_outages": ("silent_seconds",),
     "derive_time": ("year", "month", "day", "hour"),
     "stream_landing": ("isFail",),
     "stream_fill_previous": ("isFail",),
     "stream_routes": ("isFail",),
+    "stream_dedup_exact": ("isFail",),
     "stream_route_batches": ("isFail",),
     **dict.fromkeys(
         ("parse_json", "reject_null_keys", "alerts", "ingest_gate", "handle_nulls", "cleanse",

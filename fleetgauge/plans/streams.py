@@ -19,11 +19,13 @@ from fleetgauge.operators.partials import partial_means
 from fleetgauge.operators.routing import take_route
 from fleetgauge.operators.sketches import QUARTILES, RANK_ERROR, sketched_bounds
 from fleetgauge.plans.readings import UNIQUE, derive_readings, events
-from fleetgauge.plans.shape import rounded, rows, text
+from fleetgauge.plans.shape import rounded, rows, shown, text
 from fleetgauge.schema import KEY, METRICS, READING_COLUMNS
 from fleetgauge.session import scratch_path
 from fleetgauge.sources.files import text_stream
 from fleetgauge.streaming import queries as run
+from fleetgauge.streaming.online import online_edges
+from fleetgauge.streaming.seen import seen_batch, stored_rows
 from fleetgauge.streaming.transforms import hourly_mean_stream, latest_stream, route_stream
 
 ROUTED = ("event_id", "route", KEY, "time", *METRICS)
@@ -160,6 +162,37 @@ def stream_outlier_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("metric", "readings", *rounded("lowest", "highest"), *near)
 
 
+def stream_dedup_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deduplicated over any distance: a reading's copies arrive in other micro-batches, before or after it."""
+    base = scratch_path(spark, "stream-seen")
+    store = seen_batch(base, UNIQUE)
+
+    def once(readings: DataFrame) -> StreamingQuery:
+        return run.for_batches(with_times(readings), store, f"{base}/checkpoint", every=None)
+
+    arrivals(spark, sf_dir, tuple(f"pmod(hash(collected_at), 3) = {k}" for k in range(3)), once)
+    return stored_rows(spark, base).select("event_id", KEY, "time", *METRICS, *text("isFail"))
+
+
+def stream_online_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """When each device went on- and offline, from timers; the readings come in three parts, by time."""
+    base = scratch_path(spark, "stream-edges")
+    name, store = "spark.sql.streaming.stateStore.providerClass", run.ROCKSDB
+    before = spark.conf.get(name)
+    spark.conf.set(name, store)
+
+    def once(readings: DataFrame) -> StreamingQuery:
+        edges = online_edges(with_times(readings), quiet_minutes=6 * 60, forget_minutes=48 * 60)
+        return run.to_files(edges, f"{base}/edges", f"{base}/checkpoint", every=None)
+
+    parts = ("time < '2024-01-10'", "time >= '2024-01-10' and time < '2024-01-20'", "time >= '2024-01-20'")
+    try:
+        arrivals(spark, sf_dir, parts, once)
+    finally:
+        spark.conf.set(name, before)
+    return spark.read.parquet(f"{base}/edges").select(KEY, shown("changed_at"), "online")
+
+
 STREAMS = (
     stream_routes,
     stream_route_batches,
@@ -167,6 +200,8 @@ STREAMS = (
     stream_hourly_mean,
     stream_hourly_mean_corrected,
     stream_outlier_sketches,
+    stream_dedup_exact,
+    stream_online_edges,
     stream_rules,
     stream_fill_previous,
     stream_landing,

@@ -26,6 +26,9 @@ from fleetgauge.session import scratch_scope
 from fleetgauge.sinks.tables import LAYOUT, RAW_LAYOUT, STAGING_LAYOUT, packed
 from fleetgauge.streaming.stores import MergeStore
 
+# State of timers and of large deduplication windows is kept off the heap.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # Trigger intervals per sink.
 TRIGGERS = {
     "landing": "30 seconds",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetgauge.functions.predicates import absent
 from fleetgauge.functions.timeparts import with_hour_key, with_times
+from fleetgauge.operators.latest import IDENTITY, with_identity
 from fleetgauge.operators.routing import with_route
 from fleetgauge.operators.rollup import mean_known
 from fleetgauge.schema import KEY, METRICS
@@ -28,9 +29,8 @@ def dedup_stream(readings: DataFrame, delay: str = DELAY, spread: int = 1) -> Da
     Where one reading is sent over and over, ``spread`` above 1 thins its copies out in
     so many groups by where they were read, before the rest meets in one task.
     """
-    alone = F.when(F.col("event_ts").isNull(), F.to_json(F.struct(*readings.columns)))
-    keys = ["event_ts", KEY, "_alone"]
-    marked = readings.withColumns({"_alone": alone, "_arrived": F.current_timestamp()})
+    keys = list(IDENTITY)
+    marked = with_identity(readings).withColumn("_arrived", F.current_timestamp())
     marked = marked.withWatermark("_arrived", delay)
     if spread > 1:
         marked = marked.withColumn(
