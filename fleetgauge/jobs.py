@@ -17,6 +17,7 @@ from fleetgauge.operators.rollup import hourly_device_mean, hourly_device_report
 from fleetgauge.rules import RETENTION_MINUTES
 from fleetgauge.session import build_session
 from fleetgauge.sinks import tables
+from fleetgauge.sinks.catalogue import reconcile
 from fleetgauge.sources.bus import bus_stream
 from fleetgauge.sources.files import routed_hours, staged_hours, text_stream
 from fleetgauge.streaming import queries
@@ -91,8 +92,12 @@ def report(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def register(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Register every partition of a table already declared."""
-    tables.recover_partitions(spark, args.table)
+    """Register the partition folders of a table already declared, and drop those that are gone."""
+    if args.input:
+        changed = reconcile(spark, args.table, args.input, args.layout)
+        print(f"{changed['add']} partitions added, {changed['drop']} dropped")
+    else:
+        tables.recover_partitions(spark, args.table)
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -134,7 +139,10 @@ def _parser() -> argparse.ArgumentParser:
     reports = job(report, "table")
     reports.add_argument("--hour")
     reports.add_argument("--utc-offset", type=int, default=0, help="of the clock that the table's hours are named by")
-    job(register, "register").add_argument("--table", required=True)
+    registered = job(register, "register")
+    registered.add_argument("--table", required=True)
+    registered.add_argument("--input", help="the table's folder; with it, partitions without a folder are dropped")
+    registered.add_argument("--layout", nargs="+", default=list(tables.LAYOUT))
     return parser
 
 

@@ -32,6 +32,7 @@ from fleetgauge.plans.shape import SECONDS, rounded, rows, shown, text
 from fleetgauge.plans.streams import STREAMS
 from fleetgauge.rules import FLEET_RANGES, INGEST_RANGES, ROUTES, TYPE_RULES, Range
 from fleetgauge.schema import KEY, METRICS
+from fleetgauge.sinks.catalogue import partition_changes
 from fleetgauge.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -295,6 +296,16 @@ def partition_inventory(spark, sf_dir):
     return partitions.partition_inventory(df.select(folder.alias("path")))
 
 
+@query
+def partition_reconcile(spark, sf_dir):
+    """What to add and to drop where the catalogue knows the first two thirds of the hours, and one that is gone."""
+    df = with_hour_key(timed_readings(spark, sf_dir))
+    named = F.format_string("DeviceId=%d/ymdh=%s", KEY, "ymdh").alias("partition")
+    registered = df.filter("ymdh < '2024012000'").select(named)
+    listed = df.filter("ymdh >= '2024010200'").select(named)
+    return partition_changes(listed, registered)
+
+
 # Outliers and gaps
 
 

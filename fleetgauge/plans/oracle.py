@@ -374,6 +374,9 @@ def _build() -> dict[str, str]:
         "AND isFail IN (TRUE, FALSE) END AS valid FROM readings",
         "partition_inventory": f"WITH {BASE} SELECT DISTINCT DeviceId, ymdh FROM readings "
         "ORDER BY DeviceId, ymdh",
+        "partition_reconcile": f"WITH {BASE}, named AS (SELECT DISTINCT 'DeviceId=' || DeviceId || '/ymdh=' || ymdh AS partition, "
+        "ymdh FROM readings) SELECT partition, CASE WHEN ymdh >= '2024012000' THEN 'add' ELSE 'drop' END AS action FROM named "
+        "WHERE ymdh >= '2024012000' OR ymdh < '2024010200'",
         "outlier_bounds": f"WITH {BASE}, {_bounds()} {_BOUND_ROWS}",
         "outlier_iqr": f"WITH {BASE}, {_bounds()} SELECT {SHORT}, "
         + ", ".join(map(_iqr_flag, METRICS))
