@@ -9,6 +9,7 @@ import argparse
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from fleetgauge.functions.messages import malformed, parse_messages, with_reject_text
 from fleetgauge.functions.timeparts import check_hour, default_report_hour, hours_touched
@@ -38,10 +39,19 @@ def _every(args: argparse.Namespace, usual: str) -> str | None:
 
 
 def land(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Bus payloads to JSON lines."""
+    """Bus payloads to JSON lines, and those that are no JSON objects to a place of their own as well."""
     bus = bus_stream(spark, args.brokers, args.topic, args.starting, args.max_offsets)
+    queries.await_all(start_landing(bus, args))
+
+
+def start_landing(bus: DataFrame, args: argparse.Namespace) -> list[StreamingQuery]:
     every = _every(args, queries.TRIGGERS["landing"])
-    queries.land_lines(bus, args.out, args.checkpoint, every=every).awaitTermination()
+    started = [queries.land_lines(bus, args.out, args.checkpoint, every=every)]
+    if args.rejects:
+        broken = malformed(parse_messages(bus))
+        every = _every(args, queries.TRIGGERS["alerts"])
+        started.append(queries.to_files(broken, args.rejects, f"{args.checkpoint}-rejects", "json", every=every))
+    return started
 
 
 def rejects(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -76,7 +86,11 @@ def snapshot(spark: SparkSession, args: argparse.Namespace) -> None:
     readings = routed_hours(spark, args.input, hours_touched(as_of, args.minutes))
     gauges = metric_snapshot(readings, as_of=as_of, minutes=args.minutes)
     write = tables.write_exposition if args.text else tables.write_snapshot
-    write(gauges, args.out)
+    if args.keep_last:
+        if not tables.write_if_any(gauges, lambda rows: write(rows, args.out)):
+            print("no reading in the span: the last snapshot stays")
+    else:
+        write(gauges, args.out)
 
 
 def report(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -125,7 +139,7 @@ def _parser() -> argparse.ArgumentParser:
             sub.add_argument("--out", required=True)
         return sub
 
-    job(land, "bus", "stream")
+    job(land, "bus", "stream").add_argument("--rejects", help="where payloads that cannot be read go, too")
     job(rejects, "bus", "stream")
     router = job(route, "bus", "files", "stream")
     router.add_argument("--hour-from", choices=("collected", "event"), default="collected")
@@ -136,6 +150,7 @@ def _parser() -> argparse.ArgumentParser:
     gauges.add_argument("--as-of", type=datetime.fromisoformat)
     gauges.add_argument("--minutes", type=int, default=RETENTION_MINUTES)
     gauges.add_argument("--text", action="store_true")
+    gauges.add_argument("--keep-last", action="store_true", help="where there is no reading at all, leave the last snapshot")
     reports = job(report, "table")
     reports.add_argument("--hour")
     reports.add_argument("--utc-offset", type=int, default=0, help="of the clock that the table's hours are named by")

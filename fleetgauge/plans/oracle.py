@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
-from fleetgauge.plans.readings import MESSAGE_CUT
-from fleetgauge.rules import (
-    FAMILY_OF_ROUTE,
-    FLEET_RANGES,
-    PANEL_LIMITS,
-    RAW_FAMILY,
-    ROUTES,
-    Z_LIMITS,
-)
-from fleetgauge.schema import METRICS, READING_COLUMNS
+# Fixed values, written out again: the SQL takes none of them from the code it checks.
+METRICS = ("sensor1", "sensor2", "sensor3", "motor1", "motor2", "motor3")
+READING_COLUMNS = ("time", "DeviceId", *METRICS, "isFail", "collected_at")
+FLEET_RANGES = {
+    "sensor1": (0, 100),
+    "sensor2": (0, 100),
+    "sensor3": (0, 150),
+    "motor1": (0, 2000),
+    "motor2": (0, 1500),
+    "motor3": (0, 1800),
+    "DeviceId": (1, 100),
+}
+Z_LIMITS = {"sensor1": 3.0, "sensor2": 3.0, "sensor3": 3.0, "motor1": 2.5, "motor2": 2.5, "motor3": 2.5}
+PANEL_LIMITS = {"sensor1": 90.0, "sensor2": 90.0, "sensor3": 130.0, "motor1": 1900.0, "motor2": 1400.0, "motor3": 1900.0}
+FAMILY_OF_ROUTE = {"data": "latest", "dataerr": "err_latest", "fail": "fail_latest"}
+RAW_FAMILY = "raw_latest"
+MESSAGE_CUT = 20
 
 ISO = "%Y-%m-%dT%H:%M:%S.%f"
 MICROS = "%Y-%m-%d %H:%M:%S.%f"
@@ -49,7 +56,7 @@ def _r4(value: str) -> str:
     return f"floor(({value}) * 10000 + 0.500001) / 10000"
 
 
-VALID = " AND ".join(f"{r.column} BETWEEN {r.low} AND {r.high}" for r in FLEET_RANGES)
+VALID = " AND ".join(f"{c} BETWEEN {low} AND {high}" for c, (low, high) in FLEET_RANGES.items())
 VALID = f"({VALID} AND isFail IN (TRUE, FALSE))"
 ROUTE_FILTER = {
     "data": f"isFail = FALSE AND {VALID}",
@@ -447,7 +454,7 @@ def _build() -> dict[str, str]:
     sql["stream_rules"] = sql["cleansed_batch_gauges"]
     sql["stream_fill_previous"] = sql["fill_previous"]
     sql["stream_landing"] = f"WITH {BASE} SELECT {', '.join(READING_COLUMNS)} FROM readings"
-    for route in ROUTES:
+    for route in FAMILY_OF_ROUTE:
         sql[f"route_{route}"] = _row(ROUTE_FILTER[route])
         sql[f"latest_{route}"] = _latest(ROUTE_FILTER[route])
     return sql

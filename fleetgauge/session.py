@@ -19,14 +19,24 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # State of streams off the heap; timers need this store.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
+# Shuffle partitions for each core, where the deployment names no number: adaptive
+# execution merges what is small, but cannot make more than there are.
+PARTITIONS_A_CORE = 4
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 def build_session(app: str = "fleetgauge", **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     for key, value in {**SETTINGS, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if SHUFFLE_PARTITIONS not in conf and spark.sparkContext.getConf().get(SHUFFLE_PARTITIONS) is None:
+        cores = spark.sparkContext.defaultParallelism
+        spark.conf.set(SHUFFLE_PARTITIONS, max(200, PARTITIONS_A_CORE * cores))
+    return spark
 
 
 def use_utc(spark: SparkSession) -> SparkSession:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,15 +74,30 @@ def write_exposition(snapshot: DataFrame, path: str) -> None:
     exposition_lines(snapshot).write.mode("overwrite").text(path)
 
 
-def publish(df: DataFrame, brokers: str, topic: str) -> None:
-    """Send readings as keyed messages; needs the bus connector on the cluster."""
-    (
-        to_messages(df)
-        .write.format("kafka")
-        .option("kafka.bootstrap.servers", brokers)
-        .option("topic", topic)
-        .save()
-    )
+def write_if_any(df: DataFrame, write: Callable[[DataFrame], None]) -> bool:
+    """Write unless there is nothing to; the rows are worked out once, and looked at before the write."""
+    rows = df.persist()
+    try:
+        if rows.isEmpty():
+            return False
+        write(rows)
+        return True
+    finally:
+        rows.unpersist()
+
+
+def bus_messages(df: DataFrame) -> DataFrame:
+    """What the bus takes: ``key`` and ``value``, both text, and nothing else.
+
+    A reading without a device has no key; the bus spreads such messages evenly.
+    """
+    return to_messages(df).select(F.col("key").cast("string"), F.col("value").cast("string"))
+
+
+def publish(df: DataFrame, brokers: str, topic: str, fmt: str = "kafka") -> None:
+    """Send readings as keyed messages; needs the bus connector on the cluster, whatever its format is called."""
+    options = {"kafka.bootstrap.servers": brokers, "topic": topic}
+    bus_messages(df).write.format(fmt).options(**options).mode("append").save()
 
 
 def compact_hours(

@@ -13,16 +13,21 @@ def bus_stream(
     max_offsets_per_trigger: int | None = None,
 ) -> DataFrame:
     """Subscribe to one topic; the payload is the ``value`` column."""
-    reader = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", brokers)
-        .option("subscribe", topic)
-    )
-    if starting_offsets:
-        reader = reader.option("startingOffsets", starting_offsets)
-    if max_offsets_per_trigger:
-        reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
-    return reader.load()
+    options = bus_options(brokers, topic, starting_offsets, max_offsets_per_trigger)
+    return spark.readStream.format("kafka").options(**options).load()
+
+
+def bus_options(
+    brokers: str, topic: str, starting_offsets: str | None = None, max_offsets_per_trigger: int | None = None
+) -> dict[str, str]:
+    """What the connector is told; what is not given is left to it."""
+    options = {
+        "kafka.bootstrap.servers": brokers,
+        "subscribe": topic,
+        "startingOffsets": starting_offsets,
+        "maxOffsetsPerTrigger": max_offsets_per_trigger,
+    }
+    return {name: str(value) for name, value in options.items() if value}
 
 
 def shard_stream(
@@ -37,10 +42,5 @@ def shard_stream(
     Open Spark ships none, so the format name is an argument. The payload is the
     ``data`` column: parse with ``envelope="data"``.
     """
-    return (
-        spark.readStream.format(provider)
-        .option("streamName", stream)
-        .option("region", region)
-        .option("startingPosition", starting_position)
-        .load()
-    )
+    options = {"streamName": stream, "region": region, "startingPosition": starting_position}
+    return spark.readStream.format(provider).options(**options).load()

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -244,9 +244,19 @@ def newest_known(readings: DataFrame, columns: Sequence[str], order: Sequence[st
     return long.filter(F.coalesce(*columns).isNotNull())
 
 
-def await_any(spark: SparkSession) -> None:
-    """Return, or raise, as soon as any query ends; waiting in turn hides failures."""
-    spark.streams.awaitAnyTermination()
+def await_all(queries: Sequence[StreamingQuery]) -> None:
+    """Return when all queries have ended; as soon as one fails, stop the others and raise its error.
+
+    Waiting for one after the other would hide a failure of a later one for as long as an
+    earlier one runs. A wait of a second on one that has failed raises.
+    """
+    try:
+        while not all([query.awaitTermination(1) for query in queries]):
+            pass
+    finally:
+        for query in queries:
+            if query.isActive:
+                query.stop()
 
 
 def late_hours(base: str) -> MergeStore:
