@@ -33,42 +33,50 @@ def _hash(text: Column) -> Column:
     return F.md5(text)
 
 
+def _bound(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are worked out once, whatever looks at them.
+
+    A projection would be merged into the next one, and an array worked out again for every
+    element that a lambda there looks at. A generator keeps them apart.
+    """
+    named = F.struct(*[value.alias(name) for name, value in columns.items()])
+    bound = df.select("*", F.explode(F.array(named)).alias("_bound"))
+    return bound.select(*df.columns, *[F.col(f"_bound.{name}").alias(name) for name in columns])
+
+
 def _parsed(messages: DataFrame) -> DataFrame:
-    """Messages with ``lines`` and ``passages``: (level, line contents, whether it announces nothing)."""
-    df = messages.withColumn("raw", F.split(F.coalesce("text", F.lit("")), "\n", -1))
-    df = df.withColumn("levels", F.transform("raw", quote_level))
-    df = df.withColumn("contents", F.transform("raw", lambda line: F.regexp_replace(line, MARK, "")))
-    last = F.size("raw") - 1
+    """Messages with ``passages``: (level, line contents), written once as all later steps read them.
+
+    The cost is of the number of lines, however many passages they are in.
+    """
+    df = _bound(messages, raw=F.split(F.coalesce("text", F.lit("")), "\n", -1))
+    df = _bound(
+        df,
+        levels=F.transform("raw", quote_level),
+        contents=F.transform("raw", lambda line: F.regexp_replace(line, MARK, "")),
+    ).drop("raw", "text")
     # Lines, from 0, with which a passage begins.
-    begins = F.filter(
-        F.sequence(F.lit(0), last), lambda k: (k == 0) | (F.get("levels", k) != F.get("levels", F.greatest(k - 1, F.lit(0))))
-    )
-    df = df.withColumn("begins", begins)
-    ends = F.transform("begins", lambda _, n: F.coalesce(F.get("begins", n + 1), F.size("raw")))
-    df = df.withColumn("ends", ends)
-    passages = F.transform(
-        "begins",
-        lambda at, n: F.struct(
-            F.get("levels", at).alias("level"),
-            F.slice("contents", at + 1, F.get("ends", n) - at).alias("lines"),
-        ),
-    )
-    # The last line of an own passage goes, if it announces the quotation that follows.
-    own = F.transform(
-        passages,
-        lambda p, n: F.struct(
-            p["level"].alias("level"),
-            F.when(
-                (p["level"] == 0)
-                & F.coalesce(F.get(passages, n + 1)["level"] > 0, F.lit(False))
-                & F.element_at(p["lines"], -1).rlike(ANNOUNCES),
-                F.slice(p["lines"], 1, F.size(p["lines"]) - 1),
-            )
-            .otherwise(p["lines"])
-            .alias("lines"),
-        ),
+    starts = F.filter(
+        F.sequence(F.lit(0), F.size("levels") - 1),
+        lambda k: (k == 0) | (F.get("levels", k) != F.get("levels", F.greatest(k - 1, F.lit(0)))),
     )
-    return df.withColumn("passages", own).drop("raw", "levels", "contents", "begins", "ends")
+    df = _bound(df, begins=starts)
+    df = _bound(df, ends=F.concat(F.slice("begins", F.lit(2), F.size("begins")), F.array(F.size("levels"))))
+    df = _bound(df, spans=F.arrays_zip("begins", "ends")).drop("begins", "ends")
+
+    def passage(span: Column) -> Column:
+        lines = F.slice("contents", span["begins"] + 1, span["ends"] - span["begins"])
+        # The last line of an own passage goes, if it announces the quotation that follows.
+        announces = (
+            (F.get("levels", span["begins"]) == 0)
+            & F.coalesce(F.get("levels", span["ends"]) > 0, F.lit(False))
+            & F.get("contents", span["ends"] - 1).rlike(ANNOUNCES)
+        )
+        own = F.when(announces, F.slice("contents", span["begins"] + 1, span["ends"] - span["begins"] - 1)).otherwise(lines)
+        return F.struct(F.get("levels", span["begins"]).alias("level"), own.alias("lines"))
+
+    df = _bound(df, passages=F.transform("spans", passage)).drop("levels", "contents", "spans")
+    return materialise(df, "messages")
 
 
 def _keys(lines: Column) -> Column:
@@ -85,7 +93,10 @@ def link_quotations(messages: DataFrame) -> DataFrame:
     other conversations, of whose messages the smallest (conversation, turn) that has it
     counts. The whole passage goes before its lines. Both are null if no message has it.
     """
-    own = _parsed(messages)
+    return _links(_parsed(messages))
+
+
+def _links(own: DataFrame) -> DataFrame:
     said = F.filter("passages", lambda p: p["level"] == 0)
     keys = F.array_distinct(F.flatten(F.transform(said, lambda p: _keys(p["lines"]))))
     index = own.select("conv_id", "turn", F.explode(keys).alias("hash")).filter("conv_id is not null and turn is not null")
@@ -148,7 +159,8 @@ def reply_order(
     """
     kinds = {"conv_id": conv, "turn": turn, "role": role}
     messages = conversations.select(*[F.col(c).alias(n) for n, c in kinds.items()], F.col(text).cast("string").alias("text"))
-    links = materialise(link_quotations(messages), "quotations")
+    own = _parsed(messages)
+    links = materialise(_links(own), "quotations")
     counted = links.groupBy("conv_id", "turn").agg(
         F.count("*").alias("n_quoted"),
         F.count("from_turn").alias("n_linked"),
@@ -158,7 +170,6 @@ def reply_order(
     )
     threads = _threads(counted.filter("parent is not null"))
     counted = counted.join(threads, ["conv_id", "turn"], "left")
-    own = _parsed(messages)
     said = F.flatten(F.transform(F.filter("passages", lambda p: p["level"] == 0), lambda p: p["lines"]))
     clean = F.regexp_replace(F.array_join(said, "\n"), r"^\s+|\s+$", "")
     own = own.select("conv_id", "turn", "role", clean.alias("text"))

@@ -1,5 +1,9 @@
+import random
+import time
+
 import duckdb
 import pandas as pd
+import pytest
 
 from fleetgauge.llm import quotations as Q
 
@@ -26,10 +30,37 @@ ROWS = [
 SCHEMA = "conv_id long, turn long, role string, text string"
 
 
-def test_against_sql(spark):
-    got = Q.reply_order(spark.createDataFrame(ROWS, SCHEMA))
+def _made(seed):
+    """Conversations that quote themselves and each other, at several levels, often the same lines."""
+    drawn = random.Random(seed)
+    rows = []
+    for conv in range(400):
+        said = []
+        for turn in range(drawn.randint(1, 9)):
+            lines = []
+            for _ in range(drawn.randint(1, 4)):
+                if said and drawn.random() < 0.6:
+                    source = drawn.choice(said if drawn.random() < 0.7 or not rows else [drawn.choice(rows)[3]])
+                    level = drawn.choice([">", "> ", "> > ", ">>> ", " > "])
+                    if drawn.random() < 0.3:
+                        lines.append(drawn.choice(["On Monday, she wrote:", "er schrieb:", "she said so:"]))
+                    lines += [level + line for line in source.split("\n")[: drawn.randint(1, 3)]]
+                else:
+                    lines.append(drawn.choice(["yes", "No, thanks!", f"own {drawn.randint(0, 60)} words", "", "  ", f"c{conv} t{turn}"]))
+            text = "\n".join(lines)
+            said.append(text)
+            rows.append((conv, turn, drawn.choice(["user", "assistant"]), text))
+    return rows
+
+
+@pytest.mark.parametrize("rows", [ROWS, _made(1)], ids=["edges", "made"])
+def test_against_sql(spark, rows):
+    got = Q.reply_order(spark.createDataFrame(rows, SCHEMA))
+    if len(rows) > 1000:
+        totals = got.selectExpr("sum(n_quoted) q", "sum(n_linked) l", "max(depth) d").first()
+        assert totals.q > 2000 and totals.l > 1500 and totals.d >= 3
     # The view of this name is what the SQL reads.
-    conversations = pd.DataFrame(ROWS, columns=["conv_id", "turn", "role", "text"]).astype({"conv_id": "Int64", "turn": "Int64"})
+    conversations = pd.DataFrame(rows, columns=["conv_id", "turn", "role", "text"]).astype({"conv_id": "Int64", "turn": "Int64"})
     engine = duckdb.connect()
     engine.register("conversations", conversations)
     reply = engine.execute(Q.REPLY_ORDER_SQL)
@@ -61,3 +92,14 @@ def test_the_next_conversation_is_tried(spark):
     got = Q.link_quotations(spark.createDataFrame(rows, "conv_id long, turn long, text string")).collect()
     assert sorted((r.conv_id, r.turn, r.from_conv, r.from_turn) for r in got if r.from_conv is not None) == [(1, 3, 2, 0), (3, 1, 3, 0)]
     assert len(got) == 3
+
+
+def test_long_messages_cost_their_lines(spark):
+    """One message of very many passages, and one of a single very long line."""
+    lines = "\n".join(f"own {k}\n> quoted {k}" for k in range(6400))
+    rows = [(1, 0, "u", "\n".join(f"quoted {k}" for k in range(6400))), (1, 1, "u", lines), (2, 0, "u", "> " + "word " * 400_000)]
+    start = time.monotonic()
+    got = {(r.conv_id, r.turn): r for r in Q.reply_order(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert time.monotonic() - start < 60
+    assert (got[1, 1].n_quoted, got[1, 1].n_linked, got[1, 1].parent_turn) == (6400, 6400, 0)
+    assert got[1, 1].text.count("\n") == 6399 and got[2, 0].text == ""
