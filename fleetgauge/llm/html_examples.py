@@ -100,4 +100,114 @@ PAGES: tuple[tuple[tuple[int | None, str], ...], ...] = (
         (None, "</article>"),
         (0, '<div role="alert">{16}</div>'),
     ),
+    # Nothing is named: short blocks are text among long ones, and not among links or other short ones.
+    (
+        (0, '<div><a href="/1">{2}</a></div>'),
+        (0, "<div>{9}</div>"),
+        (0, '<div><a href="/2">{3}</a> <a href="/3">{2}</a></div>'),
+        (1, "<div>{7}</div>"),
+        (1, "<div>{64}</div>"),
+        (1, "<div>{9}</div>"),
+        (1, "<div>{41}</div>"),
+        (1, "<div>{3}</div>"),
+        (1, "<div>{52}</div>"),
+        (0, '<div><a href="/4">{4}</a></div>'),
+        (0, "<div>{12}</div>"),
+        (0, '<div><a href="/5">{1}</a> <a href="/6">{1}</a></div>'),
+        (0, "<div>{5}</div>"),
+    ),
+    (
+        (0, "<p>{4}</p>"),
+        (0, '<p><a href="/1">{2}</a></p>'),
+        (0, "<p>{7}</p>"),
+        (0, '<p><a href="/2">{2}</a> {1}</p>'),
+        (1, "<h1>{10}</h1>"),
+        (1, "<p>{38}</p>"),
+        (1, "<p>{5}</p>"),
+        (1, "<p>{47}</p>"),
+        (1, "<p>{13}</p>"),
+        (1, '<p>{22} <a href="/x">{3}</a></p>'),
+        (1, "<p>{8}</p>"),
+        (1, "<p>{33}</p>"),
+        (0, '<p><a href="/3">{6}</a></p>'),
+        (0, "<p>{13}</p>"),
+        (0, '<p><a href="/4">{5}</a></p>'),
+        (0, "<p>{8}</p>"),
+        (0, '<p><a href="/5">{7}</a></p>'),
+    ),
+    # A link of its own between long blocks is part of the text; so is a list of links among them.
+    (
+        (0, '<div><a href="/1">{1}</a> <a href="/2">{1}</a> <a href="/3">{1}</a></div>'),
+        (0, "<div>{3}</div>"),
+        (0, '<div><a href="/4">{2}</a></div>'),
+        (1, "<h1>{6}</h1>"),
+        (1, "<p>{44}</p>"),
+        (1, '<p><a href="/y">{5}</a></p>'),
+        (1, "<p>{51}</p>"),
+        (1, "<p>{26}</p>"),
+        (1, '<p>{4} <a href="/z">{9}</a></p>'),
+        (1, "<p>{37}</p>"),
+        (1, "<p>{6}</p>"),
+        (0, '<ul><li><a href="/5">{4}</a></li>'),
+        (0, '<li><a href="/6">{3}</a></li>'),
+        (0, "<li>{2}</li>"),
+        (0, '<li><a href="/7">{5}</a></li></ul>'),
+        (0, "<div>{10}</div>"),
+        (0, '<div><a href="/8">{1}</a></div>'),
+    ),
+    # A long teaser between links is none of the text, nor is a line of rights after them.
+    (
+        (0, '<div><a href="/1">{3}</a></div>'),
+        (0, '<div><a href="/2">{8}</a></div>'),
+        (0, "<div>{15}</div>"),
+        (0, '<div><a href="/3">{7}</a></div>'),
+        (0, "<div>{14}</div>"),
+        (0, '<div><a href="/4">{9}</a></div>'),
+        (1, "<h1>{7}</h1>"),
+        (1, "<div>{90}</div>"),
+        (1, "<div>{15}</div>"),
+        (1, "<div>{75}</div>"),
+        (1, "<div>{14}</div>"),
+        (1, "<div>{60}</div>"),
+        (0, '<div><a href="/5">{3}</a> <a href="/6">{2}</a></div>'),
+        (0, "<div>{11}</div>"),
+    ),
+    # The text begins without a heading, right after the links.
+    (
+        (0, '<div><a href="/1">{2}</a> <a href="/2">{1}</a></div>'),
+        (0, "<div>{5}</div>"),
+        (0, '<div><a href="/3">{3}</a> <a href="/4">{1}</a></div>'),
+        (1, "<div>{58}</div>"),
+        (1, "<div>{6}</div>"),
+        (1, "<div>{31}</div>"),
+        (0, '<div><a href="/5">{2}</a> <a href="/6">{2}</a></div>'),
+        (0, "<div>{6}</div>"),
+        (0, '<div><a href="/7">{2}</a></div>'),
+    ),
+    (
+        (0, '<p><a href="/1">{5}</a></p>'),
+        (1, "<p>{72}</p>"),
+        (1, '<p><a href="/y">{6}</a></p>'),
+        (1, "<p>{43}</p>"),
+        (1, "<p>{7}</p>"),
+        (1, "<p>{29}</p>"),
+        (0, '<p><a href="/2">{2}</a></p>'),
+    ),
+    # Inside an article a link of its own is text wherever it stands.
+    (
+        (0, '<nav><a href="/1">{2}</a></nav>'),
+        (None, "<article>"),
+        (1, "<h1>{7}</h1>"),
+        (1, '<p><a href="/x">{5}</a></p>'),
+        (1, "<p>{60}</p>"),
+        (1, "<p>{9}</p>"),
+        (1, '<p><a href="/y">{4}</a></p>'),
+        (1, "<p>{48}</p>"),
+        (1, '<p><a href="/z">{6}</a></p>'),
+        (1, "<h2>{4}</h2>"),
+        (1, '<p><a href="/v">{3}</a></p>'),
+        (1, "<p>{52}</p>"),
+        (None, "</article>"),
+        (0, '<div><a href="/2">{3}</a></div>'),
+    ),
 )

@@ -10,6 +10,7 @@ article, in a heading. A decision tree, trained on the small labelled table of
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
@@ -37,19 +38,28 @@ VOID = "area base br col embed hr img input link meta param source track wbr".sp
 BOILERPLATE = "nav header footer aside form menu dialog".split()
 ARTICLE = "article main".split()
 HEADINGS = "h1 h2 h3 h4 h5 h6".split()
-# Words of class, id and role that name boilerplate.
+# Words of class, id and role that name boilerplate, alone or beside layout words.
 NAMED = (
-    "ad ads adbox adslot adsense advert adverts advertisement advertising advertorial banner sponsor sponsored promo promotion "
-    "cookie cookies consent gdpr notice notification alert popup modal overlay dialog sidebar aside menu nav navbar navigation "
-    "breadcrumb breadcrumbs footer header masthead topbar toolbar comment comments commentlist disqus respond replies related "
-    "recommended share sharing social newsletter subscribe subscription signup login search widget pagination pager copyright "
-    "legal disclaimer contentinfo complementary form skip hidden"
+    "ad ads adbox adslot adsense advert adverts advertisement advertising advertorial sponsor sponsored promo promotion "
+    "cookie cookies consent gdpr popup modal sidebar menu nav navbar navigation breadcrumb breadcrumbs masthead topbar "
+    "comment comments commentlist disqus respond replies related recommended share sharing social newsletter subscribe "
+    "subscription signup login pagination pager copyright contentinfo complementary"
+).split()
+# Those that name it alone, on an element that holds others, or beside a word for the whole page.
+NAMED_ALONE = "banner notice notification alert overlay dialog aside header footer toolbar search form widget legal disclaimer skip".split()
+OF_PAGE = "site page main global top bottom".split()
+LAYOUT = (
+    "left right primary secondary sticky fixed box block blocks wrapper wrap container inner outer area section list item items "
+    "link links button buttons bar icon icons text title content unit slot label post posts article articles entry entries "
+    "thread count group panel body desktop mobile js"
 ).split()
 READERS = "comment comments commentlist disqus respond replies".split()
+HOLDERS = "article center div main ol section table td th tr ul".split()
 
 _HIDES, _INLINE, _VOID = frozenset(HIDES), frozenset(INLINE), frozenset(VOID)
 _BOILERPLATE, _ARTICLE, _HEADINGS = frozenset(BOILERPLATE), frozenset(ARTICLE), frozenset(HEADINGS)
-_NAMED, _READERS = frozenset(NAMED), frozenset(READERS)
+_NAMED, _NAMED_ALONE, _OF_PAGE, _READERS = map(frozenset, (NAMED, NAMED_ALONE, OF_PAGE, READERS))
+_BESIDE, _HOLDERS = frozenset([*NAMED, *NAMED_ALONE, *OF_PAGE, *LAYOUT]), frozenset(HOLDERS)
 # Elements that are open side by side, never one in the other.
 _SIBLINGS = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"}}
 
@@ -77,20 +87,34 @@ class Block:
     heading: bool
 
 
-def _is_named(rest: str) -> tuple[bool, bool]:
-    """Whether names of an element say boilerplate, and whether readers' comments."""
+@lru_cache(maxsize=1 << 14)
+def _names_boilerplate(name: str, holds: bool) -> bool:
+    """Whether one class, id or role says boilerplate, as a whole: ``ad-slot`` does, ``social-science`` does not."""
+    parts = [p.rstrip("0123456789") for p in re.split(r"[_-]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower())]
+    parts = [p for p in parts if p and not re.fullmatch(r"\d+x", p)]
+    if not parts or not _BESIDE.issuperset(parts):
+        return False
+    if _NAMED.intersection(parts):
+        return True
+    return holds and bool(_NAMED_ALONE.intersection(parts)) and (len(parts) == 1 or bool(_OF_PAGE.intersection(parts)))
+
+
+def _is_named(tag: str, rest: str) -> tuple[bool, bool]:
+    """Whether an element is hidden or its names say boilerplate, and whether they say readers' comments.
+
+    Headings get names from their words, so theirs say nothing.
+    """
     if "=" not in rest and "hidden" not in rest:
         return False, False
     if _HIDDEN.search(rest):
         return True, False
+    if tag in _HEADINGS:
+        return False, False
     for found in _NAMES.finditer(rest):
-        names = re.split(r"[\s_-]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", found[1] or found[2] or found[3] or "").lower())
-        if {"no", "has", "with", "without"} & set(names):
-            continue
-        if _READERS & set(names):
-            return True, True
-        if _NAMED & set(names):
-            return True, False
+        for name in (found[1] or found[2] or found[3] or "").split():
+            if len(name) < 64 and _names_boilerplate(name, tag in _HOLDERS):
+                words = re.split(r"[_-]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower())
+                return True, bool(_READERS.intersection(words))
     return False, False
 
 
@@ -115,6 +139,8 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     # Open elements: tag, boilerplate, readers' comments, article, heading.
     stack: list[tuple[str, bool, bool, bool, bool]] = [("", False, False, False, False)]
+    # How many of each are open: an end tag without one looks for none.
+    is_open: Counter[str] = Counter()
     pieces: list[str] = []
     links: list[str] = []
     linked = False
@@ -163,21 +189,23 @@ def blocks(page: str) -> list[Block]:
         if tag in _VOID:
             continue
         if closing:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == tag:
-                    del stack[depth:]
+            while is_open[tag]:
+                last = stack.pop()[0]
+                is_open[last] -= 1
+                if last == tag:
                     break
             continue
         if tag in _SIBLINGS and stack[-1][0] in _SIBLINGS[tag]:
-            stack.pop()
+            is_open[stack.pop()[0]] -= 1
         _, boilerplate, readers, article, heading = stack[-1]
-        named, by_readers = (False, False) if tag in ("html", "head", "body") else _is_named(token["rest"] or token["rest2"] or "")
+        named, by_readers = (False, False) if tag in ("html", "head", "body") else _is_named(tag, token["rest"] or token["rest2"] or "")
         if tag in _ARTICLE and not named and not readers:
             # What wraps a whole article, such as a form, does not make it boilerplate.
             boilerplate, article = False, True
         heading = tag in _HEADINGS
         # A header inside an article may hold its title, which is a heading.
         boxed = tag in _BOILERPLATE and not (tag == "header" and article)
+        is_open[tag] += 1
         stack.append((tag, boilerplate or boxed or named, readers or by_readers, article, heading))
     if at < len(page):
         pieces.append(page[at:])
@@ -218,7 +246,12 @@ class DecisionTree:
             low = x[:, feature] <= bound
             below = self._grow(x[low], y[low], depth + 1)
             above = self._grow(x[~low], y[~low], depth + 1)
-            self.nodes[here] = (feature, bound, below, above, self.nodes[here][4])
+            leaves = [self.nodes[side] for side in (below, above)]
+            if all(leaf[0] < 0 for leaf in leaves) and leaves[0][4] == leaves[1][4]:
+                # Leaves that agree tell nothing apart.
+                del self.nodes[here + 1 :]
+            else:
+                self.nodes[here] = (feature, bound, below, above, self.nodes[here][4])
         return here
 
     def _best(self, x: np.ndarray, y: np.ndarray) -> tuple[int, float] | None:
