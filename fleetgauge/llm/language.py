@@ -41,9 +41,11 @@ FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in code
 
 FEATURES = 1 << 13
 RUNS = (2, 3, 4)
-# The bound of the training sample: rows, and bytes of the longest text in it.
-TRAINING_ROWS = 2000
-TRAINING_BYTES = 20_000
+# The bound of the training sample: rows, the same number of each language, and characters of a text.
+TRAINING_ROWS = 3000
+TRAINING_CHARS = 20_000
+# Rows of a language that its probabilities need before they are shifted.
+FEW = 10
 
 # Bytes that are no letters become blanks, A-Z become a-z; bytes above 127 are parts of letters.
 _LETTERS = np.full(256, 0x20, dtype=np.uint32)
@@ -90,14 +92,23 @@ def _machine(x: np.ndarray, y: np.ndarray, penalty: float = 0.001, steps: int =
 
 
 def _sigmoid(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift that make margins probabilities of ``y`` > 0, by Newton steps with smoothed targets."""
+    """Slope and shift that make margins probabilities of ``y`` > 0, by Newton steps with smoothed targets.
+
+    Both sides weigh the same here too: how many rows a language has says nothing of a text.
+    A side of a few rows says nothing of where the middle is, so there is no shift.
+    """
     up, down = (y > 0).sum(), (y < 0).sum()
+    weight = np.where(y > 0, 0.5 * len(y) / max(up, 1), 0.5 * len(y) / max(down, 1))
     target = np.where(y > 0, (up + 1) / (up + 2), 1 / (down + 2))
     slope, shift = 1.0, 0.0
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(slope * margin + shift, -30, 30)))
-        g = np.array([((p - target) * margin).sum() + 1e-3 * slope, (p - target).sum()])
-        v = p * (1 - p)
+        off = weight * (p - target)
+        g = np.array([(off * margin).sum() + 1e-3 * slope, off.sum()])
+        v = weight * p * (1 - p)
+        if min(up, down) < FEW:
+            slope -= np.clip(g[0] / ((v * margin * margin).sum() + 1e-3), -2, 2)
+            continue
         h = np.array([[(v * margin * margin).sum() + 1e-3, (v * margin).sum()], [(v * margin).sum(), v.sum() + 1e-6]])
         move = np.linalg.solve(h, g)
         slope, shift = slope - np.clip(move[0], -2, 2), shift - np.clip(move[1], -2, 2)
@@ -200,13 +211,18 @@ def has_letters(texts: pa.Array) -> np.ndarray:
 
 
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> LanguageModel:
-    """Learn from a sample of at most 1.2 TRAINING_ROWS rows that are not held out and have a language."""
+    """Learn from at most TRAINING_ROWS rows that are not held out and have a language, evenly from each.
+
+    Null and empty texts and languages teach nothing; repeated rows may be drawn as often as they come.
+    """
     rows = docs.select(key, F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
-    rows = training_rows(rows.toDF("key", "text", "lang"), "key", "text", "lang", TRAINING_ROWS, TRAINING_BYTES)
+    rows = training_rows(rows.toDF("key", "text", "lang"), "key", "text", "lang", TRAINING_ROWS, TRAINING_CHARS)
     # In a fixed order, so that the same rows make the same model.
     sample = rows.toPandas().sort_values(["key", "text", "lang"])
     sample = sample[has_letters(pa.array(sample["text"], pa.string()))] if len(sample) else sample
-    return LanguageModel.fit(sample["text"].tolist(), sample["lang"].tolist())
+    model = LanguageModel.fit(sample["text"].tolist(), sample["lang"].tolist())
+    give_back()
+    return model
 
 
 def predictions(model: LanguageModel, texts: pa.Array):
@@ -247,7 +263,11 @@ def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: s
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, least: float, text: str = "text") -> DataFrame:
-    """Rows, whole, whose language is known with a score of ``least`` or more."""
+    """Rows, whole, whose language is known with a score of ``least`` or more.
+
+    Null and empty texts and those without a letter go. Repeated rows are judged alike, an empty
+    table stays empty, and no other column is looked at, whatever its name.
+    """
     bound_batches(docs.sparkSession)
     at = docs.columns.index(text)
 

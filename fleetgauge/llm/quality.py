@@ -391,7 +391,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     rows = rows.filter(F.octet_length("text").between(1, TRAINING_BYTES))
     # The chosen labels are at most 1.2 TRAINING_ROWS, so the texts need no shuffle.
-    rows = rows.join(F.broadcast(chosen), "key").limit(2 * TRAINING_ROWS)
+    # An id may be repeated: which of its rows are taken goes by their content.
+    rows = rows.join(F.broadcast(chosen), "key").orderBy(F.xxhash64("key"), F.xxhash64("text", "label")).limit(2 * TRAINING_ROWS)
     sample = rows.toPandas().sort_values(["key", "text", "label"])
     return QualityModel.fit(sample["text"].tolist(), sample["label"].tolist(), word_vectors(docs, text))
 
@@ -426,7 +427,11 @@ def assess(docs: DataFrame, model: QualityModel, key: str = "doc_id", text: str
 
 
 def keep_good(docs: DataFrame, model: QualityModel, text: str = "text") -> DataFrame:
-    """Rows, whole, with a score of GOOD or more."""
+    """Rows, whole, with a score of GOOD or more.
+
+    Null and empty texts are scored as texts without tokens. Repeated rows are judged alike, an
+    empty table stays empty, and no other column is looked at, whatever its name.
+    """
     bound_batches(docs.sparkSession)
     at = docs.columns.index(text)
 

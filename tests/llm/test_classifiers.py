@@ -1,11 +1,14 @@
 """Language, quality and licences: held-out accuracy and rows at the edges."""
 
+import zlib
+
 import numpy as np
 import pytest
 
 from fleetgauge.llm import language as L
 from fleetgauge.llm import licences as N
 from fleetgauge.llm import quality as Q
+from fleetgauge.llm import sampling as S
 from fleetgauge.llm.licence_texts import NO_TERMS, NOTICES
 from fleetgauge.llm.queries import op5_language_id, op8_quality_classifier
 
@@ -37,6 +40,35 @@ def test_language_edges(spark, docs):
     assert L.keep_identified(df, model, 0.0).columns == df.columns
 
 
+def test_a_rare_language_is_learnt(spark):
+    """One row in 5,000, and that a long one."""
+    drawn = np.random.default_rng(5)
+    words = {"en": "the of and to in is was for that with".split(), "de": "der die und das ist nicht ein mit auf von".split()}
+    rare = " ".join(drawn.choice("och att det som en pa ar av for med".split(), 30_000))
+    ids = [k for k in range(20_000) if zlib.crc32(str(k).encode()) % 4 != 2]
+    rows = [(k, " ".join(drawn.choice(words[lang], 12)), lang) for k in ids[:9998] for lang in [("en", "de")[k % 2]]]
+    rows += [(ids[9998], rare, "sv"), (ids[9999], rare[::-1], "xx"), (ids[9999], None, "yy"), (ids[9999], "", "zz")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = L.train(df)
+    test = spark.createDataFrame([(1, rare[:200]), (2, "der die das und"), (3, "that was the")], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred for r in L.identify(test, model).collect()} == {1: "sv", 2: "de", 3: "en"}
+    sample = S.training_rows(df, "doc_id", "text", "lang", 3000, 20_000).toPandas()
+    assert len(sample) == 1502 and sample["text"].str.len().max() == 20_000
+    again = S.training_rows(df.repartition(7), "doc_id", "text", "lang", 3000, 20_000).toPandas()
+    assert sorted(sample.itertuples(index=False)) == sorted(again.itertuples(index=False))
+
+
+def test_samples_of_very_large_tables(spark, monkeypatch):
+    """A share far below one in a million still draws rows, and as many as it should."""
+    assert int(1e-12 * S.PLACES) > 9_000_000
+    df = spark.range(50_000).withColumnRenamed("id", "doc_id")
+    first = [r.doc_id for r in S.sample_of(df, "doc_id", 500).collect()]
+    assert 400 < len(first) <= 600 and sorted(first) == sorted(r.doc_id for r in S.sample_of(df.repartition(5), "doc_id", 500).collect())
+    repeated = spark.createDataFrame([(1, k) for k in range(3000)], "doc_id long, v long")
+    one = sorted(r.v for r in S.sample_of(repeated, "doc_id", 3000).collect())
+    assert one == list(range(3000)) and S.sample_of(repeated.limit(0), "doc_id", 5).collect() == []
+
+
 def test_language_rounds():
     texts = [t * 12 for t in ("der die das und ist ", "the of and is to ", "le la les et est ", "el los las y es ", "i gatti sono qui ")]
     labels = ["de", "en", "fr", "es", "it"]
