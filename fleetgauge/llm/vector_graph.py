@@ -1,21 +1,23 @@
-"""Near-duplicate vectors through robust-pruned flat graphs.
+"""Near-duplicate vectors through a robust-pruned flat graph over overlapping shards.
 
 1. Centres come from a bounded sample. Every distinct vector goes to its nearest centres:
    the shards overlap, so close vectors share one almost always.
 2. In a shard each vector keeps, of its nearest ones, those that no kept one is much
-   nearer to (robust pruning), and a few drawn at random. The lists of both ends of a
-   link are united. Lists of different shards are not: each shard is searched by itself.
-3. Every vector searches greedily with a beam from the shard's medoids, and from itself
-   where it is in the graph. Then the search widens: neighbours of all that is in range
-   are looked at too, until nothing new is in range.
-4. All pairs of a task's vectors are looked at too, so that no shard misses a pair that another
-   one finds, and the first shard that both vectors share can count it for all.
-5. What is found is verified by the cosine in double precision.
+   nearer to (robust pruning). Its lists from all shards, and those that name it, are united
+   by key: one graph over the whole table.
+3. Every vector searches the graph greedily with a beam, from the medoids of each of its
+   shards and from itself. Then the search widens: neighbours of all that is in range are
+   looked at too, until nothing new is in range.
+4. The widening goes on beyond the shards: neighbours, by the united lists, of what is in
+   range and in no shard of the vector's own are looked at by joins, until there is nothing new.
+5. What is found is verified by the cosine in double precision; a pair found in several
+   shards counts once.
 6. Recall is audited on a bounded sample of vectors against all rows, by vector; if it is too
-   low, the shards are built again with more overlap, and at last all vectors are one shard.
+   low, the shards are built again with more overlap. Only if that is not enough either, every
+   pair is looked at, at a cost of the square of the rows.
 
-A shard that is too large for a task is cut into parts, and each pair of parts is
-searched, so nothing in it is left out.
+A shard that is too large for a task is cut into parts, and each pair of parts has lists
+and is searched, so nothing in it is left out.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,7 +39,7 @@ from fleetgauge.session import materialise
 # The sample that centres are fitted on, vectors for each centre, and the most centres.
 SAMPLE = 1 << 15
 PER_CENTRE = 300
-MOST_CENTRES = 1 << 11
+MOST_CENTRES = 1 << 12
 # Centres that a vector goes to; doubled up to MOST_OVERLAP while the audit finds too little.
 OVERLAP = 4
 MOST_OVERLAP = 16
@@ -100,13 +103,12 @@ def robust_prune(x: np.ndarray, points: np.ndarray, near: np.ndarray, degree: in
     return kept
 
 
-def flat_graph(x: np.ndarray) -> np.ndarray:
-    """Adjacency lists of the rows, -1 where a list is shorter than the longest."""
+def pruned_lists(x: np.ndarray) -> np.ndarray:
+    """The neighbours that each row keeps, -1 where they are fewer than DEGREE."""
     size = len(x)
     if size < 2:
         return np.full((size, 1), -1)
     nearest = min(NEAREST, size - 1)
-    lists = [np.random.default_rng(5).integers(0, size, (size, RANDOM_LINKS))]
     pruned = []
     for low in range(0, size, 512):
         points = x[low : low + 512]
@@ -115,9 +117,17 @@ def flat_graph(x: np.ndarray) -> np.ndarray:
         near = np.argpartition(-score, nearest - 1, axis=1)[:, :nearest]
         order = np.argsort(-np.take_along_axis(score, near, axis=1), axis=1, kind="stable")
         pruned.append(robust_prune(x, points, np.take_along_axis(near, order, axis=1), DEGREE, ALPHA))
-    lists = np.hstack([np.concatenate(pruned), *lists])
-    tail = np.repeat(np.arange(size), lists.shape[1])
-    head = lists.ravel()
+    return np.concatenate(pruned)
+
+
+def adjacency(size: int, tail: np.ndarray, head: np.ndarray) -> np.ndarray:
+    """Lists of the rows, -1 where one is shorter than the longest: links both ways, and a few drawn at random.
+
+    Random ones lead from one group to another, which pruned ones need not.
+    """
+    drawn = np.random.default_rng(5).integers(0, size, (size, RANDOM_LINKS)).ravel()
+    tail = np.concatenate([tail, np.repeat(np.arange(size), RANDOM_LINKS)])
+    head = np.concatenate([head, drawn])
     tail, head = tail[head >= 0], head[head >= 0]
     both = np.unique(np.concatenate([tail * size + head, head * size + tail]))
     tail, head = both // size, both % size
@@ -194,24 +204,9 @@ def search(
     return pairs // size, pairs % size
 
 
-def _close_pairs(x: np.ndarray, single: np.ndarray, here: np.ndarray, there: np.ndarray, least: float) -> np.ndarray:
-    """All unordered pairs of rows, one of ``here`` and one of ``there``, verified; two columns."""
-    same = here is there
-    own = single[there]
-    graph, centre = flat_graph(own), medoids(own)
-    pairs = []
-    for low in range(0, len(here), ABREAST):
-        rows = here[low : low + ABREAST]
-        starts = np.repeat(centre[None, :], len(rows), axis=0)
-        if same:
-            starts = np.hstack([starts, np.arange(low, low + len(rows))[:, None]])
-        q, found = search(own, graph, starts, single[rows], least - SLACK)
-        pairs.append(np.stack([rows[q], there[found]], axis=1))
-        q, found = np.nonzero(single[rows] @ own.T >= least - SLACK)
-        pairs.append(np.stack([rows[q], there[found]], axis=1))
-    pairs = np.concatenate(pairs)
-    pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-    pairs.sort(axis=1)
+def _verified(x: np.ndarray, pairs: np.ndarray, least: float) -> np.ndarray:
+    """Distinct unordered pairs of rows whose cosine is ``least`` or more; two columns."""
+    pairs = np.sort(pairs[pairs[:, 0] != pairs[:, 1]], axis=1)
     once = np.unique(pairs[:, 0] * len(x) + pairs[:, 1])
     pairs = np.stack([once // len(x), once % len(x)], axis=1)
     right = np.zeros(len(pairs), dtype=bool)
@@ -221,51 +216,128 @@ def _close_pairs(x: np.ndarray, single: np.ndarray, here: np.ndarray, there: np.
     return pairs[right]
 
 
-def _counted_here(shards: np.ndarray, pairs: np.ndarray, shard: int) -> np.ndarray:
-    """Whether ``shard`` is the first that both vectors of a pair are in."""
-    out = np.zeros(len(pairs), dtype=bool)
-    for low in range(0, len(pairs), 1 << 16):
-        a, b = shards[pairs[low : low + (1 << 16)]].swapaxes(0, 1)
-        common = (a[:, :, None] == b[:, None, :]).any(axis=2)
-        first = np.where(common, a, np.iinfo(np.int64).max).min(axis=1)
-        out[low : low + (1 << 16)] = first == shard
-    return out
+def _close_pairs(x: np.ndarray, graph: np.ndarray, here: np.ndarray, least: float) -> np.ndarray:
+    """Pairs that the rows of ``here`` find among all rows of the graph, verified."""
+    single = x.astype(np.float32)
+    centre, pairs = medoids(single), [np.zeros((0, 2), dtype=np.int64)]
+    for low in range(0, len(here), ABREAST):
+        rows = here[low : low + ABREAST]
+        starts = np.hstack([np.repeat(centre[None, :], len(rows), axis=0), rows[:, None]])
+        q, found = search(single, graph, starts, single[rows], least - SLACK)
+        pairs.append(np.stack([rows[q], found], axis=1))
+    return _verified(x, np.concatenate(pairs), least)
 
 
-def _shard_links(least: float) -> Callable:
-    """For each vector of a tile: copies it is linked with, counted once over all shards, and its local root."""
+def _every_pair(x: np.ndarray, here: np.ndarray, least: float) -> np.ndarray:
+    single, pairs = x.astype(np.float32), [np.zeros((0, 2), dtype=np.int64)]
+    for low in range(0, len(here), ABREAST):
+        rows = here[low : low + ABREAST]
+        q, found = np.nonzero(single[rows] @ single.T >= least - SLACK)
+        pairs.append(np.stack([rows[q], found], axis=1))
+    return _verified(x, np.concatenate(pairs), least)
+
+
+def _tiles_of(batches) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray, bool]]:
+    """Each tile's rows, their unit vectors, the rows of its first part, and whether it has one part only."""
+    for table in runs(batches, ["shard", "i", "j"]):
+        table = table.combine_chunks()
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        here = np.flatnonzero(table.column("part").to_numpy() == i)
+        if len(here) and table.num_rows > 1 and (i == j or len(here) < table.num_rows):
+            yield table, units(table.column("vector").combine_chunks()), here, i == j
+
+
+def _shard_lists(batches) -> Iterator[pa.RecordBatch]:
+    """Each vector's pruned neighbours in each tile it is in."""
+    for table, x, _, _ in _tiles_of(batches):
+        lists = pruned_lists(x.astype(np.float32))
+        key = table.column("key").combine_chunks()
+        bounds = np.concatenate([[0], np.cumsum((lists >= 0).sum(axis=1))]).astype(np.int32)
+        near = pa.ListArray.from_arrays(pa.array(bounds), key.take(pa.array(lists[lists >= 0])))
+        yield pa.RecordBatch.from_arrays([key, near], names=["key", "near"])
+
+
+def _shard_pairs(least: float, every: bool) -> Callable:
+    """Pairs of linked vectors of each tile, the copies of both, and, with a null ``b``, each vector's root there."""
 
     def run(batches):
-        for table in runs(batches, ["shard", "i", "j"]):
-            table = table.combine_chunks()
-            x = units(table.column("vector").combine_chunks())
-            single = x.astype(np.float32)
-            i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-            part = table.column("part").to_numpy()
-            here = np.flatnonzero(part == i)
-            there = here if i == j else np.flatnonzero(part == j)
-            if not len(here) or not len(there) or len(x) < 2:
+        for table, x, here, alone in _tiles_of(batches):
+            key = table.column("key").combine_chunks()
+            if every:
+                pairs = _every_pair(x, here, least)
+            else:
+                near = table.column("near").combine_chunks().fill_null([])
+                tail = np.repeat(np.arange(len(x)), pc.list_value_length(near).to_numpy(zero_copy_only=False).astype(np.int64))
+                head = pc.index_in(near.flatten(), value_set=key).fill_null(-1).to_numpy().astype(np.int64)
+                pairs = _close_pairs(x, adjacency(len(x), tail, head), here, least)
+            if not alone:
+                # Pairs inside a part are its own tile's.
+                first = np.zeros(len(x), dtype=bool)
+                first[here] = True
+                pairs = pairs[first[pairs[:, 0]] != first[pairs[:, 1]]]
+            if not len(pairs):
                 continue
-            pairs = _close_pairs(x, single, here, there, least)
-            shards = table.column("shards").combine_chunks().flatten().to_numpy().reshape(len(x), -1)
-            copies = table.column("copies").to_numpy()
-            links = np.zeros(len(x), dtype=np.int64)
-            own = pairs[_counted_here(shards, pairs, table.column("shard")[0].as_py())]
-            np.add.at(links, own[:, 0], copies[own[:, 1]])
-            np.add.at(links, own[:, 1], copies[own[:, 0]])
             roots = Roots(len(x))
             roots.join(pairs[:, 0], pairs[:, 1])
-            key = table.column("key").combine_chunks()
-            told = np.flatnonzero((links > 0) | (roots.of != np.arange(len(x))))
-            if len(told):
-                yield pa.RecordBatch.from_arrays(
-                    [key.take(pa.array(told)), key.take(pa.array(roots.of[told])), pa.array(links[told])],
-                    names=["key", "root", "links"],
-                )
+            told = np.flatnonzero(roots.of != np.arange(len(x)))
+            copies = table.column("copies").to_numpy()
+            a, b = (key.take(pa.array(side)) for side in pairs.T)
+            yield pa.RecordBatch.from_arrays(
+                [a, b, pa.array(copies[pairs[:, 0]]), pa.array(copies[pairs[:, 1]]), pa.nulls(len(a), key.type)], names=PAIR
+            )
+            none = pa.nulls(len(told), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [key.take(pa.array(told)), pa.nulls(len(told), key.type), none, none, key.take(pa.array(roots.of[told]))], names=PAIR
+            )
 
     return run
 
 
+PAIR = ["a", "b", "a_copies", "b_copies", "root"]
+
+
+def _beyond(least: float, names: list[str]) -> Callable:
+    """Those of given pairs whose vectors are close enough."""
+
+    def run(batches):
+        for batch in batches:
+            x, y = units(batch.column("a_vector")), units(batch.column("b_vector"))
+            keep = pa.array(np.einsum("ij,ij->i", x, y) >= least)
+            yield batch.select(names).filter(keep)
+
+    return run
+
+
+def _widened(pairs: DataFrame, near: DataFrame, homes: DataFrame, vectors: DataFrame, least: float) -> DataFrame:
+    """Pairs of vectors without a common shard that the united lists lead to from what is in range.
+
+    Each round looks at the neighbours of the vectors found in the last one. Pairs with a common
+    shard were met there.
+    """
+    shards = homes.filter(F.col("shard") == F.get("shards", F.lit(0))).select("key", "shards")
+    kind = vectors.schema["key"].dataType
+    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind), *T.StructType.fromDDL("a_copies long, b_copies long")])
+    front, out = pairs.select("a", "b"), None
+    while True:
+        both = front.unionByName(front.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        ahead = both.join(near.withColumnRenamed("key", "b"), "b").select("a", F.explode("near").alias("b"))
+        ahead = ahead.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
+        for side in ("a", "b"):
+            ahead = ahead.join(shards.toDF(side, f"{side}_shards"), side)
+        ahead = ahead.filter(~F.arrays_overlap("a_shards", "b_shards")).select("a", "b")
+        if out is not None:
+            ahead = ahead.join(out, ["a", "b"], "left_anti")
+        for side in ("a", "b"):
+            own = vectors.select(F.col("key").alias(side), F.col("vector").alias(f"{side}_vector"), F.col("copies").alias(f"{side}_copies"))
+            ahead = ahead.join(own, side)
+        fresh = ahead.select("a", "b", "a_copies", "b_copies", "a_vector", "b_vector").mapInArrow(_beyond(least, schema.names), schema)
+        fresh = materialise(fresh, "beyond")
+        if fresh.isEmpty():
+            return fresh if out is None else out
+        out = fresh if out is None else materialise(out.unionByName(fresh), "beyond")
+        front = fresh.select("a", "b")
+
+
 def _assigned(centres: np.ndarray, overlap: int) -> Callable:
     """A row for each vector and shard, with all the vector's shards in ascending order."""
 
@@ -304,7 +376,9 @@ def audit_recall(vectors: DataFrame, links: DataFrame, least: float) -> float:
     """
     sample = sample_of(vectors.select("key", "vector", "copies"), "key", AUDITED).toArrow()
     if not sample.num_rows:
-        return 1.0
+        if vectors.isEmpty():
+            return 1.0
+        raise ValueError("an audit needs vectors to look at")
     queries = units(sample.column("vector").combine_chunks())
     counted = vectors.select("vector", "copies").mapInArrow(_true_links(queries, least), "query long, links long")
     there = {r[0]: r[1] for r in counted.groupBy("query").agg(F.sum("links")).collect()}
@@ -322,24 +396,40 @@ def _linked(vectors: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
     count = vectors.count()
     sample = units(sample_of(vectors.select("key", "vector"), "key", SAMPLE).toArrow().column("vector").combine_chunks(), np.float32)
     centres = _centres(sample, int(min(max(count // PER_CENTRE, 1), MOST_CENTRES, max(len(sample) // 8, 1))))
-    schema = T.StructType([vectors.schema["key"], *T.StructType.fromDDL("shard long, shards array<long>").fields])
-    overlap = OVERLAP
+    kind = vectors.schema["key"].dataType
+    shard = T.StructType([vectors.schema["key"], *T.StructType.fromDDL("shard long, shards array<long>").fields])
+    listed = T.StructType([T.StructField("key", kind), T.StructField("near", T.ArrayType(kind))])
+    told = T.StructType(
+        [T.StructField("a", kind), T.StructField("b", kind), *T.StructType.fromDDL("a_copies long, b_copies long"), T.StructField("root", kind)]
+    )
+    overlap, every = OVERLAP, False
     while True:
-        homes = vectors.select("key", "vector").mapInArrow(_assigned(centres, overlap), schema)
+        homes = vectors.select("key", "vector").mapInArrow(_assigned(centres, overlap), shard)
         homes = materialise(homes, "shards")
-        found = tiles(homes.withColumn("load", F.lit(1)), ["shard"], "key", PART).join(vectors, "key")
-        found = laid_out(found, ["shard"], "key")
-        kind = vectors.schema["key"].dataType
-        told = T.StructType([T.StructField("key", kind), T.StructField("root", kind), T.StructField("links", T.LongType())])
-        found = materialise(found.mapInArrow(_shard_links(least), told), "found")
-        links = found.groupBy("key").agg(F.sum("links").alias("links"))
-        # Vectors that are in all shards have met all others.
-        if overlap >= len(centres) or audit_recall(vectors, links, least) >= RECALL:
-            return links, found.filter("key != root").select("key", "root")
-        if overlap < MOST_OVERLAP:
+        dealt = tiles(homes.select("key", "shard").withColumn("load", F.lit(1)), ["shard"], "key", PART).join(vectors, "key")
+        if every:
+            found = laid_out(dealt, ["shard"], "key")
+        else:
+            lists = laid_out(dealt, ["shard"], "key").mapInArrow(_shard_lists, listed)
+            # The graph of the whole table: a vector's neighbours from all its shards.
+            near = lists.groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
+            near = materialise(near, "lists")
+            found = laid_out(dealt.join(near, "key", "left"), ["shard"], "key")
+        found = materialise(found.mapInArrow(_shard_pairs(least, every), told), "found")
+        pairs = found.filter("b is not null").drop("root").distinct()
+        roots = found.filter("b is null").select(F.col("a").alias("key"), "root")
+        if not every and overlap < len(centres):
+            more = _widened(pairs, near, homes, vectors, least)
+            pairs = pairs.unionByName(more)
+            roots = roots.unionByName(more.select(F.col("b").alias("key"), F.col("a").alias("root")))
+        ends = [pairs.select(F.col(a).alias("key"), F.col(f"{b}_copies").alias("copies")) for a, b in ("ab", "ba")]
+        links = materialise(ends[0].unionByName(ends[1]).groupBy("key").agg(F.sum("copies").alias("links")), "links")
+        if every or audit_recall(vectors, links, least) >= RECALL:
+            return links, roots
+        if overlap < min(MOST_OVERLAP, len(centres)):
             overlap *= 2
         else:
-            centres, overlap = centres[:1], 1
+            centres, overlap, every = centres[:1], 1, True
 
 
 def valid(vector: str) -> Column:

@@ -59,15 +59,68 @@ def test_edge_rows(spark):
     assert len(V.near_duplicates(df.filter("vec_id = 3")).collect()) == 1
 
 
-def test_a_tile_finds_what_its_graph_misses(monkeypatch):
+def _frame(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+
+
+def test_all_comes_through_the_search(monkeypatch):
+    """A task finds nothing but what its search of the graph leads to."""
+    rows = sorted(_groups(40, 9))
+    names = ["key", "shard", "i", "j", "part", "vector", "copies"]
+    columns = [V.pa.array([k for k, _ in rows]), *[V.pa.array([0] * len(rows))] * 4, V.pa.array([v for _, v in rows]), V.pa.array([1] * len(rows))]
+    tile = V.pa.RecordBatch.from_arrays(columns, names=names)
+    near = {k: n for batch in V._shard_lists([tile]) for k, n in zip(*[c.to_pylist() for c in batch.columns])}
+    tile = tile.append_column("near", V.pa.array([near[k] for k, _ in rows]))
+    links, _ = _brute(rows)
+    found = [r for batch in V._shard_pairs(0.9, False)([tile]) for r in batch.to_pylist()]
+    assert sum(r["b"] is not None for r in found) >= 0.98 * sum(links.values()) / 2 > 50
     none = np.zeros(0, dtype=np.int64)
     monkeypatch.setattr(V, "search", lambda *_: (none, none))
+    assert list(V._shard_pairs(0.9, False)([tile])) == []
+
+
+@pytest.mark.parametrize("part", [2048, 60])
+def test_recall_over_the_borders_of_shards(spark, monkeypatch, part):
+    """Small shards with little overlap: groups lie across their borders, and lists of all shards are united."""
+    monkeypatch.setattr(V, "PART", part)
+    monkeypatch.setattr(V, "PER_CENTRE", 25)
+    monkeypatch.setattr(V, "OVERLAP", 2)
+    monkeypatch.setattr(V, "MOST_OVERLAP", 2)
+    monkeypatch.setattr(V, "RECALL", 0.0)
+    rows = _groups(150, 14, width=24, seed=8)
+    got = {r.vec_id: r for r in V.near_duplicates(_frame(spark, rows)).collect()}
+    links, home = _brute(rows)
+    assert sum(links.values()) > 3000
+    shares = [got[k].n_links / links[k] for k in links if links[k]]
+    assert all(got[k].n_links <= links[k] for k in links) and np.mean(shares) >= 0.98
+    assert np.mean([got[k].component_id == home[k] for k in home]) >= 0.98
+
+
+def test_widening_goes_beyond_the_shards(spark):
+    """a and c share no shard; both are in range of b, whose list names c."""
+    key = "key long, vector array<float>, copies long"
+    angles = {1: 0.0, 2: 0.2, 3: 0.4, 4: 0.6}
+    vectors = spark.createDataFrame([(k, [float(np.cos(t)), float(np.sin(t))], k) for k, t in angles.items()], key)
+    homes = spark.createDataFrame([(1, 0, [0]), (2, 0, [0, 1]), (2, 1, [0, 1]), (3, 1, [1, 2]), (3, 2, [1, 2]), (4, 2, [2])], "key long, shard long, shards array<long>")
+    near = spark.createDataFrame([(1, [2]), (2, [1, 3]), (3, [2, 4]), (4, [3])], "key long, near array<long>")
+    pairs = spark.createDataFrame([(1, 2), (2, 3), (3, 4)], "a long, b long")
+    found = {(r.a, r.b, r.a_copies, r.b_copies) for r in V._widened(pairs, near, homes, vectors, float(np.cos(0.45))).collect()}
+    assert found == {(1, 3, 1, 3), (2, 4, 2, 4)}
+    # What is found in one round is gone on from in the next.
+    found = {(r.a, r.b) for r in V._widened(pairs, near, homes, vectors, float(np.cos(0.65))).collect()}
+    assert found == {(1, 3), (2, 4), (1, 4)}
+
+
+def test_lists_are_pruned():
     drawn = np.random.default_rng(9)
-    x = np.repeat(drawn.normal(size=(900, 64)), 2, axis=0) + drawn.normal(size=(1800, 64)) * 0.1
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    here, there = np.arange(0, 1800, 2), np.arange(1, 1800, 2)
-    pairs = V._close_pairs(x, x.astype(np.float32), here, there, 0.9)
-    assert len(pairs) == (x[here] @ x[there].T >= 0.9).sum()
+    x = np.repeat(drawn.normal(size=(300, 16)), 3, axis=0) + drawn.normal(size=(900, 16)) * 0.05
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    lists = V.pruned_lists(x)
+    assert lists.shape == (900, V.DEGREE) and (lists != np.arange(900)[:, None]).all()
+    assert ((lists >= 0).sum(axis=1) >= 1).all() and (lists < 0).any()
+    score = x @ x.T
+    np.fill_diagonal(score, -1)
+    assert (lists[:, 0] == score.argmax(axis=1)).all()
 
 
 def test_audit_sees_lost_small_groups(spark):
