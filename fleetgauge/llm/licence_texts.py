@@ -9,6 +9,8 @@ from __future__ import annotations
 
 NOTICES: dict[str, tuple[str, ...]] = {
     "mit": (
+        "SPDX-License-Identifier: MIT",
+        "Released under MIT.",
         "MIT License",
         "Distributed under the MIT licence.",
         "Released under the MIT License.",
@@ -22,6 +24,7 @@ NOTICES: dict[str, tuple[str, ...]] = {
         "the Software.",
     ),
     "apache": (
+        "SPDX-License-Identifier: Apache-2.0",
         "Apache License",
         "Apache 2.0",
         "Licensed under the Apache License, Version 2.0.",
@@ -32,6 +35,7 @@ NOTICES: dict[str, tuple[str, ...]] = {
         "an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
     ),
     "gpl": (
+        "SPDX-License-Identifier: GPL-3.0-or-later",
         "GNU General Public License",
         "This code is under the GPL version 2.",
         "GNU GPL",
@@ -44,6 +48,7 @@ NOTICES: dict[str, tuple[str, ...]] = {
         "You should have received a copy of the GNU General Public License along with this program.",
     ),
     "lgpl": (
+        "SPDX-License-Identifier: LGPL-2.1-only",
         "GNU Lesser General Public License",
         "This code is under the LGPL version 2.1.",
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
@@ -52,6 +57,7 @@ NOTICES: dict[str, tuple[str, ...]] = {
         "Released under the LGPL.",
     ),
     "agpl": (
+        "SPDX-License-Identifier: AGPL-3.0-only",
         "GNU Affero General Public License",
         "This code is under the AGPL version 3.",
         "This work is licensed under the GNU Affero General Public License, version 3.",
@@ -60,6 +66,7 @@ NOTICES: dict[str, tuple[str, ...]] = {
         "Released under the AGPL.",
     ),
     "bsd": (
+        "SPDX-License-Identifier: BSD-3-Clause",
         "BSD License",
         "Distributed under the BSD licence.",
         "Released under the BSD License.",
@@ -70,36 +77,43 @@ NOTICES: dict[str, tuple[str, ...]] = {
         "disclaimer.",
     ),
     "mpl": (
+        "SPDX-License-Identifier: MPL-2.0",
         "Mozilla Public License",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License, version 2.0.",
         "Released under the MPL 2.0.",
     ),
     "epl": (
+        "SPDX-License-Identifier: EPL-2.0",
         "Eclipse Public License",
         "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",
         "Licensed under the Eclipse Public License, version 1.0.",
     ),
     "isc": (
+        "SPDX-License-Identifier: ISC",
         "ISC License",
         "Licensed under the ISC License.",
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
         "granted, provided that the above copyright notice and this permission notice appear in all copies.",
     ),
     "cc-by": (
+        "SPDX-License-Identifier: CC-BY-4.0",
         "Creative Commons Attribution",
         "Licensed under CC BY 4.0.",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     ),
     "cc-by-sa": (
+        "SPDX-License-Identifier: CC-BY-SA-4.0",
         "Licensed under CC BY-SA 4.0.",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     ),
     "cc-by-nc": (
+        "SPDX-License-Identifier: CC-BY-NC-4.0",
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ),
     "cc-by-nd": (
+        "SPDX-License-Identifier: CC-BY-ND-4.0",
         "Licensed under CC BY-ND 4.0.",
         "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
     ),

@@ -7,8 +7,12 @@ families, an unknown family and no licence at all, trained on the notices of
 variants it has not seen. A family it predicts must then be like one of that family's
 notices, word pair by word pair, or the paragraph counts as of unknown family.
 
-Only windows that hold a word of the notices can score for a licence, as every feature
-has one; other windows are passed over without a change in result.
+Every other family that has a word of its own in the window, and a notice nearly all of
+whose word pairs are there, is found with it: works may be under several licences.
+
+Only windows that hold an anchor, a word that speaks for a licence, can score for one, as
+every feature has one; other windows are passed over without a change in result. ``mit`` is
+an anchor only beside words of licensing, being a word of everyday German.
 """
 
 from __future__ import annotations
@@ -32,6 +36,8 @@ UNKNOWN, NONE = "unknown", "none"
 WINDOW = 64
 SURE = 0.5
 ALIKE = 0.4
+# The likeness by which a family is found that the classifier did not put first.
+CONFIRMED = 0.75
 RUNS = (1, 2, 3)
 VARIANTS = 24
 # Words too common to speak for a licence.
@@ -43,6 +49,10 @@ COMMON = frozenset(
     "mit only under version released published use used using source sold subject provided available agreed kind either "
     "first form forms free house hours large letter made man means members month general public".split()
 )
+# Words before and after the one licence whose name is a common word.
+BEFORE_NAME = frozenset("under the license licence licensed identifier or and".split())
+AFTER_NAME = frozenset("license licence licensed".split())
+COMMON_NAME = "mit"
 _TOKEN = re.compile(r"[^\W\d_]+|\d+")
 _LETTERS = np.zeros(256, dtype=np.uint8)
 _LETTERS[0x80:] = 1
@@ -50,8 +60,18 @@ _LETTERS[ord("a") : ord("z") + 1] = _LETTERS[ord("A") : ord("Z") + 1] = 1
 _LETTERS[ord("0") : ord("9") + 1] = 2
 
 
+def named(words: list[str]) -> list[str]:
+    """The words, those that name a licence by a common word marked as names."""
+    for k, word in enumerate(words):
+        if word == COMMON_NAME:
+            before, after = words[k - 1] if k else "", words[k + 1] if k + 1 < len(words) else ""
+            if after in AFTER_NAME or before in BEFORE_NAME:
+                words[k] = f"{word}!"
+    return words
+
+
 def tokens(text: str) -> list[str]:
-    return [t.lower() for t in _TOKEN.findall(text)]
+    return named([t.lower() for t in _TOKEN.findall(text)])
 
 
 def is_anchor(token: str) -> bool:
@@ -95,6 +115,8 @@ class LicenceModel:
     bias: np.ndarray
     temperature: float
     notices: dict[str, list[Counter]]
+    # Words that only one family's notices have.
+    own: dict[str, frozenset[str]]
 
     @classmethod
     def train(cls) -> LicenceModel:
@@ -109,7 +131,9 @@ class LicenceModel:
         anchors = frozenset(w for label, own in labelled if label != NONE for w in own if is_anchor(w))
         counted = [features(words, anchors) for _, words in rows]
         vocabulary = {f: k for k, f in enumerate(sorted(set().union(*counted)))}
-        model = cls(classes, anchors, vocabulary, None, None, 1.0, {})
+        said = {label: {w for family, own in labelled if family == label for w in own} for label in classes}
+        alone = {f: frozenset(w for w in said[f] & anchors if sum(w in other for other in said.values()) == 1) for f in NOTICES}
+        model = cls(classes, anchors, vocabulary, None, None, 1.0, {}, alone)
         model.notices = {f: [_pairs(tokens(t)) for t in notices] for f, notices in NOTICES.items()}
         model.notices[UNKNOWN] = [_pairs(tokens(t)) for t in OTHER_TERMS] + sum(model.notices.values(), [])
         x = model._matrix(counted)
@@ -145,7 +169,11 @@ class LicenceModel:
         self.weights, self.bias = w, bias
 
     def judge(self, windows: Sequence[Sequence[str]]) -> list[tuple[str, float, float]]:
-        """Family, probability of it and likeness to its nearest notice, for each window of words."""
+        """The first family of each window, its probability and likeness to its nearest notice."""
+        return [found[0] for found in self.judge_all(windows)]
+
+    def judge_all(self, windows: Sequence[Sequence[str]]) -> list[list[tuple[str, float, float]]]:
+        """Every family that a window of words names, the likeliest first; or that it names none."""
         out = []
         for low in range(0, len(windows), 256):
             part = windows[low : low + 256]
@@ -159,7 +187,17 @@ class LicenceModel:
                     licence = 1 - float(own[self.classes.index(NONE)])
                     like = max((alike(words, n) for n in self.notices[UNKNOWN]), default=0.0)
                     family, sure = (UNKNOWN, licence) if licence >= SURE and like >= ALIKE else (NONE, 1 - licence)
-                out.append((family, sure, like))
+                found = [(family, sure, like)]
+                words_here = set(words)
+                for k, other in enumerate(NOTICES):
+                    if other != family and self.own[other] & words_here:
+                        near = max(alike(words, n) for n in self.notices[other])
+                        if near >= CONFIRMED:
+                            found.append((other, float(own[k]), near))
+                if len(found) > 1 and family in (UNKNOWN, NONE):
+                    # What is confirmed by its notice is neither unknown nor nothing.
+                    del found[0]
+                out.append(found)
         return out
 
 
@@ -184,11 +222,13 @@ def trained() -> LicenceModel:
     return LicenceModel.train()
 
 
+def _hashes(words: Sequence[str]) -> np.ndarray:
+    return W.run_hashes(*W.text_buffers(pa.array(words)), _LETTERS, fold_case=True)[0]
+
+
 @lru_cache(maxsize=1)
 def _anchor_hashes() -> np.ndarray:
-    words = sorted(trained().anchors)
-    hashes, _ = W.run_hashes(*W.text_buffers(pa.array(words)), _LETTERS, fold_case=True)
-    return np.sort(hashes)
+    return np.sort(_hashes(sorted(w for w in trained().anchors if not w.endswith("!"))))
 
 
 def _with_anchors(texts: pa.Array) -> np.ndarray:
@@ -197,7 +237,13 @@ def _with_anchors(texts: pa.Array) -> np.ndarray:
     table = _anchor_hashes()
     for low, high in W.slices(texts, 1 << 20):
         hashes, bounds = W.run_hashes(*W.text_buffers(texts.slice(low, high - low)), _LETTERS, fold_case=True)
-        hits = np.concatenate([[0], np.cumsum(table[np.minimum(np.searchsorted(table, hashes), len(table) - 1)] == hashes)])
+        hit = table[np.minimum(np.searchsorted(table, hashes), len(table) - 1)] == hashes
+        # A name that is a common word counts beside its words; texts' edges only let too much through.
+        is_name = np.flatnonzero(hashes == _hashes([COMMON_NAME])[0])
+        if len(is_name):
+            before, after = hashes[np.maximum(is_name - 1, 0)], hashes[np.minimum(is_name + 1, len(hashes) - 1)]
+            hit[is_name] = np.isin(before, _hashes(sorted(BEFORE_NAME))) | np.isin(after, _hashes(sorted(AFTER_NAME)))
+        hits = np.concatenate([[0], np.cumsum(hit)])
         found[low:high] = hits[bounds[1:]] > hits[bounds[:-1]]
     return found
 
@@ -213,6 +259,7 @@ def findings(text: str, model: LicenceModel) -> list[tuple[int, int, int, str, f
     at = 0
     for number, line in enumerate(text.split("\n")):
         words = [(m.group().lower(), m.start(), m.end()) for m in _TOKEN.finditer(line)]
+        words = [(w, *place) for w, (_, *place) in zip(named([w[0] for w in words]), words)]
         flags = [w[0] in model.anchors for w in words]
         if any(flags):
             for low in range(0, max(len(words) - WINDOW // 2, 1), WINDOW // 2):
@@ -222,7 +269,8 @@ def findings(text: str, model: LicenceModel) -> list[tuple[int, int, int, str, f
                     places.append((number, at + own[0][1], at + own[-1][2]))
         at += len(line) + 1
     found, last = [], {}
-    for (number, start, end), (family, sure, like) in zip(places, model.judge(windows)):
+    judged = [(place, one) for place, every in zip(places, model.judge_all(windows)) for one in every]
+    for (number, start, end), (family, sure, like) in judged:
         if family == NONE:
             continue
         at = last.get((number, family))

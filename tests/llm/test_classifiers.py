@@ -173,3 +173,43 @@ def test_every_notice_of_a_line_is_found():
     spans = [k for k in range(len(text)) if text.startswith(notice[:-1], k)]
     assert len(spans) == 3 == len(found)
     assert all(any(s <= k and k + len(notice) - 1 <= e for _, s, e, *_ in found) for k in spans)
+
+
+@pytest.mark.parametrize(
+    "text, families",
+    [
+        ("Released under MIT.", {"mit"}),
+        ("SPDX-License-Identifier: MIT", {"mit"}),
+        ("SPDX-License-Identifier: Apache-2.0", {"apache"}),
+        ("Licensed under the MIT License or the Apache License, Version 2.0, at your option.", {"mit", "apache"}),
+        ("Das Haus mit dem Garten und der Hund mit der Katze", set()),
+        ("Er kam mit und lief mit ihr durch die Stadt, mit Mut und mit Kraft", set()),
+        ("MIT", set()),
+    ],
+)
+def test_names_and_several_licences(spark, text, families):
+    filler = " ".join(["the river ran past the old mill and the garden"] * 4)
+    df = spark.createDataFrame([(1, text), (2, f"{filler}\n{text}\n{filler}")], "doc_id long, text string")
+    got = N.scan(df).collect()
+    for doc in (1, 2):
+        assert {r.family for r in got if r.doc_id == doc} == families
+
+
+def test_every_window_and_family_without_a_prefilter(spark):
+    """What the anchors pass over holds no licence, on whole tables."""
+    model = N.trained()
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    got = {}
+    for r in N.scan(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, set()).add((r.paragraph, r.family))
+    passed = 0
+    for doc, text in texts.items():
+        want = set()
+        for number, line in enumerate(text.split("\n")):
+            words = N.tokens(line)
+            windows = [words[low : low + N.WINDOW] for low in range(0, max(len(words) - N.WINDOW // 2, 1), N.WINDOW // 2)]
+            for window, every in zip(windows, model.judge_all(windows)):
+                want |= {(number, family) for family, *_ in every if family != N.NONE}
+                passed += not any(w in model.anchors for w in window)
+        assert got.get(doc, set()) == want
+    assert got and passed > 1000
