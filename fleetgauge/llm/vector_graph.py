@@ -312,7 +312,8 @@ def _widened(pairs: DataFrame, near: DataFrame, homes: DataFrame, vectors: DataF
     """Pairs of vectors without a common shard that the united lists lead to from what is in range.
 
     Each round looks at the neighbours of the vectors found in the last one. Pairs with a common
-    shard were met there.
+    shard were met there. Whether any is left is first asked for all vectors of the same
+    shards at once: in a dense group they are many, and hardly any has a neighbour beyond.
     """
     shards = homes.filter(F.col("shard") == F.get("shards", F.lit(0))).select("key", "shards")
     kind = vectors.schema["key"].dataType
@@ -320,11 +321,12 @@ def _widened(pairs: DataFrame, near: DataFrame, homes: DataFrame, vectors: DataF
     front, out = pairs.select("a", "b"), None
     while True:
         both = front.unionByName(front.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        ahead = both.join(near.withColumnRenamed("key", "b"), "b").select("a", F.explode("near").alias("b"))
-        ahead = ahead.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
-        for side in ("a", "b"):
-            ahead = ahead.join(shards.toDF(side, f"{side}_shards"), side)
-        ahead = ahead.filter(~F.arrays_overlap("a_shards", "b_shards")).select("a", "b")
+        both = both.join(shards.toDF("a", "a_shards"), "a")
+        ways = both.select("a_shards", "b").distinct().join(near.withColumnRenamed("key", "b"), "b")
+        ways = ways.select("a_shards", "b", F.explode("near").alias("c")).join(shards.toDF("c", "c_shards"), "c")
+        ways = materialise(ways.filter(~F.arrays_overlap("a_shards", "c_shards")).select("a_shards", "b", "c"), "ways")
+        ahead = both.join(ways, ["a_shards", "b"])
+        ahead = ahead.select(F.least("a", "c").alias("a"), F.greatest("a", "c").alias("b")).distinct()
         if out is not None:
             ahead = ahead.join(out, ["a", "b"], "left_anti")
         for side in ("a", "b"):
@@ -416,7 +418,7 @@ def _linked(vectors: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
             near = materialise(near, "lists")
             found = laid_out(dealt.join(near, "key", "left"), ["shard"], "key")
         found = materialise(found.mapInArrow(_shard_pairs(least, every), told), "found")
-        pairs = found.filter("b is not null").drop("root").distinct()
+        pairs = materialise(found.filter("b is not null").drop("root").distinct(), "pairs")
         roots = found.filter("b is null").select(F.col("a").alias("key"), "root")
         if not every and overlap < len(centres):
             more = _widened(pairs, near, homes, vectors, least)
