@@ -1,8 +1,13 @@
 """The stages and the registered queries."""
 
 import random
+import zlib
 
+import numpy as np
+import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline as C
@@ -55,6 +60,31 @@ def test_run(spark, sf_dir):
     for r in rows:
         spans.setdefault(r.sequence_id, []).append((r.offset, r.length))
     assert all(sum(n for _, n in s) <= 2048 for s in spans.values())
+    # The pieces of a document, put together, are its tokens and the one that ends it.
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    pieces = {}
+    for r in rows:
+        pieces.setdefault(r.doc_id, []).append(r)
+    for doc in sorted(pieces)[:60]:
+        ids = np.array([*library.encode(texts[doc] or "", add_special_tokens=False).ids, 1], "<u4")
+        at = 0
+        for r in sorted(pieces[doc], key=lambda r: r.start):
+            assert r.start == at and r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(ids[at : at + r.length].tobytes())
+            at += r.length
+        assert at == len(ids)
+
+
+def test_other_columns_may_have_any_name(spark, sf_dir):
+    """Names that the stages use inside come through unchanged."""
+    names = ["key", "label", "score", "component_id", "shingle", "leader", "c0", "row", "piece", "sequence_id", "offset", "_place"]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(80)
+    more = docs.select("*", *[F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")).alias(n) for n in names])
+    for _, stage in C.STAGES[:-1]:
+        got = {r.doc_id: r for r in stage(spark, more, sf_dir).collect()}
+        assert set(got) == {r.doc_id for r in stage(spark, docs, sf_dir).collect()}
+        assert all(r[n] == f"{n} {k}" for k, r in got.items() for n in names)
+    assert C.packing(spark, more, sf_dir).count() == C.packing(spark, docs, sf_dir).count()
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle()))
@@ -70,4 +100,4 @@ def test_query_matches_sql(name, spark, sf_dir, duck):
 
 def test_all_are_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14)) and "pipeline" in entry.queries()
