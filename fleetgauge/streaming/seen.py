@@ -4,6 +4,9 @@ Copies of a reading have the same event time, so they belong to the same hour, h
 much later they arrive. Each stored hour has a Bloom filter. A batch asks the filters of
 its hours; only keys that may be known are looked up, and only in their own hours. What
 the stream keeps in memory is nothing; what it keeps on storage is one filter an hour.
+
+Rows are stored in a folder for each day, sorted by hour, so that a batch with readings of
+many hours does not leave a small file for each.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from fleetgauge.operators.bloom import FILTER_BITS, build_filters, filter_schema
 from fleetgauge.operators.latest import IDENTITY, first_per_group, with_identity
 from fleetgauge.streaming.stores import MergeStore
 
-HOUR = "event_hour"
+HOUR, DAY = "event_hour", "event_day"
 # Rows without an event time are told apart by content, under an hour of their own.
 NO_HOUR = "none"
 # Hours that are named one by one when they are read; beyond it they are joined.
@@ -36,11 +39,15 @@ def filter_store(base: str, bits: int = FILTER_BITS) -> MergeStore:
 
 
 def stored_rows(spark: SparkSession, base: str, hours: Sequence[str] | None = None) -> DataFrame:
-    """What the stream has kept, with ``event_hour`` and ``batch_id``; of the hours named, if any are."""
-    paths = [f"{base}/table/batch_id=*/{HOUR}={h}" for h in hours] if hours else [f"{base}/table"]
-    # Spark would read an hour's name as a number.
-    rows = spark.read.option("basePath", f"{base}/table").parquet(*paths)
-    return rows.withColumns({HOUR: F.col(HOUR).cast("string"), "batch_id": F.col("batch_id").cast("bigint")})
+    """What the stream has kept, with ``event_hour`` and ``batch_id``; of the hours named, if any are.
+
+    Only the folders of their days are listed, and of those only the row groups that hold them are read.
+    """
+    days = sorted({h[:8] for h in hours or ()})
+    paths = [f"{base}/table/batch_id=*/{DAY}={day}" for day in days] or [f"{base}/table"]
+    rows = spark.read.option("basePath", f"{base}/table").parquet(*paths).drop(DAY)
+    rows = rows.withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    return rows.filter(F.col(HOUR).isin(*hours)) if hours else rows
 
 
 def seen_batch(
@@ -68,12 +75,13 @@ def seen_batch(
                 known = with_identity(known.filter(F.col("batch_id") < batch_id)).select(HOUR, *IDENTITY)
                 copies = _joined(maybe, known, "left_semi")
                 fresh = _joined(rows, copies, "left_anti")
-            fresh = fresh.select(*batch.columns, HOUR).hint("rebalance", HOUR)
+            fresh = fresh.select(*batch.columns, HOUR, F.substring(HOUR, 1, 8).alias(DAY))
             folder = f"{base}/table/batch_id={batch_id}"
-            fresh.write.mode("overwrite").partitionBy(HOUR).parquet(folder)
+            dealt = fresh.hint("rebalance", DAY).sortWithinPartitions(DAY, HOUR)
+            dealt.write.mode("overwrite").partitionBy(DAY).parquet(folder)
             # Read back: a row is in the filter if and only if it is in the table.
             kept = spark.read.schema(fresh.schema).parquet(folder)
-            filters.store(kept, batch_id)
+            filters.store(kept.drop(DAY), batch_id)
         finally:
             rows.unpersist()
 
