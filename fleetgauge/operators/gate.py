@@ -24,18 +24,26 @@ _TYPES = {
 }
 
 
+# What VARIANT calls the type of a JSON null.
+_VOID = "VOID"
+
+
+def _kind(field: str) -> Column:
+    """The type of a field's value; NULL for a field that is not there."""
+    return F.schema_of_variant(F.try_variant_get("payload", f"$.{field}", "variant"))
+
+
 def _reason(field: str, rules: dict[str, Range]) -> Column:
-    """The first check that a field fails, NULL if it passes them all."""
-    value = F.try_variant_get("payload", f"$.{field}", "variant")
+    """The first check that a field fails, NULL if it passes them all; from its kind and number, which are bound."""
+    kind = F.col(f"found.{field}_kind")
     reason = (
-        F.when(value.isNull(), F.lit(ABSENT))
-        .when(F.is_variant_null(value), F.lit(NULL))
-        .when(~F.schema_of_variant(value).rlike(_TYPES[FIELD_KINDS[field]]), F.lit(WRONG_TYPE))
+        F.when(kind.isNull(), F.lit(ABSENT))
+        .when(kind == _VOID, F.lit(NULL))
+        .when(~kind.rlike(_TYPES[FIELD_KINDS[field]]), F.lit(WRONG_TYPE))
     )
     if field in rules:
-        number = F.try_variant_get("payload", f"$.{field}", "double")
-        low, high = rules[field].low, rules[field].high
-        reason = reason.when(~F.coalesce(number.between(low, high), F.lit(False)), F.lit(OUT_OF_RANGE))
+        within = F.col(f"found.{field}_number").between(rules[field].low, rules[field].high)
+        reason = reason.when(~F.coalesce(within, F.lit(False)), F.lit(OUT_OF_RANGE))
     return reason
 
 
@@ -54,7 +62,8 @@ def judge_messages(
     without a range is told and does not block, unless the gate is ``strict``. Text that
     is no JSON object, or names a field twice, fails as a whole, with no field.
 
-    The payload comes out of a generator, so that a filter above does not parse it again.
+    The payload, and what is looked at in it, come out of generators, so that it is parsed and each
+    field is looked up once, whatever is asked of them above.
     """
     rules = {r.column: r for r in ranges}
     payload = F.try_parse_json(F.col("text"))
@@ -62,7 +71,10 @@ def judge_messages(
         *keep, "text", F.explode(F.array(payload)).alias("payload")
     )
     # Anything but an object has no fields at all; an empty one has none either.
-    whole = F.coalesce(F.schema_of_variant("payload").startswith("OBJECT"), F.lit(False))
+    whole = F.coalesce(F.trim("text").startswith("{") & F.col("payload").isNotNull(), F.lit(False))
+    looked = [_kind(field).alias(f"{field}_kind") for field in required]
+    looked += [F.try_variant_get("payload", f"$.{field}", "double").alias(f"{field}_number") for field in rules if field in required]
+    parsed = parsed.select(*keep, "text", F.explode(F.array(F.struct(whole.alias("whole"), *looked))).alias("found"))
     each = []
     for field in required:
         reason = _reason(field, rules)
@@ -71,7 +83,7 @@ def judge_messages(
     broken = F.array(
         F.struct(F.lit(None).cast("string").alias("field"), F.lit(MALFORMED).alias("reason"), F.lit(True).alias("blocks"))
     )
-    failures = F.when(whole, F.filter(F.array(*each), lambda f: f["reason"].isNotNull())).otherwise(broken)
+    failures = F.when(F.col("found.whole"), F.filter(F.array(*each), lambda f: f["reason"].isNotNull())).otherwise(broken)
     judged = parsed.select(*keep, "text", F.explode(F.array(failures)).alias("failures"))
     return judged.select(
         *keep, "text", (~F.exists("failures", lambda f: f["blocks"])).alias("passes"), "failures"

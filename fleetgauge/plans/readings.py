@@ -67,6 +67,7 @@ def uneven_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages some of which lack a field, hold a null or the wrong type, or are cut off."""
     sent = to_messages(readings(spark, sf_dir), keep=UNIQUE)
     n, value = F.col("event_id"), F.col("value")
+    # One column after the other: nested, each step would double the expression.
     for chosen, pattern, instead in (
         (n % 61 == 2, '"motor2":[^,]*', '"motor2":null'),
         (n % 67 == 3, '"motor1":[^,]*,', ""),
@@ -74,6 +75,6 @@ def uneven_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         (n % 73 == 7, '"isFail":[^,]*,', ""),
         (n % 79 == 11, '"DeviceId":([0-9]+)', '"DeviceId":"$1"'),
     ):
-        value = F.when(chosen, F.regexp_replace(value, pattern, instead)).otherwise(value)
+        sent = sent.withColumn("value", F.when(chosen, F.regexp_replace(value, pattern, instead)).otherwise(value))
     value = F.when(n % 97 == 0, F.substring(value, 1, MESSAGE_CUT)).otherwise(value)
     return sent.withColumn("value", value.cast("binary"))
