@@ -51,8 +51,8 @@ def in_order(
     return materialise(placed.withColumn(SPLIT, F.shiftright(POSITION, split_bits)), "ordered")
 
 
-def split_window():
-    return Window.partitionBy(SPLIT, CHAIN).orderBy(POSITION)
+def split_window(after: bool = False):
+    return Window.partitionBy(SPLIT, CHAIN).orderBy(F.col(POSITION).desc() if after else POSITION)
 
 
 def chain_window():
@@ -114,12 +114,14 @@ def carried(
     """Add for each row the ``total`` of ``values`` over all rows of its chain before it, or ``after`` it.
 
     A split is looked at by itself, and one row for each split and chain tells what the
-    other splits hold. NULL where there is no such row.
+    other splits hold. NULL where there is no such row. Rows after a row are looked at from
+    the last one backwards: a frame that grows is added to, one that shrinks is summed anew
+    for every row.
     """
     of, both = TOTALS[total]
-    edge = (1, Window.unboundedFollowing) if after else (Window.unboundedPreceding, -1)
-    inside = split_window().rowsBetween(*edge)
-    beyond = Window.partitionBy(CHAIN).orderBy(SPLIT).rowsBetween(*edge)
+    edge = (Window.unboundedPreceding, -1)
+    inside = split_window(after).rowsBetween(*edge)
+    beyond = Window.partitionBy(CHAIN).orderBy(F.col(SPLIT).desc() if after else SPLIT).rowsBetween(*edge)
     placed = ordered.filter(F.col(CHAIN).isNotNull())
     splits = placed.groupBy(SPLIT, CHAIN).agg(*[of(v).alias(f"_{c}") for c, v in values.items()])
     splits = splits.select(SPLIT, CHAIN, *[of(f"_{c}").over(beyond).alias(f"_{c}") for c in values])

@@ -92,3 +92,13 @@ def test_hot_device_is_in_no_single_group(spark):
     plan = outages.online_spans(df, 10, split_bits=3)._jdf.queryExecution().executedPlan().toString()
     windows = [line for line in plan.splitlines() if "+- Window [" in line or "Window [" in line]
     assert windows and all("_split" in line for line in windows)
+
+
+def test_next_reading_costs_the_same_in_a_long_split(spark):
+    """A frame that shrinks towards the last row is summed anew for each row: the square of a split's rows."""
+    rows = [(1, T0 + timedelta(seconds=k), T0, float(k)) for k in range(400)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = scrape.scraped_series(df, columns=["sensor1"], split_bits=3)
+    plan = got._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "unboundedpreceding" in plan and "unboundedfollowing" not in plan
+    assert rows_of(got) == rows_of(scrape.scraped_series(df, columns=["sensor1"]))
