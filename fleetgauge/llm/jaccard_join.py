@@ -314,7 +314,9 @@ def near_duplicates(
     hot = hot_shingles(docs, "text", shingle, percent)
     schema = T.StructType([T.StructField("key", kind), *T.StructType.fromDDL("n long, set_id long, cold array<long>, hot array<long>, counts binary")])
     marks = materialise(docs.mapInArrow(_marks(shingle, percent, hot, schema.names), schema), "marks")
+    # Five joins read the sets; as a table, they are grouped once and no plan holds that grouping again.
     sets = marks.filter("set_id is not null").groupBy("set_id").agg(F.min("key").alias("key"), F.min("n").alias("size"))
+    sets = materialise(sets, "sets")
 
     # What a task needs of a set is joined to the narrow rows only when their tiles are known.
     met = materialise(_met(marks).join(sets.select("set_id", "size"), "set_id"), "met")

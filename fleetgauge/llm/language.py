@@ -72,6 +72,38 @@ def features(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
+@dataclass
+class Sample:
+    """Rows of features as their entries that are not 0, as the driver holds them for training."""
+
+    values: list[np.ndarray]
+    places: list[np.ndarray]
+
+    @classmethod
+    def of(cls, data: np.ndarray, bounds: np.ndarray) -> Sample:
+        out = cls([], [])
+        for low in range(0, len(bounds) - 1, 64):
+            for row in features(data, bounds[low : low + 65]):
+                out.places.append(np.flatnonzero(row).astype(np.uint16))
+                out.values.append(row[out.places[-1]])
+        return out
+
+    def __len__(self) -> int:
+        return len(self.values)
+
+    def of_rows(self, chosen: np.ndarray) -> Sample:
+        rows = np.flatnonzero(chosen).tolist()
+        return Sample([self.values[k] for k in rows], [self.places[k] for k in rows])
+
+    def matrix(self, chosen: np.ndarray) -> np.ndarray:
+        """All entries of the rows that are chosen: 32 KB a row, so no more than two classes' rows at a time."""
+        rows = np.flatnonzero(chosen).tolist()
+        out = np.zeros((len(rows), FEATURES), dtype=np.float32)
+        for row, k in zip(out, rows):
+            row[self.places[k]] = self.values[k]
+        return out
+
+
 def _machine(x: np.ndarray, y: np.ndarray, penalty: float = 0.001, steps: int = 60) -> tuple[np.ndarray, float]:
     """Linear support vector machine with squared hinge loss, by accelerated gradient steps.
 
@@ -127,22 +159,22 @@ class Round:
     shifts: np.ndarray
 
     @classmethod
-    def fit(cls, x: np.ndarray, labels: np.ndarray, check: np.ndarray) -> Round:
+    def fit(cls, x: Sample, labels: np.ndarray, check: np.ndarray) -> Round:
         """Machines from the rows not in ``check``, probabilities from those in it."""
         classes = sorted(set(labels.tolist()))
         pairs = list(combinations(range(len(classes)), 2))
-        weights, rest = np.zeros((x.shape[1], len(pairs)), dtype=np.float32), []
+        weights, rest = np.zeros((FEATURES, len(pairs)), dtype=np.float32), []
         for k, (a, b) in enumerate(pairs):
             own = np.isin(labels, [classes[a], classes[b]])
             y = np.where(labels == classes[a], 1.0, -1.0)
             learn = own & ~check
             if len(set(y[learn])) < 2:
                 learn = own
-            weights[:, k], bias = _machine(x[learn], y[learn])
+            weights[:, k], bias = _machine(x.matrix(learn), y[learn])
             test = own & check
             if len(set(y[test])) < 2:
                 test = own
-            rest.append((bias, *_sigmoid(x[test] @ weights[:, k] + bias, y[test])))
+            rest.append((bias, *_sigmoid(x.matrix(test) @ weights[:, k] + bias, y[test])))
         rest = np.array(rest).reshape(len(pairs), 3)
         return cls(classes, pairs, weights, rest[:, 0], rest[:, 1], rest[:, 2])
 
@@ -178,14 +210,14 @@ class LanguageModel:
     languages: dict[str, Round]
 
     @classmethod
-    def fit(cls, texts: Sequence[str], labels: Sequence[str]) -> LanguageModel:
+    def fit(cls, texts: Sequence[str] | pa.ChunkedArray, labels: Sequence[str]) -> LanguageModel:
         if not len(texts):
             return cls(None, {})
-        x = features(*W.text_buffers(pa.array(texts, pa.string())))
+        x = Sample.of(*W.text_buffers(texts if isinstance(texts, pa.ChunkedArray) else pa.array(texts, pa.string())))
         labels = np.array(labels, dtype=object)
         family = np.array([FAMILY_OF.get(code.split("-")[0].lower(), code) for code in labels], dtype=object)
         check = np.arange(len(x)) % 4 == 0
-        inner = {name: Round.fit(x[family == name], labels[family == name], check[family == name]) for name in set(family)}
+        inner = {name: Round.fit(x.of_rows(family == name), labels[family == name], check[family == name]) for name in set(family)}
         return cls(Round.fit(x, family, check), inner)
 
     def predict(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -218,9 +250,9 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     rows = docs.select(key, F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
     rows = training_rows(rows.toDF("key", "text", "lang"), "key", "text", "lang", TRAINING_ROWS, TRAINING_CHARS)
     # In a fixed order, so that the same rows make the same model.
-    sample = rows.toPandas().sort_values(["key", "text", "lang"])
-    sample = sample[has_letters(pa.array(sample["text"], pa.string()))] if len(sample) else sample
-    model = LanguageModel.fit(sample["text"].tolist(), sample["lang"].tolist())
+    sample = rows.toArrow().sort_by([(c, "ascending") for c in ("key", "text", "lang")])
+    sample = sample.filter(has_letters(sample["text"])) if len(sample) else sample
+    model = LanguageModel.fit(sample["text"], sample["lang"].to_pylist())
     give_back()
     return model
 

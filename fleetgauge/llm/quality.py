@@ -255,8 +255,9 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
     sums = counted.repartition("block").sortWithinPartitions("block").mapInArrow(_summed, "word long, sums binary")
     found = sums.toArrow()
     table = np.zeros((WORDS, WIDTH))
-    if found.num_rows:
-        table[found["word"].to_numpy()] = np.frombuffer(b"".join(found["sums"].to_pylist())).reshape(-1, WIDTH)
+    for batch in found.to_batches(max_chunksize=1 << 12):
+        table[batch["word"].to_numpy()] = np.frombuffer(b"".join(batch["sums"].to_pylist())).reshape(-1, WIDTH)
+    del found
     sizes = np.linalg.norm(table, axis=1, keepdims=True)
     return np.where(sizes > 1e-9, table / np.maximum(sizes, 1e-9), _index() / np.sqrt(SIGNS)).astype(np.float32)
 
@@ -294,8 +295,8 @@ class QualityModel:
     temperature: float
 
     @classmethod
-    def fit(cls, texts: Sequence[str], labels: Sequence[int], vectors: np.ndarray, rounds: int = 60) -> QualityModel:
-        column = pa.array(texts, pa.string())
+    def fit(cls, texts: Sequence[str] | pa.ChunkedArray, labels: Sequence[int], vectors: np.ndarray, rounds: int = 60) -> QualityModel:
+        column = texts if isinstance(texts, pa.ChunkedArray) else pa.array(texts, pa.string())
         x, sizes = np.zeros((len(column), 3 * WIDTH), dtype=np.float32), np.zeros(len(column), dtype=np.int64)
         for low, high in W.slices(column, 1 << 20) if len(column) else ():
             words, bounds = tokens(*W.text_buffers(column.slice(low, high - low)))
@@ -393,8 +394,10 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     # The chosen labels are at most 1.2 TRAINING_ROWS, so the texts need no shuffle.
     # An id may be repeated: which of its rows are taken goes by their content.
     rows = rows.join(F.broadcast(chosen), "key").orderBy(F.xxhash64("key"), F.xxhash64("text", "label")).limit(2 * TRAINING_ROWS)
-    sample = rows.toPandas().sort_values(["key", "text", "label"])
-    return QualityModel.fit(sample["text"].tolist(), sample["label"].tolist(), word_vectors(docs, text))
+    sample = rows.toArrow().sort_by([(c, "ascending") for c in ("key", "text", "label")])
+    model = QualityModel.fit(sample["text"], sample["label"].to_numpy(), word_vectors(docs, text))
+    give_back()
+    return model
 
 
 def scores(model: QualityModel, texts: pa.Array):

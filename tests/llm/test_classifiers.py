@@ -1,14 +1,17 @@
 """Language, quality and licences: held-out accuracy and rows at the edges."""
 
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from fleetgauge.llm import language as L
 from fleetgauge.llm import licences as N
 from fleetgauge.llm import quality as Q
 from fleetgauge.llm import sampling as S
+from fleetgauge.llm import words as W
 from fleetgauge.llm.licence_texts import NO_TERMS, NOTICES
 from fleetgauge.llm.queries import op5_language_id, op8_quality_classifier
 
@@ -213,3 +216,21 @@ def test_every_window_and_family_without_a_prefilter(spark):
                 passed += not any(w in model.anchors for w in window)
         assert got.get(doc, set()) == want
     assert got and passed > 1000
+
+
+def test_language_training_holds_the_sample_once():
+    """Whole rows of features are made for the machine being fitted alone, not for the sample and each family again."""
+    drawn = np.random.default_rng(3)
+    letters = {"de": "enristadhulcgm", "sv": "aentrsildomkgv"}
+    texts = ["".join(drawn.choice(list(letters[lang] + "  "), 300)) for lang in letters for _ in range(200)]
+    labels = [lang for lang in letters for _ in range(200)]
+    rows = L.Sample.of(*W.text_buffers(pa.array(texts)))
+    assert (rows.matrix(np.ones(len(texts), dtype=bool)) == L.features(*W.text_buffers(pa.array(texts)))).all()
+    del rows
+    tracemalloc.start()
+    model = L.LanguageModel.fit(texts, labels)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 1.5 * len(texts) * L.FEATURES * 4
+    found, _ = model.predict(pa.array(texts))
+    assert np.mean(found == np.array(labels)) > 0.95
